@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import as_column, holds, typed_null
+from ..functions.expressions import as_column, fill_constant, holds, typed_null
 from ..sizing import BROADCAST_LIMIT, fits_broadcast
 
 _SOURCE = "__src_"
@@ -46,8 +46,17 @@ def update_where(
 
 
 def fill_nulls(df: DataFrame, constants: Mapping[str, float | int | str]) -> DataFrame:
-    """Constant fill of NULLs; the same as an update of each column where it is NULL."""
-    return df.fillna(dict(constants))
+    """Constant fill of NULLs; the same as an update of each column where it is NULL. NaN is a value
+    and stays (``fillna`` would replace it)."""
+    unknown = set(constants) - set(df.columns)
+    if unknown:
+        raise ValueError(f"no such column(s): {sorted(unknown)}")
+    return df.select(
+        *[
+            fill_constant(c, constants[c]).cast(kind).alias(c) if c in constants else F.col(c)
+            for c, kind in df.dtypes
+        ]
+    )
 
 
 def add_column(df: DataFrame, name: str, kind: str) -> DataFrame:

@@ -90,9 +90,12 @@ class VersionedTable:
         """Remove the rows where the SQL predicate is TRUE."""
         log = self._log()
         parent, before = log[-1]["version"], log[-1]["rows_after"]
-        hits = self.spark.table(self._view(parent)).agg(F.count_if(F.expr(where))).first()[0]
+        hits = after = None
+        if not _UNSTABLE.search(where):
+            hits = self.spark.table(self._view(parent)).agg(F.count_if(F.expr(where))).first()[0]
+            after = before - hits
         query = f"SELECT * FROM {self._view(parent)} WHERE NOT coalesce(({where}), false)"
-        return self._derive(log, "DELETE", {"where": where}, query, hits, before - hits, where)
+        return self._derive(log, "DELETE", {"where": where}, query, hits, after, where)
 
     def update(self, assignments: Mapping[str, str], where: str | None = None) -> int:
         """Set columns to SQL expressions over the old row, where the predicate is TRUE.
@@ -116,14 +119,17 @@ class VersionedTable:
                 new_values.append(F.expr(value))
                 item = f"{value} AS {column}"
             items.append(item)
-        check = current.agg(F.count_if(F.expr(hit)), F.max(F.xxhash64(*new_values))).first()
+        expressions = " ".join([*assignments.values(), where or ""])
+        hits = None
+        if not _UNSTABLE.search(expressions):
+            check = current.agg(F.count_if(F.expr(hit)), F.max(F.xxhash64(*new_values)))
+            hits = check.first()[0]
         parameters = {f"set {c}": e for c, e in assignments.items()}
         if where is not None:
             parameters["where"] = where
         query = f"SELECT {', '.join(items)} FROM {source}"
-        expressions = " ".join([*assignments.values(), where or ""])
         rows = log[-1]["rows_after"]
-        return self._derive(log, "UPDATE", parameters, query, check[0], rows, expressions)
+        return self._derive(log, "UPDATE", parameters, query, hits, rows, expressions)
 
     def add_column(self, name: str, kind: str) -> int:
         log = self._log()
@@ -282,7 +288,7 @@ class VersionedTable:
         parameters: dict[str, str],
         query: str,
         rows_changed: int | None,
-        rows_after: int,
+        rows_after: int | None,
         expressions: str = "",
         parent: int | None = None,
     ) -> int:
