@@ -38,7 +38,7 @@ def silver(spark):
     )
     for name in schemas.FEATURES:
         if name not in df.columns:
-            df = df.withColumn(name, F.when(i % 3 == 0, None).otherwise(F.lit(1)).cast("long"))
+            df = df.withColumn(name, F.when(F.col("RowId") % 3 != 0, 1).cast("long"))
     return df.cache()
 
 
