@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expressions import truncated
 from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from ..workspace import scratch_path, write_and_reopen
 from .training import RAW
 
 
@@ -39,20 +40,26 @@ def scoring_table(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def mean_by_store(train: DataFrame) -> DataFrame:
-    """The baseline model: mean sales per store, ``mean_store, mean_sales``."""
-    return (
-        train.filter(F.col(schemas.KEY).isNotNull())
-        .groupBy(F.col(schemas.KEY).alias("mean_store"))
-        .agg((F.sum(schemas.LABEL) / F.count(schemas.LABEL)).alias("mean_sales"))
+    """The baseline model: per store ``mean_store, sum_sales, n_sales``; NULL is one of the stores."""
+    return train.groupBy(F.col(schemas.KEY).alias("mean_store")).agg(
+        F.sum(schemas.LABEL).alias("sum_sales"), F.count(schemas.LABEL).alias("n_sales")
     )
 
 
 def predict_store_mean(
     df: DataFrame, train: DataFrame, *, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
-    """``df`` with the baseline's raw prediction: the store's mean, or the overall one if unseen."""
-    overall = train.agg(F.sum(schemas.LABEL) / F.count(schemas.LABEL)).first()[0]
-    means = mean_by_store(train)
+    """``df`` with the baseline's raw prediction: the store's mean, or the overall one if unseen.
+
+    The sums per store are written once: the training rows are read a single time, and what follows
+    (the overall mean, the size check, the join) reads the small result.
+    """
+    spark = df.sparkSession
+    sums = write_and_reopen(mean_by_store(train), scratch_path(spark, "store-means"))
+    overall = sums.agg(F.sum("sum_sales") / F.sum("n_sales")).first()[0]
+    means = sums.filter(F.col("mean_store").isNotNull()).select(
+        "mean_store", (F.col("sum_sales") / F.col("n_sales")).alias("mean_sales")
+    )
     if fits_broadcast(means, broadcast_limit):
         means = F.broadcast(means)
     matched = df.join(means, F.col(schemas.KEY) == F.col("mean_store"), "left")

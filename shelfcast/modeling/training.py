@@ -50,26 +50,26 @@ def split_rows(
     return df.withColumn(SPLIT, split_label(keys, 4, 0 if validate_on_test else 5))
 
 
-def fit(df: DataFrame, params: GBTParams = GBTParams()) -> PipelineModel:
-    """Fit on the ``train`` rows of a frame with a ``split`` column, with early stopping on its
-    ``validation`` rows (on the ``test`` rows when it has no validation part).
+def fit(
+    df: DataFrame, params: GBTParams = GBTParams(), *, watch: str = "validation"
+) -> PipelineModel:
+    """Fit on the ``train`` rows of a frame with a ``split`` column; early stopping follows the error
+    on the ``watch`` rows (``test`` in the two-way mode).
 
     The vectors are kept in executor memory, spilling to disk, for the passes of the boosting rounds;
     a lost executor's part is rebuilt from ``df``, which should be a written table. The learner cuts
     its own growing lineage every ten rounds in the session's checkpoint folder.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    held_out = df.agg(F.count_if(F.col(SPLIT) == "validation")).first()[0]
-    watched = "validation" if held_out else "test"
     inputs = Pipeline(stages=[feature_inputs(), assembler()])
-    rows = df.filter(F.col(SPLIT).isin("train", watched) & F.col(schemas.LABEL).isNotNull())
+    rows = df.filter(F.col(SPLIT).isin("train", watch) & F.col(schemas.LABEL).isNotNull())
     prepared = inputs.fit(rows)
     vectors = (
         prepared.transform(rows)
         .select(
             VECTOR,
             F.col(schemas.LABEL).cast("double").alias(schemas.LABEL),
-            (F.col(SPLIT) == watched).alias(_HOLDOUT),
+            (F.col(SPLIT) == watch).alias(_HOLDOUT),
         )
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

@@ -39,10 +39,10 @@ def keyed_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     columns = sorted((set(before.columns) | set(after.columns)) - set(keys))
 
     def fingerprint(df: DataFrame, side: int) -> DataFrame:
-        present = [F.col(c) if c in df.columns else F.lit(None) for c in columns]
-        text = [F.coalesce(c.cast("string"), F.lit("\\N")) for c in present]
-        digest = F.sha2(F.concat_ws("\x1f", *text), 256)
-        return df.select(*keys, F.lit(side).alias("__side"), digest.alias("__digest"))
+        present = [f"CAST(`{c}` AS STRING)" if c in df.columns else "NULL" for c in columns]
+        text = ", ".join(f"coalesce({c}, '\\\\N')" for c in present)
+        digest = f"sha2(concat_ws('\\u001f', {text}), 256) AS __digest"
+        return df.selectExpr(*[f"`{k}`" for k in keys], f"{side} AS __side", digest)
 
     def of(side: int) -> Column:
         return F.max(F.when(F.col("__side") == side, F.col("__digest")))

@@ -127,9 +127,8 @@ def spread_left_join(
     joined = a.join(b, on, "left")
     if hot_right:
         joined = joined.filter(~is_hot_right(F.col(f"a.{_LEFT_KEY}")) | F.col(f"b.{key}").isNotNull())
-    return joined.select(
-        *[F.col(f"a.`{n}`") for n in left.columns if n != key],
-        *[F.col(f"b.`{n}`") for n in right.columns],
+    return joined.selectExpr(
+        *[f"a.`{n}`" for n in left.columns if n != key], *[f"b.`{n}`" for n in right.columns]
     )
 
 

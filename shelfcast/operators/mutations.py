@@ -34,15 +34,13 @@ def update_where(
     if unknown:
         raise ValueError(f"no such column(s): {sorted(unknown)}")
     hit = None if predicate is None else holds(predicate)
-    changed = []
-    for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        if field.name in assignments:
-            value = as_column(assignments[field.name])
-            column = value if hit is None else F.when(hit, value).otherwise(column)
-            column = column.cast(field.dataType)
-        changed.append(column.alias(field.name))
-    return df.select(*changed)
+    changed = {}
+    for name, value in assignments.items():
+        new = as_column(value)
+        if hit is not None:
+            new = F.when(hit, new).otherwise(F.col(f"`{name}`"))
+        changed[name] = new.cast(df.schema[name].dataType)
+    return df.withColumns(changed)
 
 
 def fill_nulls(df: DataFrame, constants: Mapping[str, float | int | str]) -> DataFrame:
@@ -51,12 +49,8 @@ def fill_nulls(df: DataFrame, constants: Mapping[str, float | int | str]) -> Dat
     unknown = set(constants) - set(df.columns)
     if unknown:
         raise ValueError(f"no such column(s): {sorted(unknown)}")
-    return df.select(
-        *[
-            fill_constant(c, constants[c]).cast(kind).alias(c) if c in constants else F.col(c)
-            for c, kind in df.dtypes
-        ]
-    )
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: fill_constant(c, v).cast(kinds[c]) for c, v in constants.items()})
 
 
 def add_column(df: DataFrame, name: str, kind: str) -> DataFrame:
@@ -84,16 +78,13 @@ def upsert(
     keys = list(keys)
     if set(target.columns) != set(source.columns):
         raise ValueError("source and target must have the same columns")
-    all_keys_present = F.lit(True)
-    for k in keys:
-        all_keys_present = all_keys_present & F.col(k).isNotNull()
-    keyed_source = source.filter(all_keys_present)
+    keyed_source = source.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     repeated = keyed_source.groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"the source has more than one row for some {keys}")
 
-    renamed = keyed_source.select(
-        *[F.col(c).alias(_SOURCE + c) for c in target.columns], F.lit(True).alias("__hit")
+    renamed = keyed_source.selectExpr(
+        *[f"`{c}` AS `{_SOURCE}{c}`" for c in target.columns], f"true AS `{_SOURCE}`"
     )
     existing = target.select(*keys)
     if fits_broadcast(renamed, broadcast_limit):
@@ -101,14 +92,10 @@ def upsert(
         source_keys = F.broadcast(keyed_source.select(*keys))
         existing = existing.join(source_keys, keys, "left_semi")
     existing = existing.distinct()
-    matched = F.lit(True)
-    for k in keys:
-        matched = matched & (F.col(k) == F.col(_SOURCE + k))
-    updated = target.join(renamed, matched, "left").select(
+    matched = F.expr(" AND ".join(f"`{k}` = `{_SOURCE}{k}`" for k in keys))
+    updated = target.join(renamed, matched, "left").selectExpr(
         *[
-            F.col(c)
-            if c in keys
-            else F.when(F.col("__hit"), F.col(_SOURCE + c)).otherwise(F.col(c)).alias(c)
+            f"`{c}`" if c in keys else f"if(`{_SOURCE}`, `{_SOURCE}{c}`, `{c}`) AS `{c}`"
             for c in target.columns
         ]
     )

@@ -13,7 +13,7 @@ from ..workspace import ensure_checkpoint_dir
 
 def null_profile(df: DataFrame) -> DataFrame:
     """``column_name, n_nulls`` for every column, all counted in one pass."""
-    counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+    counts = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS `{c}`" for c in df.columns])
     return counts.unpivot([], df.columns, "column_name", "n_nulls")
 
 
@@ -44,14 +44,15 @@ def approx_grouped_median(
 
 
 def exact_grouped_median(
-    df: DataFrame, group: str, value: str, accuracy: int = 10_000
+    df: DataFrame, group: str, value: str, accuracy: int = 100_000
 ) -> DataFrame:
     """``group, median`` as double: the middle element, or the mean of the middle two.
 
     The built-in exact median holds a group's values in one task. Here a sketch first brackets the
     middle rank; a second pass counts the rows below the bracket and the copies of each value inside
-    it, both combined before the shuffle; only those few values are then ranked. A bracket that
-    misses the middle (the sketch's error bound excludes it) is an error, never a wrong number.
+    it, both combined before the shuffle; only these values, ``10/accuracy`` of the rows at most, are
+    then ranked. A bracket that misses the middle (the sketch's error bound excludes it) is an error,
+    never a wrong number.
     """
     known = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
         F.col(group), F.col(value).alias("__v")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from ..operators.quality import approx_grouped_median, null_count, null_profile
 from ..operators.versioned import VersionedTable
 from ..sinks.tables import replace_table
 from ..streaming.ingest import append_to_table, open_file_stream
+from ..workspace import scratch_path, write_and_reopen
 
 # The cleaning steps and the retention the flows use.
 NULL_MONTH = "CompetitionOpenSinceMonth IS NULL"
@@ -95,15 +97,23 @@ def train_and_score(
 ) -> dict[str, float]:
     """Fit, save the model, record the run, and write the scoring table of the test rows."""
     rows = split_rows(silver, row_keys(silver), validate_on_test=validate_on_test)
-    model = fit(rows, params)
+    model = fit(rows, params, watch="test" if validate_on_test else "validation")
     model.write().overwrite().save(model_path)
-    raw = model.transform(rows.filter(F.col(SPLIT) == "test"))
+    raw = predict(spark, model, rows)
     metrics = regression_metrics(raw, schemas.LABEL, RAW).first().asDict()
     RunLog(spark, names.runs).record(params.as_text(), metrics, model_path, data_version)
     write_scoring(names, raw)
     return metrics
 
 
+def predict(spark: SparkSession, model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Raw predictions of the test rows, written once: errors and scoring both read them."""
+    keep = [schemas.KEY, schemas.ROW_KEY, schemas.LABEL, RAW]
+    raw = model.transform(rows.filter(F.col(SPLIT) == "test"))
+    kept = raw.select(*[c for c in keep if c in raw.columns])
+    return write_and_reopen(kept, scratch_path(spark, "predictions"))
+
+
 def write_scoring(names: Tables, raw: DataFrame) -> None:
     keep = [k for k in (schemas.ROW_KEY,) if k in raw.columns]
     replace_table(scoring_table(raw, keep), names.scoring)
@@ -224,5 +234,5 @@ def forecast_flow(
     names = Tables(database)
     silver = VersionedTable(spark, names.silver).current()
     rows = split_rows(silver, row_keys(silver))
-    write_scoring(names, load_model(model_path).transform(rows.filter(F.col(SPLIT) == "test")))
+    write_scoring(names, predict(spark, load_model(model_path), rows))
     write_gold(spark, names, silver, gold_mode, row_budget)

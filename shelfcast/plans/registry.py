@@ -64,6 +64,7 @@ from .flows import (
     NULL_MONTH,
     NULL_WEEK,
     RETAIN_HOURS,
+    predict,
 )
 
 _START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -436,7 +437,7 @@ def gbt_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best recorded run, with the sizes of the parts it was trained and measured on."""
     rows, path, params = _trained(spark, sf_dir)
-    raw = load_model(path).transform(rows.filter(F.col(SPLIT) == "test"))
+    raw = predict(spark, load_model(path), rows)
     sizes = {r[SPLIT]: r["n"] for r in rows.groupBy(SPLIT).agg(F.count(F.lit(1)).alias("n")).collect()}
     log = RunLog(spark, f"{scratch_database(spark, 'runs')}.model_runs")
     metrics = regression_metrics(raw, schemas.LABEL, RAW).first().asDict()

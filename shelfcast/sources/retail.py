@@ -7,7 +7,7 @@ and the cleaning steps have something to clean.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -26,24 +26,19 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/nation.parquet", schemas.NATION)
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0).cast("long")
-
-
 def as_transactions(order_rows: DataFrame) -> DataFrame:
     """Stateless, so it serves a batch frame and a stream alike."""
-    key = F.col("o_orderkey")
-    return order_rows.select(
-        key.alias("RowId"),
-        F.col("o_custkey").alias("Store"),
-        (F.weekday("o_orderdate") + 1).cast("long").alias("DayOfWeek"),
-        F.col("o_orderdate").alias("Date"),
-        F.floor("o_totalprice").cast("long").alias("Sales"),
-        (key % 50).cast("long").alias("Customers"),
-        _flag(F.col("o_orderstatus") != "P").alias("Open"),
-        _flag(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("Promo"),
-        F.when(key % 97 == 0, "a").otherwise("0").alias("StateHoliday"),
-        _flag(key % 7 == 0).alias("SchoolHoliday"),
+    return order_rows.selectExpr(
+        "o_orderkey AS RowId",
+        "o_custkey AS Store",
+        "CAST(weekday(o_orderdate) + 1 AS BIGINT) AS DayOfWeek",
+        "o_orderdate AS Date",
+        "CAST(floor(o_totalprice) AS BIGINT) AS Sales",
+        "o_orderkey % 50 AS Customers",
+        "if(o_orderstatus = 'P', 0L, 1L) AS Open",
+        "if(o_orderpriority IN ('1-URGENT', '2-HIGH'), 1L, 0L) AS Promo",
+        "if(o_orderkey % 97 = 0, 'a', '0') AS StateHoliday",
+        "if(o_orderkey % 7 = 0, 1L, 0L) AS SchoolHoliday",
     )
 
 
@@ -53,31 +48,28 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store locations. Every tenth account has no store number."""
-    account = F.col("c_custkey")
     located = customers(spark, sf_dir).join(
-        nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
+        nations(spark, sf_dir), F.expr("c_nationkey = n_nationkey")
     )
-    return located.select(
-        F.when(account % 10 != 0, account).alias("Store"),
-        F.col("n_name").alias("State"),
-        (F.col("n_nationkey") + 40.5).cast("float").alias("Latitude"),
-        (F.col("n_regionkey") + 5.25).cast("float").alias("Longitude"),
+    return located.selectExpr(
+        "if(c_custkey % 10 <> 0, c_custkey, NULL) AS Store",
+        "n_name AS State",
+        "CAST(n_nationkey + 40.5 AS FLOAT) AS Latitude",
+        "CAST(n_regionkey + 5.25 AS FLOAT) AS Longitude",
     )
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store attributes. Every 25th account has no store number."""
-    account = F.col("c_custkey")
-    rest4, rest3, in_promo2 = account % 4, account % 3, account % 2 != 0
-    return customers(spark, sf_dir).select(
-        F.when(account % 25 != 0, account).alias("Store"),
-        F.when(rest4 == 0, "a").when(rest4 == 1, "b").when(rest4 == 2, "c").otherwise("d").alias("StoreType"),
-        F.when(rest3 == 0, "a").when(rest3 == 1, "b").otherwise("c").alias("Assortment"),
-        F.when(account % 11 != 0, F.floor(F.abs("c_acctbal")).cast("long")).alias("CompetitionDistance"),
-        F.when(rest3 != 0, account % 12 + 1).alias("CompetitionOpenSinceMonth"),
-        F.when(account % 5 != 0, account % 20 + 1995).alias("CompetitionOpenSinceYear"),
-        (account % 2).cast("long").alias("Promo2"),
-        F.when(in_promo2, account % 52 + 1).alias("Promo2SinceWeek"),
-        F.when(in_promo2, account % 6 + 2009).alias("Promo2SinceYear"),
-        F.when(in_promo2, "Jan,Apr,Jul,Oct").alias("PromoInterval"),
+    return customers(spark, sf_dir).selectExpr(
+        "if(c_custkey % 25 <> 0, c_custkey, NULL) AS Store",
+        "element_at(array('a', 'b', 'c', 'd'), CAST(c_custkey % 4 AS INT) + 1) AS StoreType",
+        "element_at(array('a', 'b', 'c'), CAST(c_custkey % 3 AS INT) + 1) AS Assortment",
+        "if(c_custkey % 11 <> 0, CAST(floor(abs(c_acctbal)) AS BIGINT), NULL) AS CompetitionDistance",
+        "if(c_custkey % 3 <> 0, c_custkey % 12 + 1, NULL) AS CompetitionOpenSinceMonth",
+        "if(c_custkey % 5 <> 0, c_custkey % 20 + 1995, NULL) AS CompetitionOpenSinceYear",
+        "c_custkey % 2 AS Promo2",
+        "if(c_custkey % 2 <> 0, c_custkey % 52 + 1, NULL) AS Promo2SinceWeek",
+        "if(c_custkey % 2 <> 0, c_custkey % 6 + 2009, NULL) AS Promo2SinceYear",
+        "if(c_custkey % 2 <> 0, 'Jan,Apr,Jul,Oct', NULL) AS PromoInterval",
     )

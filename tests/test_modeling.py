@@ -73,7 +73,7 @@ def test_boosted_trees_beat_the_mean_and_survive_a_save(spark, silver, path):
 def test_two_way_split_watches_the_test_rows(spark, silver):
     rows = split_rows(silver, validate_on_test=True)
     assert {r["split"] for r in rows.select("split").distinct().collect()} == {"train", "test"}
-    model = fit(rows, GBTParams(max_iter=2, max_depth=2))
+    model = fit(rows, GBTParams(max_iter=2, max_depth=2), watch="test")
     assert model.stages[-1].getNumTrees <= 2
 
 
