@@ -9,10 +9,12 @@ two small tables are joined once, and the transactions take part in one join ins
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sizing import BROADCAST_LIMIT
-from .joins import keep_right_key_left_join, lookup_left_join
+from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from ..workspace import scratch_path, write_and_reopen
+from .joins import keep_right_key_left_join, lookup_left_join, spread_left_join
 
 _LOOKUP_KEY = "__lookup_store"
 
@@ -37,13 +39,17 @@ def store_lookup(states: DataFrame, stores: DataFrame) -> DataFrame:
 def enrich(
     tx: DataFrame, states: DataFrame, stores: DataFrame, *, broadcast_limit: int = BROADCAST_LIMIT
 ) -> DataFrame:
-    """Both joins at once; the columns are those of ``SILVER_COLUMNS`` plus any extra ones of tx."""
+    """Both joins at once; the columns are those of ``SILVER_COLUMNS`` plus any extra ones of tx.
+
+    A lookup too large to broadcast is written first: looking for its hot keys and joining then read
+    it, and the two tables behind it are joined no second time.
+    """
     key = schemas.KEY
-    lookup = store_lookup(states, stores)
     # The outer join is on the location's Store; the output keeps the store table's.
-    keyed_lookup = lookup.withColumnRenamed(key, "__store").withColumnRenamed(_LOOKUP_KEY, key)
-    joined = lookup_left_join(tx, keyed_lookup, key, broadcast_limit=broadcast_limit)
+    lookup = store_lookup(states, stores).withColumnsRenamed({key: "__store", _LOOKUP_KEY: key})
+    if fits_broadcast(lookup, broadcast_limit):
+        joined = keep_right_key_left_join(tx, F.broadcast(lookup), key)
+    else:
+        written = write_and_reopen(lookup, scratch_path(tx.sparkSession, "store-lookup"))
+        joined = spread_left_join(tx, written, key)
     return joined.drop(key).withColumnRenamed("__store", key)
-
-
-__all__ = ["enrich", "keep_right_key_left_join", "store_lookup", "with_states", "with_stores"]

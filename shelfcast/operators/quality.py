@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.expressions import null_flag
-from ..sizing import fits_broadcast
-from ..workspace import ensure_checkpoint_dir
+from ..workspace import scratch_path, write_and_reopen
+
+#: Distinct values ranked together by the exact median, and the largest number of such slots.
+VALUES_PER_SLOT = 100_000
+MAX_SLOTS = 50_000
+
+_FIRST = Window.unboundedPreceding
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -43,56 +51,54 @@ def approx_grouped_median(
     return known.groupBy(group).agg(F.percentile_approx(value, 0.5, accuracy).alias("median"))
 
 
-def exact_grouped_median(
-    df: DataFrame, group: str, value: str, accuracy: int = 100_000
-) -> DataFrame:
+def exact_grouped_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """``group, median`` as double: the middle element, or the mean of the middle two.
 
-    The built-in exact median holds a group's values in one task. Here a sketch first brackets the
-    middle rank; a second pass counts the rows below the bracket and the copies of each value inside
-    it, both combined before the shuffle; only these values, ``10/accuracy`` of the rows at most, are
-    then ranked. A bracket that misses the middle (the sketch's error bound excludes it) is an error,
-    never a wrong number.
+    The built-in exact median holds a group's values in one task. Here the rows are first reduced to
+    counts of distinct values, combined before the shuffle and written once. Their value range is cut
+    into slots of about ``VALUES_PER_SLOT`` distinct values; counts per slot tell which slot holds the
+    middle rank of each group, and only the values in that slot are ranked.
     """
-    known = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
-        F.col(group), F.col(value).alias("__v")
-    )
-    reach = 5 / accuracy
-    edges = F.percentile_approx("__v", [0.5 - reach, 0.5 + reach], accuracy)
-    ensure_checkpoint_dir(df.sparkSession)
-    bounds = (
-        known.groupBy(F.col(group).alias("__g"))
-        .agg(F.count(F.lit(1)).alias("__n"), edges.alias("__e"))
-        .select("__g", "__n", F.col("__e")[0].alias("__lo"), F.col("__e")[1].alias("__hi"))
-        .checkpoint()
+    known = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+    counted = write_and_reopen(
+        known.groupBy(F.col(group), F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c")),
+        scratch_path(df.sparkSession, "value-counts"),
     )
-    if fits_broadcast(bounds):
-        # Few groups: the rows are not shuffled, only their combined counts are.
-        bounds = F.broadcast(bounds)
-        known = known.withColumn("__c", F.lit(1))
-    else:
-        # Many groups: a large one is first reduced to its distinct values.
-        known = known.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    placed = known.join(bounds, F.col(group) == F.col("__g")).filter(F.col("__v") <= F.col("__hi"))
-    counted = placed.groupBy(
-        F.col(group),
-        "__n",
-        F.when(F.col("__v") >= F.col("__lo"), F.col("__v")).alias("__v"),
-    ).agg(F.sum("__c").alias("__c"))
-    upto = Window.partitionBy(group).orderBy(F.col("__v").asc_nulls_first())
-    running = counted.withColumn(
-        "__r", F.sum("__c").over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    slotted = _with_slots(counted)
+    in_order = Window.partitionBy(group).orderBy("__slot")
+    slots = (
+        slotted.groupBy(group, "__slot")
+        .agg(F.sum("__c").alias("__held"))
+        .withColumn("__upto", F.sum("__held").over(in_order.rowsBetween(_FIRST, 0)))
+        .withColumn("__n", F.sum("__held").over(Window.partitionBy(group)))
+        .withColumn("__before", F.col("__upto") - F.col("__held"))
     )
-    lower_rank = F.floor((F.col("__n") + 1) / 2)
-    upper_rank = F.floor((F.col("__n") + 2) / 2)
-    below = F.max(F.when(F.col("__v").isNull() & (F.col("__r") >= lower_rank), True))
-    lower = F.min(F.when(F.col("__r") >= lower_rank, F.col("__v")))
-    upper = F.min(F.when(F.col("__r") >= upper_rank, F.col("__v")))
-    missed = below.isNotNull() | upper.isNull()
-    middle = (lower.cast("double") + upper.cast("double")) / 2
-    return running.groupBy(group).agg(
-        F.when(missed, F.raise_error(F.lit("median bracket missed")).cast("double"))
-        .otherwise(middle)
-        .alias("median")
+    # Ranks of the middle element, or of the middle two.
+    lower, upper = F.floor((F.col("__n") + 1) / 2), F.floor((F.col("__n") + 2) / 2)
+    holding = slots.filter((F.col("__before") < upper) & (F.col("__upto") >= lower))
+    by_value = Window.partitionBy(group, "__slot").orderBy("__v")
+    ranked = slotted.join(holding, [group, "__slot"]).withColumn(
+        "__rank", F.col("__before") + F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
     )
 
+    def value_at(rank: Column) -> Column:
+        return F.min(F.when(F.col("__rank") >= rank, F.col("__v"))).cast("double")
+
+    return ranked.groupBy(group).agg(((value_at(lower) + value_at(upper)) / 2).alias("median"))
+
+
+def _with_slots(counted: DataFrame) -> DataFrame:
+    """Adds ``__slot``, which grows with ``__v``. The slot edges come from a sketch; they only need to
+    be about even."""
+    wanted = min(math.ceil(counted.count() / VALUES_PER_SLOT), MAX_SLOTS)
+    if wanted <= 1:
+        return counted.withColumn("__slot", F.lit(0.0))
+    as_double = counted.withColumn("__d", F.col("__v").cast("double"))
+    shares = [i / wanted for i in range(1, wanted)]
+    cuts = as_double.agg(F.percentile_approx("__d", shares, max(10 * wanted, 10_000))).first()[0]
+    edges = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+    if len(edges) == 2:
+        return counted.withColumn("__slot", F.lit(0.0))
+    # NaN sorts last, in a slot of its own.
+    slots = Bucketizer(splits=edges, inputCol="__d", outputCol="__slot", handleInvalid="keep")
+    return slots.transform(as_double).drop("__d")

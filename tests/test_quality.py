@@ -42,14 +42,13 @@ def test_medians_of_an_even_group(spark):
     assert bag(exact_grouped_median(df, "g", "v")) == {("a", 2.5): 1, ("b", 5.0): 1}
 
 
-@pytest.mark.parametrize("accuracy", [100, 10_000])
-@pytest.mark.parametrize("few_groups", [True, False])
-def test_exact_median_equals_statistics_median(spark, accuracy, few_groups, monkeypatch):
+@pytest.mark.parametrize("values_per_slot", [1, 7, 1000, 100_000])
+def test_exact_median_equals_statistics_median(spark, values_per_slot, monkeypatch):
     from shelfcast.operators import quality
 
-    if not few_groups:
-        monkeypatch.setattr(quality, "fits_broadcast", lambda df: False)
-    rng = random.Random(accuracy)
+    monkeypatch.setattr(quality, "VALUES_PER_SLOT", values_per_slot)
+    monkeypatch.setattr(quality, "MAX_SLOTS", 400)
+    rng = random.Random(values_per_slot)
     groups = {
         "one": [4],
         "two": [1, 9],
@@ -61,10 +60,16 @@ def test_exact_median_equals_statistics_median(spark, accuracy, few_groups, monk
     rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v long").repartition(6)
-    found = {r["g"]: r["median"] for r in exact_grouped_median(df, "g", "v", accuracy).collect()}
+    found = {r["g"]: r["median"] for r in exact_grouped_median(df, "g", "v").collect()}
     assert found == {g: float(statistics.median(values)) for g, values in groups.items()}
 
 
+def test_exact_median_of_fractions_and_infinities(spark):
+    values = [float("-inf"), -0.5, 0.25, 0.25, 1.5, float("inf")]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    assert exact_grouped_median(df, "g", "v").first()["median"] == 0.25
+
+
 def test_row_count_and_preview(spark):
     df = spark.range(10)
     assert row_count(df).first()["n_rows"] == 10
