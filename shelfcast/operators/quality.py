@@ -13,7 +13,7 @@ from ..functions.expressions import null_flag
 from ..workspace import scratch_path, write_and_reopen
 
 #: Distinct values ranked together by the exact median, and the largest number of such slots.
-VALUES_PER_SLOT = 100_000
+VALUES_PER_SLOT = 500_000
 MAX_SLOTS = 50_000
 
 _FIRST = Window.unboundedPreceding
@@ -64,22 +64,28 @@ def exact_grouped_median(df: DataFrame, group: str, value: str) -> DataFrame:
         known.groupBy(F.col(group), F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c")),
         scratch_path(df.sparkSession, "value-counts"),
     )
-    slotted = _with_slots(counted)
-    in_order = Window.partitionBy(group).orderBy("__slot")
-    slots = (
-        slotted.groupBy(group, "__slot")
-        .agg(F.sum("__c").alias("__held"))
-        .withColumn("__upto", F.sum("__held").over(in_order.rowsBetween(_FIRST, 0)))
-        .withColumn("__n", F.sum("__held").over(Window.partitionBy(group)))
-        .withColumn("__before", F.col("__upto") - F.col("__held"))
-    )
     # Ranks of the middle element, or of the middle two.
     lower, upper = F.floor((F.col("__n") + 1) / 2), F.floor((F.col("__n") + 2) / 2)
-    holding = slots.filter((F.col("__before") < upper) & (F.col("__upto") >= lower))
-    by_value = Window.partitionBy(group, "__slot").orderBy("__v")
-    ranked = slotted.join(holding, [group, "__slot"]).withColumn(
-        "__rank", F.col("__before") + F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
-    )
+    slotted = _with_slots(counted)
+    if slotted is None:
+        by_value = Window.partitionBy(group).orderBy("__v")
+        ranked = counted.withColumn("__n", F.sum("__c").over(Window.partitionBy(group))).withColumn(
+            "__rank", F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
+        )
+    else:
+        by_slot = Window.partitionBy(group).orderBy("__slot")
+        slots = (
+            slotted.groupBy(group, "__slot")
+            .agg(F.sum("__c").alias("__held"))
+            .withColumn("__upto", F.sum("__held").over(by_slot.rowsBetween(_FIRST, 0)))
+            .withColumn("__n", F.sum("__held").over(Window.partitionBy(group)))
+            .withColumn("__before", F.col("__upto") - F.col("__held"))
+        )
+        holding = slots.filter((F.col("__before") < upper) & (F.col("__upto") >= lower))
+        by_value = Window.partitionBy(group, "__slot").orderBy("__v")
+        ranked = slotted.join(holding, [group, "__slot"]).withColumn(
+            "__rank", F.col("__before") + F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
+        )
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("__rank") >= rank, F.col("__v"))).cast("double")
@@ -87,18 +93,18 @@ def exact_grouped_median(df: DataFrame, group: str, value: str) -> DataFrame:
     return ranked.groupBy(group).agg(((value_at(lower) + value_at(upper)) / 2).alias("median"))
 
 
-def _with_slots(counted: DataFrame) -> DataFrame:
-    """Adds ``__slot``, which grows with ``__v``. The slot edges come from a sketch; they only need to
-    be about even."""
+def _with_slots(counted: DataFrame) -> DataFrame | None:
+    """Adds ``__slot``, which grows with ``__v``; None if one slot is enough. The slot edges come from
+    a sketch; they only need to be about even."""
     wanted = min(math.ceil(counted.count() / VALUES_PER_SLOT), MAX_SLOTS)
     if wanted <= 1:
-        return counted.withColumn("__slot", F.lit(0.0))
+        return None
     as_double = counted.withColumn("__d", F.col("__v").cast("double"))
     shares = [i / wanted for i in range(1, wanted)]
     cuts = as_double.agg(F.percentile_approx("__d", shares, max(10 * wanted, 10_000))).first()[0]
     edges = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
     if len(edges) == 2:
-        return counted.withColumn("__slot", F.lit(0.0))
+        return None
     # NaN sorts last, in a slot of its own.
     slots = Bucketizer(splits=edges, inputCol="__d", outputCol="__slot", handleInvalid="keep")
     return slots.transform(as_double).drop("__d")

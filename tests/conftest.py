@@ -14,7 +14,8 @@ def build_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[*]")
         .appName("shelfcast-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -28,8 +28,8 @@ def test_drained_stream_equals_batch_and_a_restart_adds_only_new_files(spark, pa
     table, checkpoint = f"{database}.bronze", f"{path}/checkpoint"
     for i in range(3):
         land(spark, f"{path}/in", [(i, 10 * i), (i, None)])
-    stream = lambda: open_file_stream(spark, f"{path}/in", spark.table("v").schema)
-    spark.createDataFrame([], SCHEMA).createOrReplaceTempView("v")
+    schema = infer_schema(spark, f"{path}/in")
+    stream = lambda: open_file_stream(spark, f"{path}/in", schema)
     append_to_table(stream(), table, checkpoint).awaitTermination()
     assert bag(spark.table(table)) == bag(spark.read.parquet(f"{path}/in"))
     append_to_table(stream(), table, checkpoint).awaitTermination()
