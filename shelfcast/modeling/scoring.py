@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.expressions import truncated
-from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from ..operators.joins import lookup_left_join
+from ..sizing import BROADCAST_LIMIT
 from ..workspace import scratch_path, write_and_reopen
 from .training import RAW
 
@@ -60,9 +61,9 @@ def predict_store_mean(
     means = sums.filter(F.col("mean_store").isNotNull()).select(
         "mean_store", (F.col("sum_sales") / F.col("n_sales")).alias("mean_sales")
     )
-    if fits_broadcast(means, broadcast_limit):
-        means = F.broadcast(means)
-    matched = df.join(means, F.col(schemas.KEY) == F.col("mean_store"), "left")
+    # The join drops its left key, so it gets a copy.
+    keyed = df.withColumn("mean_store", F.col(schemas.KEY))
+    matched = lookup_left_join(keyed, means, "mean_store", broadcast_limit=broadcast_limit)
     return matched.withColumn(RAW, F.coalesce("mean_sales", F.lit(overall))).drop(
         "mean_store", "mean_sales"
     )

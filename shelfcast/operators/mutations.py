@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import as_column, fill_constant, holds, typed_null
 from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from .joins import spread_left_join
 
 _SOURCE = "__src_"
 
@@ -72,8 +73,8 @@ def upsert(
     ``source`` has the columns of ``target``. A key that occurs twice in the source is an error; a
     NULL key matches nothing, so such source rows are inserted. Written as a left join and an anti
     join, not as a full outer join: adaptive execution cannot split a hot key of the latter. This way
-    a small source is broadcast and the target is not shuffled; of a large one the inserts need only
-    the target's distinct keys.
+    a small source is broadcast and the target is not shuffled; for a large one, hot target keys are
+    spread, and the inserts need only the target's distinct keys.
     """
     keys = list(keys)
     if set(target.columns) != set(source.columns):
@@ -86,14 +87,20 @@ def upsert(
     renamed = keyed_source.selectExpr(
         *[f"`{c}` AS `{_SOURCE}{c}`" for c in target.columns], f"true AS `{_SOURCE}`"
     )
+    small = fits_broadcast(renamed, broadcast_limit)
     existing = target.select(*keys)
-    if fits_broadcast(renamed, broadcast_limit):
-        renamed = F.broadcast(renamed)
+    if small:
         source_keys = F.broadcast(keyed_source.select(*keys))
         existing = existing.join(source_keys, keys, "left_semi")
     existing = existing.distinct()
-    matched = F.expr(" AND ".join(f"`{k}` = `{_SOURCE}{k}`" for k in keys))
-    updated = target.join(renamed, matched, "left").selectExpr(
+    if small or len(keys) > 1:
+        matched = F.expr(" AND ".join(f"`{k}` = `{_SOURCE}{k}`" for k in keys))
+        joined = target.join(F.broadcast(renamed) if small else renamed, matched, "left")
+    else:
+        # The spread join drops its left key, so it gets a copy.
+        copied = target.withColumn(_SOURCE + keys[0], F.col(keys[0]))
+        joined = spread_left_join(copied, renamed, _SOURCE + keys[0])
+    updated = joined.selectExpr(
         *[
             f"`{c}`" if c in keys else f"if(`{_SOURCE}`, `{_SOURCE}{c}`, `{c}`) AS `{c}`"
             for c in target.columns

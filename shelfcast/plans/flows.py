@@ -24,7 +24,6 @@ from ..operators.quality import approx_grouped_median, null_count, null_profile
 from ..operators.versioned import VersionedTable
 from ..sinks.tables import replace_table
 from ..streaming.ingest import append_to_table, open_file_stream
-from ..workspace import scratch_path, write_and_reopen
 
 # The cleaning steps and the retention the flows use.
 NULL_MONTH = "CompetitionOpenSinceMonth IS NULL"
@@ -46,6 +45,7 @@ class Tables:
     silver: str = field(init=False)
     null_counts: str = field(init=False)
     median_sales: str = field(init=False)
+    predictions: str = field(init=False)
     scoring: str = field(init=False)
     gold: str = field(init=False)
     runs: str = field(init=False)
@@ -58,6 +58,7 @@ class Tables:
             "silver": "silver_transactions",
             "null_counts": "silver_null_counts",
             "median_sales": "silver_median_sales",
+            "predictions": "ml_predictions",
             "scoring": "ml_scoring",
             "gold": "gold_transactions",
             "runs": "model_runs",
@@ -99,19 +100,19 @@ def train_and_score(
     rows = split_rows(silver, row_keys(silver), validate_on_test=validate_on_test)
     model = fit(rows, params, watch="test" if validate_on_test else "validation")
     model.write().overwrite().save(model_path)
-    raw = predict(spark, model, rows)
+    raw = predict(model, rows, names.predictions)
     metrics = regression_metrics(raw, schemas.LABEL, RAW).first().asDict()
     RunLog(spark, names.runs).record(params.as_text(), metrics, model_path, data_version)
     write_scoring(names, raw)
     return metrics
 
 
-def predict(spark: SparkSession, model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, rows: DataFrame, table: str) -> DataFrame:
     """Raw predictions of the test rows, written once: errors and scoring both read them."""
-    keep = [schemas.KEY, schemas.ROW_KEY, schemas.LABEL, RAW]
     raw = model.transform(rows.filter(F.col(SPLIT) == "test"))
-    kept = raw.select(*[c for c in keep if c in raw.columns])
-    return write_and_reopen(kept, scratch_path(spark, "predictions"))
+    keep = [schemas.KEY, schemas.ROW_KEY, schemas.LABEL, RAW]
+    replace_table(raw.select(*[c for c in keep if c in raw.columns]), table)
+    return rows.sparkSession.table(table)
 
 
 def write_scoring(names: Tables, raw: DataFrame) -> None:
@@ -234,5 +235,5 @@ def forecast_flow(
     names = Tables(database)
     silver = VersionedTable(spark, names.silver).current()
     rows = split_rows(silver, row_keys(silver))
-    write_scoring(names, predict(spark, load_model(model_path), rows))
+    write_scoring(names, predict(load_model(model_path), rows, names.predictions))
     write_gold(spark, names, silver, gold_mode, row_budget)

@@ -437,9 +437,11 @@ def gbt_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best recorded run, with the sizes of the parts it was trained and measured on."""
     rows, path, params = _trained(spark, sf_dir)
-    raw = predict(spark, load_model(path), rows)
-    sizes = {r[SPLIT]: r["n"] for r in rows.groupBy(SPLIT).agg(F.count(F.lit(1)).alias("n")).collect()}
-    log = RunLog(spark, f"{scratch_database(spark, 'runs')}.model_runs")
+    db = scratch_database(spark, "runs")
+    raw = predict(load_model(path), rows, f"{db}.ml_predictions")
+    counts = rows.groupBy(SPLIT).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r[SPLIT]: r["n"] for r in counts.collect()}
+    log = RunLog(spark, f"{db}.model_runs")
     metrics = regression_metrics(raw, schemas.LABEL, RAW).first().asDict()
     metrics.update({f"n_{part}": n for part, n in sizes.items()})
     log.record(params.as_text(), metrics, path, data_version=0)

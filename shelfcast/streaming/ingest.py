@@ -6,6 +6,8 @@ belongs to one target and must outlive the query.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,15 +65,22 @@ def append_to_table(
 
 
 def append_batches(
-    stream: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Append each micro-batch to its own folder ``_batch=<id>``, overwriting it when replayed.
 
-    Batches may differ in their columns; ``read_batches`` lines them up.
+    ``transform`` is applied to the micro-batch as a batch frame, so it may measure and spread, as
+    ``lookup_left_join`` does. Batches may differ in their columns; ``read_batches`` lines them up.
     """
 
     def write_one(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+        rows = transform(batch) if transform else batch
+        rows.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
 
     writer = _triggered(stream.writeStream, every).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(write_one).start()
@@ -92,7 +101,8 @@ def enrich_stream(
     """Key-dropping left join of a stream with a static table.
 
     Stateless: every micro-batch joins the table as it is then. Beyond the broadcast limit each
-    micro-batch is shuffled instead.
+    micro-batch is shuffled instead; where it may have hot keys, rather pass ``lookup_left_join`` to
+    ``append_batches`` as its ``transform``.
     """
     if fits_broadcast(static, broadcast_limit):
         static = F.broadcast(static)

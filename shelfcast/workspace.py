@@ -46,6 +46,13 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Stop the session's streams and remove a database with all its tables, as after a trial run."""
+    for query in spark.streams.active:
+        query.stop()
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def write_and_reopen(df: DataFrame, path: str) -> DataFrame:
     """Cut lineage with a written dataset: it outlives any executor, and readers prune columns."""
     df.write.mode("overwrite").parquet(path)

@@ -70,6 +70,21 @@ def test_upsert_updates_inserts_and_ignores_null_keys(spark, limit):
     }
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_upsert_with_a_hot_key_and_with_two_keys(spark, limit):
+    hot = spark.range(300).selectExpr("if(id % 2 = 0, 1, id) AS k", "id AS v")
+    source = spark.createDataFrame([(1, -1), (1000, -2)], "k long, v long")
+    out = upsert(hot, source, ["k"], broadcast_limit=limit)
+    assert out.columns == ["k", "v"]
+    got = bag(out)
+    assert got[(1, -1)] == 151 and got[(1000, -2)] == 1 and sum(got.values()) == 301
+    two = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k long, l long, v string")
+    news = spark.createDataFrame([(1, 2, "c"), (2, 2, "d")], "k long, l long, v string")
+    assert bag(upsert(two, news, ["k", "l"], broadcast_limit=limit)) == {
+        (1, 1, "a"): 1, (1, 2, "c"): 1, (2, 2, "d"): 1,
+    }
+
+
 def test_upsert_can_set_null_and_takes_columns_by_name(spark):
     target = spark.createDataFrame([(1, "a")], "k long, v string")
     source = spark.createDataFrame([(None, 1)], "v string, k long")

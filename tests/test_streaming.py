@@ -6,7 +6,7 @@ import pytest
 from helpers import bag
 from pyspark.sql import functions as F
 
-from shelfcast.operators import with_states
+from shelfcast.operators import lookup_left_join, with_states
 from shelfcast.streaming import (
     append_batches,
     append_to_table,
@@ -97,6 +97,14 @@ def test_stream_static_join_equals_batch_join(spark, path):
         out = f"{path}/out{limit}"
         append_batches(enriched, out, f"{path}/c{limit}").awaitTermination()
         assert bag(read_batches(spark, out, enriched.schema)) == wanted
+        # The same inside the sink, where a batch join may spread hot keys.
+        append_batches(
+            open_file_stream(spark, f"{path}/in", schema),
+            f"{path}/batch{limit}",
+            f"{path}/cb{limit}",
+            transform=lambda batch: lookup_left_join(batch, states, "Store", broadcast_limit=limit),
+        ).awaitTermination()
+        assert bag(read_batches(spark, f"{path}/batch{limit}", enriched.schema)) == wanted
 
 
 def test_processing_time_trigger_keeps_running(spark, path, database):

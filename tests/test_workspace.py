@@ -33,3 +33,15 @@ def test_written_frames_keep_schema_and_rows(spark, path):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS FLOAT) AS f, TIMESTAMP_NTZ '2024-01-01' AS t")
     again = workspace.write_and_reopen(df, path)
     assert again.dtypes == df.dtypes and again.collect() == df.collect()
+
+
+def test_drop_database_stops_streams_and_removes_tables(spark, database, path):
+    from shelfcast.streaming import append_to_table, open_file_stream
+
+    spark.range(3).write.parquet(f"{path}/in")
+    stream = open_file_stream(spark, f"{path}/in", spark.range(1).schema)
+    append_to_table(stream, f"{database}.t", f"{path}/checkpoint", every="1 seconds")
+    workspace.drop_database(spark, database)
+    assert not spark.streams.active
+    assert not spark.catalog.databaseExists(database)
+    workspace.drop_database(spark, database)
