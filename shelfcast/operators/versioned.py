@@ -27,9 +27,10 @@ SAFE_RETENTION_HOURS = 168.0
 #: Views stacked on a written version before a commit writes the rows out again.
 MAX_STACKED_VIEWS = 16
 
-# Expressions that would give another value at each read must be written out at commit.
+# Expressions that may give another value at a later read (functions of the moment or of chance, and
+# subqueries, whose tables can change) must be written out at commit.
 _UNSTABLE = re.compile(
-    r"\b(rand|randn|random|uuid|shuffle|now|current_\w+|localtimestamp|curdate|user|session_user"
+    r"\b(select|rand|randn|random|uuid|shuffle|now|current_\w+|localtimestamp|curdate|user|session_user"
     r"|monotonically_increasing_id|spark_partition_id|input_file_\w+|unix_timestamp)\b",
     re.IGNORECASE,
 )

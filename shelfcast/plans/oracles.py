@@ -58,6 +58,10 @@ SELECT t.*, coalesce(m.mean_sales, (SELECT CAST(sum(Sales) AS DOUBLE) / count(*)
 FROM test t LEFT JOIN means m ON t.Store = m.mean_store""",
     "scoring": "SELECT Store, CAST(floor(prediction_raw) AS BIGINT) AS prediction, "
     "Sales AS Real_Sales, RowId FROM raw",
+    "hashed_by_day": """
+SELECT *, CAST('0x' || substr(md5(concat_ws(chr(31), CAST(Store AS VARCHAR),
+       CAST(Date AS VARCHAR))), 1, 8) AS BIGINT) % 4 AS b1
+FROM v4""",
     "updates": """
 SELECT s_suppkey AS Store, 'e' AS StoreType, 'b' AS Assortment,
        CAST(floor(abs(s_acctbal)) AS BIGINT) AS CompetitionDistance,
@@ -77,6 +81,7 @@ _NEEDS = {
     "v4": ["v2"],
     "cleaned": ["v2"],
     "hashed": ["cleaned"],
+    "hashed_by_day": ["v4"],
     "train": ["hashed"],
     "test": ["hashed"],
     "means": ["train"],
@@ -253,6 +258,18 @@ SELECT count(*) FILTER (b1 <> 0 AND b2 <> 0) AS n_train,
        count(*) FILTER (b1 = 0) AS n_test, 1 AS measured, CAST(0 AS BIGINT) AS data_version
 FROM hashed"""
 
+def _flow_sizes(rows: str) -> str:
+    """Rows per table after a flow; ``rows`` names the common table of silver rows with their split."""
+    return f"""
+SELECT 'bronze_transactions' AS table_name, count(*) AS n_rows FROM tx
+UNION ALL SELECT 'bronze_states', count(*) FROM st
+UNION ALL SELECT 'bronze_stores', count(*) FROM so
+UNION ALL SELECT 'silver_transactions', count(*) FROM {rows}
+UNION ALL SELECT 'ml_scoring', count(*) FROM {rows} WHERE b1 = 0
+UNION ALL SELECT 'gold_transactions', count(*) FROM {rows} a
+  LEFT JOIN (SELECT Store FROM {rows} WHERE b1 = 0) b ON a.Store = b.Store"""
+
+
 ORACLES: dict[str, str] = {
     "scan_transactions": _with(["tx"], "SELECT * FROM tx"),
     "source_inventory": "SELECT 'orders.parquet' AS file_name, count(*) AS n_rows FROM orders "
@@ -337,4 +354,6 @@ ORACLES: dict[str, str] = {
         "LEFT JOIN scoring b ON a.RowId = b.RowId",
     ),
     "run_log": _with(["hashed"], _RUN),
+    "batch_flow_tables": _with(["hashed"], _flow_sizes("hashed")),
+    "stream_flow_tables": _with(["hashed_by_day"], _flow_sizes("hashed_by_day")),
 }

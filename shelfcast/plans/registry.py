@@ -64,7 +64,10 @@ from .flows import (
     NULL_MONTH,
     NULL_WEEK,
     RETAIN_HOURS,
+    Tables,
+    batch_flow,
     predict,
+    stream_flow,
 )
 
 _START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -456,6 +459,61 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- whole flows ---------------------------------------------------------------------------------
+
+
+def _table_sizes(spark: SparkSession, names: Tables) -> DataFrame:
+    tables = [
+        names.bronze_transactions,
+        names.bronze_states,
+        names.bronze_stores,
+        names.silver,
+        names.scoring,
+        names.gold,
+    ]
+    sizes = None
+    for table in tables:
+        one = row_count(spark.table(table)).select(
+            F.lit(table.split(".")[-1]).alias("table_name"), "n_rows"
+        )
+        sizes = one if sizes is None else sizes.unionByName(one)
+    return sizes
+
+
+def batch_flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in each table after the batch flow."""
+    db = scratch_database(spark, "batch_flow")
+    batch_flow(
+        spark,
+        db,
+        retail.transactions(spark, sf_dir),
+        retail.states(spark, sf_dir),
+        retail.stores(spark, sf_dir),
+        scratch_path(spark, "batch-flow-model"),
+        params=GBTParams(max_iter=2),
+    )
+    return _table_sizes(spark, Tables(db))
+
+
+def stream_flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in each table after the stream flow, whose transactions have no row key."""
+    landing, base = scratch_path(spark, "landing"), scratch_path(spark, "stream-flow")
+    tx = retail.transactions(spark, sf_dir).withColumn("Date", F.col("Date").cast("timestamp"))
+    tx.select(*schemas.TRANSACTIONS.names).write.parquet(landing)
+    db = scratch_database(spark, "stream_flow")
+    stream_flow(
+        spark,
+        db,
+        landing,
+        retail.states(spark, sf_dir),
+        retail.stores(spark, sf_dir),
+        f"{base}/model",
+        f"{base}/checkpoint",
+        params=GBTParams(max_iter=2),
+    )
+    return _table_sizes(spark, Tables(db))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_transactions": scan_transactions,
     "source_inventory": source_inventory,
@@ -503,4 +561,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_by_row": gold_row_level,
     "gbt_scoring": gbt_scoring,
     "run_log": run_log,
+    "batch_flow_tables": batch_flow_tables,
+    "stream_flow_tables": stream_flow_tables,
 }

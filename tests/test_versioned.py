@@ -220,3 +220,14 @@ def test_unstable_delete_counts_what_it_wrote(spark, database, rows):
     t.delete("rand() >= 0")
     assert t.current().isEmpty()
     assert t.history().first()["rows_after"] == 0
+
+
+def test_delete_with_a_subquery_does_not_follow_the_other_table(spark, database, rows):
+    other = f"{database}.closed"
+    spark.sql("SELECT 1L AS k").write.saveAsTable(other)
+    t = VersionedTable(spark, f"{database}.subquery")
+    t.create(rows)
+    t.delete(f"k IN (SELECT k FROM {other})")
+    spark.sql("SELECT 2L AS k").write.mode("overwrite").saveAsTable(other)
+    assert bag(t.current().select("k")) == {(2,): 1, (3,): 1}
+    assert t.history().first()["rows_after"] == 2
