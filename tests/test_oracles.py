@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 import pytest
 from check_oracles import compare, connect
 
@@ -21,6 +23,24 @@ def test_query_matches_sql(spark, con, name):
     assert good, note
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["enrich_states", "enrich_stores", "upsert_stores", "scoring_baseline", "gold_fanout", "gold_by_row"],
+)
+def test_query_matches_sql_without_any_broadcast(spark, con, name, monkeypatch):
+    for module in ("enrich", "gold", "joins", "mutations"):
+        target = import_module(f"shelfcast.operators.{module}")
+        monkeypatch.setattr(target, "fits_broadcast", lambda df, limit=0: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        good, note = compare(spark, con, name, SF)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert good, note
+
+
 def test_every_query_but_the_model_has_sql():
     assert set(queries()) - set(oracle_sql()) == {"gbt_scoring"}
     assert set(oracle_sql()) <= set(queries())

@@ -20,7 +20,8 @@ from shelfcast.operators import (
 
 
 def test_null_profile_counts_every_column(spark):
-    df = spark.createDataFrame([(1, None, "x"), (None, None, "y"), (3, 1.5, "z")], "a long, b double, c string")
+    rows = [(1, None, "x"), (None, None, "y"), (3, 1.5, "z")]
+    df = spark.createDataFrame(rows, "a long, b double, c string")
     assert bag(null_profile(df)) == {("a", 1): 1, ("b", 2): 1, ("c", 0): 1}
     nan = spark.createDataFrame([(float("nan"),)], "b double")
     assert bag(null_profile(nan)) == {("b", 0): 1}
