@@ -22,6 +22,10 @@ from ..sizing import BROADCAST_LIMIT, fits_broadcast
 #: A key is hot when it holds at least this share of a side's rows; at most 1/share keys can.
 HOT_SHARE = 0.01
 
+#: Splits per partition's share of rows. Salts fall into partitions by hash; more and smaller pieces
+#: fill them more evenly.
+PIECES = 4
+
 _LEFT_KEY, _ROW, _CELL = "__left_key", "__salt_row", "__salt_cell"
 
 
@@ -73,7 +77,7 @@ def spread_left_join(
     key: str,
     *,
     hot_share: float = HOT_SHARE,
-    max_splits: int = 256,
+    max_splits: int = 1024,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Key-dropping left join by shuffle, with hot keys laid out on a salt grid.
@@ -88,7 +92,7 @@ def spread_left_join(
     rows as before. Identical rows share a salt; adaptive skew splitting deals with those.
     """
     _reject_shared_columns(left, right, key)
-    splits = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    splits = PIECES * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot_left, hot_right = hot_keys(left, key, hot_share), hot_keys(right, key, hot_share)
     rows = _grid_size(hot_left, splits, max_splits)
     cells = _grid_size(hot_right, splits, max_splits)
@@ -158,9 +162,9 @@ def _reject_shared_columns(left: DataFrame, right: DataFrame, key: str) -> None:
         raise ValueError(f"both sides have column(s) {sorted(shared)}; rename one side first")
 
 
-def _grid_size(hot: list[tuple[object, float]], partitions: int, limit: int) -> int:
-    """Splits that bring the largest hot key down to about one partition's share."""
-    return min(max(2, math.ceil(hot[0][1] * partitions)), limit) if hot else 1
+def _grid_size(hot: list[tuple[object, float]], splits: int, limit: int) -> int:
+    """Pieces for the largest hot key, by its share of a side that is cut into ``splits`` pieces."""
+    return min(max(2 * PIECES, math.ceil(hot[0][1] * splits)), limit) if hot else 1
 
 
 def _among(column: Column, hot: list[tuple[object, float]]) -> Column:
