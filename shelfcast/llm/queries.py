@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.ngram_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
 
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 5-word shingles, and the component of links at a similarity of 0.8."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document so that the sources meet their weights in words."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))
@@ -52,6 +58,7 @@ def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixing": op5_source_mixing,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
 }
