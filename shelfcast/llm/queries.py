@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.ngram_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
+from shelfcast.llm.token_counts import token_counts
 from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
 
 #: Shards of the sharding query.
 SHARDS = 24
+#: Tokens beyond which a document is too long for the context.
+TOKEN_LIMIT = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +60,19 @@ def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Bytes and tokens of every document by the byte-level BPE of 50,257 entries."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts(table(spark, sf_dir, "documents"), str(path))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixing": op5_source_mixing,
+    "op10_token_counts": op10_token_counts,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
 }
