@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.decontamination import contaminated_passages
 from shelfcast.llm.ngram_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.token_counts import token_counts
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of benchmark items that documents hold."""
+    return contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's set of 5-word shingles, and the component of links at a similarity of 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -71,6 +77,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixing": op5_source_mixing,
     "op10_token_counts": op10_token_counts,
