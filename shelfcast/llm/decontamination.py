@@ -144,16 +144,13 @@ def _found(batches, index: SeedIndex):
 
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, first_word, n_words, n_equal and identity: the best overlap of each contaminated pair."""
-    spark = docs.sparkSession
     fields = [("doc_id", docs.schema["doc_id"].dataType), ("item_id", benchmark.schema["item_id"].dataType)]
     fields += [(c, T.LongType()) for c in ("first_word", "n_words", "n_equal")]
     schema = T.StructType([T.StructField(*f) for f in fields])
     result = None
     for ids, texts in benchmark_blocks(benchmark):
-        shared = spark.sparkContext.broadcast((SeedIndex(texts), ids))
 
-        def run(batches, shared=shared):
-            index, ids = shared.value
+        def run(batches, index=SeedIndex(texts), ids=ids):
             for batch, first, _, rows in _found(batches, index):
                 if rows:
                     columns = list(zip(*rows, strict=True))
@@ -173,12 +170,10 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark passage, with all their columns; no shuffle."""
-    spark = docs.sparkSession
     for _, texts in benchmark_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(SeedIndex(texts))
 
-        def run(batches, shared=shared):
-            for batch, first, n, rows in _found(batches, shared.value):
+        def run(batches, index=SeedIndex(texts)):
+            for batch, first, n, rows in _found(batches, index):
                 clean = np.ones(n, bool)
                 clean[[r[0] for r in rows]] = False
                 yield batch.slice(first, n).filter(pa.array(clean))

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.decontamination import contaminated_passages
+from shelfcast.llm.holdout import held_out
+from shelfcast.llm.language_id import fit_language_model, predict_languages
 from shelfcast.llm.ngram_join import near_duplicates
 from shelfcast.llm.mixing import mix_sources
+from shelfcast.llm.quality import THRESHOLD, fit_quality_model, score_quality
 from shelfcast.llm.token_counts import token_counts
 from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
 
@@ -48,6 +51,18 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated probability of quality 1 for every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, and its shard if there were one more."""
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +81,13 @@ def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    predicted = predict_languages(docs, fit_language_model(docs))
+    return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Bytes and tokens of every document by the byte-level BPE of 50,257 entries."""
     if path is None:
@@ -80,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixing": op5_source_mixing,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
 }
