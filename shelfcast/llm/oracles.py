@@ -45,4 +45,24 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op7_rendezvous_sharding": _OP7}
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP3 = f"""
+WITH lines AS (
+  SELECT row_number() OVER () AS doc, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+split AS (
+  SELECT doc, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS position FROM lines),
+keyed AS (
+  SELECT *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split),
+common AS (
+  SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+decided AS (
+  SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.largest AS gone FROM keyed k LEFT JOIN common c USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM decided GROUP BY doc, doc_id
+"""
+
+ORACLES: dict[str, str] = {"op3_line_dedup": _OP3, "op7_rendezvous_sharding": _OP7}

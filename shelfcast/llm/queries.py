@@ -11,10 +11,13 @@ from shelfcast.llm.decontamination import contaminated_passages
 from shelfcast.llm.holdout import held_out
 from shelfcast.llm.language_id import fit_language_model, predict_languages
 from shelfcast.llm.ngram_join import near_duplicates
+from shelfcast.llm.line_dedup import keep_bitmaps, kept_text
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.quality import THRESHOLD, fit_quality_model, score_quality
+from shelfcast.llm.secrets_scan import listed, scan_secrets
 from shelfcast.llm.token_counts import token_counts
 from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
+from shelfcast.workspace import scratch_path, write_and_reopen
 
 #: Shards of the sharding query.
 SHARDS = 24
@@ -31,6 +34,20 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that recur in three or more documents go from all but the last of them."""
+    docs = table(spark, sf_dir, "documents")
+    bitmaps = write_and_reopen(keep_bitmaps(docs), scratch_path(spark, "line-keep"))
+    hashed = kept_text(docs.withColumn("content", F.xxhash64("text")), bitmaps).select(
+        "doc_id", "content", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+    return (
+        hashed.alias("t")
+        .join(bitmaps.distinct().alias("b"), F.expr("t.doc_id <=> b.doc_id AND t.content = b.content"))
+        .select("t.doc_id", "n_lines", "n_dropped", "kept_sha256")
+    )
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's set of 5-word shingles, and the component of links at a similarity of 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -81,6 +98,23 @@ def op7_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of known formats, and strings that the randomness tests report."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("known", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(listed("known").cast("binary"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -100,9 +134,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_line_dedup": op3_line_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_classifier": op6_quality_classifier,
+    "op8_secret_scan": op8_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
