@@ -1,7 +1,7 @@
 """The corpus pipeline: stages that each take the documents the stage before kept.
 
-Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of ``documents``. ``run`` writes each result to the shared folder and reads it again as the next input.
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
+``documents``. ``run`` writes each result to the shared folder and reads it again as the next input.
 """
 
 from __future__ import annotations
@@ -9,30 +9,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm.decontamination import without_contaminated
 from shelfcast.llm.mixing import apply_mix, mix_sources
+from shelfcast.llm.ngram_join import near_duplicates
+from shelfcast.llm.quality import fit_quality_model, keep_quality
 from shelfcast.llm.queries import SHARDS, table
-from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
+from shelfcast.llm.sharding import shard_records
+from shelfcast.sizing import fits_broadcast
 from shelfcast.workspace import scratch_path, write_and_reopen
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labels of these documents."""
+    return keep_quality(docs, fit_quality_model(docs, table(spark, sf_dir, "labels")))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id.
+
+    Documents without a word are in no group and stay. Of rows with equal id and text one stays.
+    """
+    marked = near_duplicates(docs).filter("doc_id <=> component_id").groupBy("doc_id").count()
+    kept = write_and_reopen(marked, scratch_path(spark, "pipeline-kept"))
+    ids = kept.select(F.col("doc_id").alias("_kept_id"))
+    side = F.broadcast(ids) if fits_broadcast(ids) else ids
+    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+    return out if kept.filter("count > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's weight asks for."""
     return apply_mix(docs, mix_sources(docs))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the shard of each row and its slot there. Copies of a document share its shard."""
-    columns = [c for c in docs.columns if c not in ("shard", "slot")]
-    placed = docs.select(*columns, rendezvous_shard(record_key(docs["doc_id"]), [1.0] * SHARDS).alias("shard"))
-    return number_slots(placed, ["doc_id", "text"])
+    """Adds the shard of each row; copies of a document share it."""
+    return shard_records(docs, [1.0] * SHARDS)
 
 
 STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", deduplicate),
+    ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
     ("sharding", shard),
 ]
 
-#: SQL can't express the trained classifier of the first stage.
+#: SQL can't express the trained classifier of the first stage; the tests compare with a brute-force version.
 ORACLE_SQL: str | None = None
 
 
