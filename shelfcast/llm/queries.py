@@ -15,6 +15,7 @@ from shelfcast.llm.line_dedup import keep_bitmaps, kept_text
 from shelfcast.llm.mixing import mix_sources
 from shelfcast.llm.quality import THRESHOLD, fit_quality_model, score_quality
 from shelfcast.llm.secrets_scan import listed, scan_secrets
+from shelfcast.llm.topk_search import build_index, search
 from shelfcast.llm.token_counts import token_counts
 from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
 from shelfcast.workspace import scratch_path, write_and_reopen
@@ -34,6 +35,13 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20, its whole text being the query."""
+    docs = table(spark, sf_dir, "documents")
+    index = write_and_reopen(build_index(docs), scratch_path(spark, "search-index"))
+    return search(index, docs.filter("doc_id % 20 = 0")).select("query_id", "rank", "doc_id", "score")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that recur in three or more documents go from all but the last of them."""
     docs = table(spark, sf_dir, "documents")
@@ -134,6 +142,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_topk_search": op2_topk_search,
     "op3_line_dedup": op3_line_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixing": op5_source_mixing,
