@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 def regression_metrics(
     scored: DataFrame, label: str, prediction: str, *by: str
 ) -> DataFrame:
-    """``n_rows, mae, mse, r2`` over all rows, or per group of ``by``.
+    """``n_rows, n_left_out, mae, mse, r2`` over all rows, or per group of ``by``.
+
+    Every number but ``n_left_out`` is over the rows that have both values; it counts the others.
 
     The total variance comes from ``var_pop`` (merged central moments), which stays accurate where
     sum-of-squares minus square-of-sum would cancel. For a constant label r2 is 1 when every
     prediction is exact and 0 otherwise.
     """
-    error = F.col(prediction).cast("double") - F.col(label).cast("double")
-    mse, variance = F.avg(error * error), F.var_pop(F.col(label).cast("double"))
+    both = F.col(prediction).isNotNull() & F.col(label).isNotNull()
+    real = F.when(both, F.col(label).cast("double"))
+    error = F.col(prediction).cast("double") - real
+    mse, variance = F.avg(error * error), F.var_pop(real)
     return scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(both).alias("n_rows"),
+        F.count_if(~both).alias("n_left_out"),
         F.avg(F.abs(error)).alias("mae"),
         mse.alias("mse"),
         F.when(variance == 0, F.when(mse == 0, 1.0).otherwise(0.0))

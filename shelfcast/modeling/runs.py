@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Metrics that are better the lower they are.
+ERRORS = frozenset({"mae", "mse", "rmse", "loss"})
+
 _SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -49,7 +52,12 @@ class RunLog:
     def runs(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def best(self, metric: str = "r2") -> DataFrame:
-        """The run with the highest value of a metric (ties: the earliest)."""
+    def best(self, metric: str = "r2", lowest: bool | None = None) -> DataFrame:
+        """The run with the best value of a metric (ties: the earliest); NULL and NaN are no values.
+
+        Best is the lowest for the metrics in ``ERRORS`` and the highest for others, unless stated.
+        """
         value = F.col("metrics")[metric]
-        return self.runs().filter(value.isNotNull()).orderBy(value.desc(), "recorded_at").limit(1)
+        order = value.asc() if (metric in ERRORS if lowest is None else lowest) else value.desc()
+        known = value.isNotNull() & ~F.isnan(value)
+        return self.runs().filter(known).orderBy(order, "recorded_at").limit(1)

@@ -23,17 +23,23 @@ _HOLDOUT = "__holdout"
 
 @dataclass(frozen=True)
 class GBTParams:
-    """Learning rate and seed are the data model's fixed values. Depth is kept small: a level-wise
-    distributed tree has up to 2^depth nodes per round, and each round is a pass over the rows."""
+    """Learning rate, rounds, patience and seed are the data model's fixed values. Depth is kept small: a
+    level-wise distributed tree has up to 2^depth nodes per round, and each round is a pass over the rows.
+
+    ``max_iter`` is the largest number of rounds; training stops once the error on the watched rows
+    has not improved for ``patience`` rounds, and the rounds up to the best one are kept. ``max_bins``
+    is the number of cuts tried per feature; it must not be below the number of a category's values.
+    """
 
     step_size: float = 0.4
     seed: int = 42
     max_depth: int = 5
-    max_iter: int = 20
+    max_iter: int = 1000
+    patience: int = 10
+    max_bins: int = 32
     min_instances_per_node: int = 1
     min_info_gain: float = 0.0
     subsampling_rate: float = 1.0
-    validation_tol: float = 0.01
 
     def as_text(self) -> dict[str, str]:
         return {k: str(v) for k, v in asdict(self).items()}
@@ -47,21 +53,30 @@ def split_rows(
     With ``validate_on_test`` there is no third part, and early stopping watches the test rows (the
     two-way mode; its test metrics are optimistic).
     """
-    return df.withColumn(SPLIT, split_label(keys, 4, 0 if validate_on_test else 5))
+    return df.withColumn(SPLIT, split_label(keys, 4, 0 if validate_on_test else 5, df.schema))
 
 
 def fit(
-    df: DataFrame, params: GBTParams = GBTParams(), *, watch: str = "validation"
+    df: DataFrame,
+    params: GBTParams = GBTParams(),
+    *,
+    watch: str = "validation",
+    features: Sequence[str] = schemas.FEATURES,
 ) -> PipelineModel:
     """Fit on the ``train`` rows of a frame with a ``split`` column; early stopping follows the error
     on the ``watch`` rows (``test`` in the two-way mode).
 
+    The learner cannot go on with a fitted model, so rounds are doubled until the best one has
+    ``patience`` rounds behind it: at most twice the work of the last fit, and one more fit of the
+    best number of rounds, which repeats the first rounds exactly. Without watched rows all
+    ``max_iter`` rounds are kept.
+
     The vectors are kept in executor memory, spilling to disk, for the passes of the boosting rounds;
     a lost executor's part is rebuilt from ``df``, which should be a written table. The learner cuts
     its own growing lineage every ten rounds in the session's checkpoint folder.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    inputs = Pipeline(stages=[feature_inputs(), assembler()])
+    inputs = Pipeline(stages=[feature_inputs(features), assembler(features)])
     rows = df.filter(F.col(SPLIT).isin("train", watch) & F.col(schemas.LABEL).isNotNull())
     prepared = inputs.fit(rows)
     vectors = (
@@ -77,21 +92,32 @@ def fit(
         featuresCol=VECTOR,
         labelCol=schemas.LABEL,
         predictionCol=RAW,
-        validationIndicatorCol=_HOLDOUT,
         lossType="squared",
         stepSize=params.step_size,
         maxDepth=params.max_depth,
-        maxIter=params.max_iter,
+        maxBins=params.max_bins,
         minInstancesPerNode=params.min_instances_per_node,
         minInfoGain=params.min_info_gain,
         subsamplingRate=params.subsampling_rate,
-        validationTol=params.validation_tol,
         seed=params.seed,
         checkpointInterval=10,
         cacheNodeIds=True,
     )
     try:
-        trees = learner.fit(vectors)
+        train, watched = vectors.filter(~F.col(_HOLDOUT)), vectors.filter(_HOLDOUT)
+        rounds = params.max_iter if watched.isEmpty() else min(params.max_iter, 2 * params.patience)
+        while True:
+            trees = learner.copy({learner.maxIter: rounds}).fit(train)
+            if rounds == params.max_iter and watched.isEmpty():
+                break
+            errors = trees.evaluateEachIteration(watched, "squared")
+            best = errors.index(min(errors)) + 1
+            if rounds < params.max_iter and best > rounds - params.patience:
+                rounds = min(params.max_iter, 2 * rounds)
+                continue
+            if best < rounds:
+                trees = learner.copy({learner.maxIter: best}).fit(train)
+            break
     finally:
         vectors.unpersist()
     return PipelineModel(stages=[*prepared.stages, trees])

@@ -32,7 +32,8 @@ def with_stores(located: DataFrame, stores: DataFrame, **options) -> DataFrame:
 def store_lookup(states: DataFrame, stores: DataFrame) -> DataFrame:
     """``states ⟕ stores``: one row set per located store, under the key ``__lookup_store``."""
     key = schemas.KEY
-    located = states.withColumnRenamed(key, _LOOKUP_KEY)
+    # A location without a store number matches no transaction: none of its rows is in the result.
+    located = states.filter(F.col(key).isNotNull()).withColumnRenamed(key, _LOOKUP_KEY)
     return located.join(stores, located[_LOOKUP_KEY] == stores[key], "left")
 
 

@@ -18,9 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from ..workspace import scratch_path, write_and_reopen
 
-#: A key is hot when it holds at least this share of a side's rows; at most 1/share keys can.
-HOT_SHARE = 0.01
+#: A key is hot when it holds this part of a task's mean share of the rows: the threshold falls with
+#: the number of shuffle partitions.
+HOT_PART = 0.5
+
+#: Counters of a sketch per hot key that there can be, groups of partitions whose sketches are merged first, and
+#: the largest sketch Spark makes.
+_COUNTERS, _GROUPS, _MOST_COUNTERS = 4, 64, 1_000_000
 
 #: Splits per partition's share of rows. Salts fall into partitions by hash; more and smaller pieces
 #: fill them more evenly.
@@ -45,28 +51,41 @@ def lookup_left_join(
     key: str,
     *,
     broadcast_limit: int = BROADCAST_LIMIT,
-    hot_share: float = HOT_SHARE,
+    hot_share: float | None = None,
 ) -> DataFrame:
-    """Key-dropping left join of a fact with a lookup of unknown size."""
+    """Key-dropping left join of a fact with a lookup of unknown size. A lookup too large to broadcast
+    is written first: it is read for its hot keys and for the join."""
     if fits_broadcast(lookup, broadcast_limit):
         return keep_right_key_left_join(fact, F.broadcast(lookup), key)
+    lookup = write_and_reopen(lookup, scratch_path(fact.sparkSession, "lookup"))
     return spread_left_join(fact, lookup, key, hot_share=hot_share)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[tuple[object, float]]:
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list[tuple[object, float]]:
     """Keys holding at least ``share`` of the rows, each with its share, largest first.
 
-    One pass over the key column with a sketch of fixed size; no shuffle of the rows, and never
-    more than ``1/share`` results. Used only to place rows: a miss costs balance, not correctness.
+    By default a key is hot from ``HOT_PART`` of a shuffle partition's mean share. One pass over the key
+    column with sketches, merged per group of partitions and then once more, so that no task gets all
+    of them; never more than ``1/share`` results. Used only to place rows: a miss costs balance, not
+    correctness.
     """
-    wanted = min(math.ceil(1 / share), 1000)
-    tracked = 8192
-    row = df.filter(F.col(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(`{key}`, {wanted}, {tracked})").alias("top"),
-    ).first()
-    if not row["n"]:
+    share = _hot_share(df) if share is None else share
+    wanted = math.ceil(1 / share)
+    tracked = min(_MOST_COUNTERS, 1 << max(8192, _COUNTERS * wanted).bit_length())
+    wanted = min(wanted, tracked // _COUNTERS)
+    group = F.pmod(F.spark_partition_id(), F.lit(_GROUPS)).alias("__group")
+    part = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("__k"), group)
+    if part.isEmpty():
         return []
+    sketches = part.groupBy("__group").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(__k, {tracked})").alias("s")
+    )
+    row = (
+        sketches.coalesce(1)  # Spark can't combine in a task without sketches
+        .agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+        .selectExpr("n", f"approx_top_k_estimate(s, {wanted}) AS top")
+        .first()
+    )
     shares = [(item["item"], item["count"] / row["n"]) for item in row["top"]]
     return [(value, part) for value, part in shares if part >= share]
 
@@ -76,16 +95,16 @@ def spread_left_join(
     right: DataFrame,
     key: str,
     *,
-    hot_share: float = HOT_SHARE,
-    max_splits: int = 1024,
+    hot_share: float | None = None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Key-dropping left join by shuffle, with hot keys laid out on a salt grid.
 
     A hot left key's rows are split over the grid's rows and the partners repeated there; a hot
     right key's rows are split over its columns and the left rows repeated. Each pair meets in
-    exactly one cell, so the result is that of the plain join. A left row repeated over columns
-    finds no partner in some of them; these copies are dropped, which is safe because a hot right
+    exactly one cell, so the result is that of the plain join. Each hot key has a grid of its own size,
+    by its share (to a power of two), so no piece is larger than a part of a task's mean share. A left
+    row repeated over columns finds no partner in some of them; these copies are dropped, which is safe because a hot right
     key has a partner in at least one.
 
     Salts hash the row (``spread_by``, default: all left columns), so a retried task places its
@@ -94,31 +113,26 @@ def spread_left_join(
     _reject_shared_columns(left, right, key)
     splits = PIECES * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot_left, hot_right = hot_keys(left, key, hot_share), hot_keys(right, key, hot_share)
-    rows = _grid_size(hot_left, splits, max_splits)
-    cells = _grid_size(hot_right, splits, max_splits)
+    rows = lambda c: _grid_size(c, hot_left, splits)
+    cells = lambda c: _grid_size(c, hot_right, splits)
 
     left_key, right_key = F.col(_LEFT_KEY), F.col(key)
-    is_hot_left = lambda c: _among(c, hot_left)
-    is_hot_right = lambda c: _among(c, hot_right)
+    is_hot_right = lambda c: cells(c) > 1
 
     placed_left = left.withColumnRenamed(key, _LEFT_KEY)
     names = [_LEFT_KEY if n == key else n for n in spread_by or left.columns]
     # NULL keys never match; spreading them keeps them out of one partition.
     placed_left = placed_left.withColumn(
         _ROW,
-        F.when(left_key.isNull(), _salt(names, splits))
-        .when(is_hot_left(left_key), _salt(names, rows))
-        .otherwise(0),
-    )
-    placed_right = right.withColumn(
-        _CELL, F.when(is_hot_right(right_key), _salt(right.columns, cells)).otherwise(0)
+        F.when(left_key.isNull(), _salt(names, F.lit(splits))).otherwise(_salt(names, rows(left_key))),
     )
+    placed_right = right.withColumn(_CELL, _salt(right.columns, cells(right_key)))
     if hot_right:
-        placed_left = placed_left.withColumn(_CELL, _repeat(is_hot_right(left_key), cells))
+        placed_left = placed_left.withColumn(_CELL, _repeat(cells(left_key)))
     else:
         placed_left = placed_left.withColumn(_CELL, F.lit(0))
     if hot_left:
-        placed_right = placed_right.withColumn(_ROW, _repeat(is_hot_left(right_key), rows))
+        placed_right = placed_right.withColumn(_ROW, _repeat(rows(right_key)))
     else:
         placed_right = placed_right.withColumn(_ROW, F.lit(0))
 
@@ -162,20 +176,26 @@ def _reject_shared_columns(left: DataFrame, right: DataFrame, key: str) -> None:
         raise ValueError(f"both sides have column(s) {sorted(shared)}; rename one side first")
 
 
-def _grid_size(hot: list[tuple[object, float]], splits: int, limit: int) -> int:
-    """Pieces for the largest hot key, by its share of a side that is cut into ``splits`` pieces."""
-    return min(max(2 * PIECES, math.ceil(hot[0][1] * splits)), limit) if hot else 1
+def _hot_share(df: DataFrame) -> float:
+    return min(0.5, HOT_PART / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _among(column: Column, hot: list[tuple[object, float]]) -> Column:
-    return F.coalesce(column.isin([value for value, _ in hot]), F.lit(False)) if hot else F.lit(False)
+def _grid_size(column: Column, hot: list[tuple[object, float]], splits: int) -> Column:
+    """Pieces of a key's rows, by its share of a side that is cut into ``splits`` pieces; 1 for keys that
+    are not hot. Sizes are powers of two, so there are few classes of keys to tell apart."""
+    classes: dict[int, list[object]] = {}
+    for value, share in hot:
+        pieces = 1 << max(1, math.ceil(share * splits) - 1).bit_length()
+        classes.setdefault(max(pieces, 2 * PIECES), []).append(value)
+    size = F.lit(None).cast("int")
+    for pieces, values in classes.items():
+        size = F.when(column.isin(values), F.lit(pieces)).otherwise(size)
+    return F.coalesce(size, F.lit(1))
 
 
-def _salt(columns: Sequence[str], splits: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(splits)).cast("int")
+def _salt(columns: Sequence[str], splits: Column) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), splits).cast("int")
 
 
-def _repeat(condition: Column, splits: int) -> Column:
-    return F.explode(
-        F.when(condition, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    )
+def _repeat(splits: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), splits - 1))

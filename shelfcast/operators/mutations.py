@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import as_column, fill_constant, holds, typed_null
 from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from ..workspace import scratch_path, write_and_reopen
 from .joins import spread_left_join
 
 _SOURCE = "__src_"
 
 
 def delete_where(df: DataFrame, predicate: Column | str) -> DataFrame:
-    """Drop the rows where the predicate is TRUE; rows where it is UNKNOWN stay."""
-    return df.filter(~holds(predicate))
+    """Drop the rows where the predicate is TRUE; rows where it is UNKNOWN stay.
+
+    Written so that comparisons reach the scan. The predicate stands there twice, so it must be
+    deterministic.
+    """
+    condition = as_column(predicate)
+    return df.filter(~condition | condition.isNull())
 
 
 def update_where(
@@ -31,9 +37,7 @@ def update_where(
     Every right-hand side sees the old row; results are cast to the column's type, and column order
     and types stay as they were.
     """
-    unknown = set(assignments) - set(df.columns)
-    if unknown:
-        raise ValueError(f"no such column(s): {sorted(unknown)}")
+    assignments = own_names(df, assignments)
     hit = None if predicate is None else holds(predicate)
     changed = {}
     for name, value in assignments.items():
@@ -44,12 +48,19 @@ def update_where(
     return df.withColumns(changed)
 
 
+def own_names(df: DataFrame, given: Mapping[str, object]) -> dict:
+    """The mapping under the frame's own column names; case does not matter, as in SQL."""
+    names = {c.lower(): c for c in df.columns}
+    unknown = sorted(k for k in given if k.lower() not in names)
+    if unknown:
+        raise ValueError(f"no such column(s): {unknown}")
+    return {names[k.lower()]: v for k, v in given.items()}
+
+
 def fill_nulls(df: DataFrame, constants: Mapping[str, float | int | str]) -> DataFrame:
     """Constant fill of NULLs; the same as an update of each column where it is NULL. NaN is a value
     and stays (``fillna`` would replace it)."""
-    unknown = set(constants) - set(df.columns)
-    if unknown:
-        raise ValueError(f"no such column(s): {sorted(unknown)}")
+    constants = own_names(df, constants)
     kinds = dict(df.dtypes)
     return df.withColumns({c: fill_constant(c, v).cast(kinds[c]) for c, v in constants.items()})
 
@@ -84,10 +95,13 @@ def upsert(
     if not repeated.isEmpty():
         raise ValueError(f"the source has more than one row for some {keys}")
 
+    small = fits_broadcast(keyed_source, broadcast_limit)
+    if not small:  # it is read several times below
+        source = write_and_reopen(source, scratch_path(source.sparkSession, "upsert-source"))
+        keyed_source = source.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     renamed = keyed_source.selectExpr(
         *[f"`{c}` AS `{_SOURCE}{c}`" for c in target.columns], f"true AS `{_SOURCE}`"
     )
-    small = fits_broadcast(renamed, broadcast_limit)
     existing = target.select(*keys)
     if small:
         source_keys = F.broadcast(keyed_source.select(*keys))

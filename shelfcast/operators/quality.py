@@ -57,13 +57,16 @@ def exact_grouped_median(df: DataFrame, group: str, value: str) -> DataFrame:
     The built-in exact median holds a group's values in one task. Here the rows are first reduced to
     counts of distinct values, combined before the shuffle and written once. Their value range is cut
     into slots of about ``VALUES_PER_SLOT`` distinct values; counts per slot tell which slot holds the
-    middle rank of each group, and only the values in that slot are ranked.
+    middle rank of each group, and only the values in that slot are ranked. A group whose values are
+    all NULL has the median NULL.
     """
-    known = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-    counted = write_and_reopen(
+    known = df.filter(F.col(group).isNotNull())
+    everything = write_and_reopen(
         known.groupBy(F.col(group), F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c")),
         scratch_path(df.sparkSession, "value-counts"),
     )
+    counted = everything.filter(F.col("__v").isNotNull())
+    void = everything.groupBy(group).agg(F.count("__v").alias("n")).filter("n = 0")
     # Ranks of the middle element, or of the middle two.
     lower, upper = F.floor((F.col("__n") + 1) / 2), F.floor((F.col("__n") + 2) / 2)
     slotted = _with_slots(counted)
@@ -90,7 +93,8 @@ def exact_grouped_median(df: DataFrame, group: str, value: str) -> DataFrame:
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("__rank") >= rank, F.col("__v"))).cast("double")
 
-    return ranked.groupBy(group).agg(((value_at(lower) + value_at(upper)) / 2).alias("median"))
+    medians = ranked.groupBy(group).agg(((value_at(lower) + value_at(upper)) / 2).alias("median"))
+    return medians.unionByName(void.select(group, F.lit(None).cast("double").alias("median")))
 
 
 def _with_slots(counted: DataFrame) -> DataFrame | None:

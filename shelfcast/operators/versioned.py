@@ -20,20 +20,36 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .diff import changed_rows
-from .mutations import upsert
+from .mutations import own_names, upsert
 
 #: Retention below which expiry must be forced.
 SAFE_RETENTION_HOURS = 168.0
 #: Views stacked on a written version before a commit writes the rows out again.
 MAX_STACKED_VIEWS = 16
 
-# Expressions that may give another value at a later read (functions of the moment or of chance, and
-# subqueries, whose tables can change) must be written out at commit.
-_UNSTABLE = re.compile(
-    r"\b(select|rand|randn|random|uuid|shuffle|now|current_\w+|localtimestamp|curdate|user|session_user"
-    r"|monotonically_increasing_id|spark_partition_id|input_file_\w+|unix_timestamp)\b",
-    re.IGNORECASE,
+# Functions of the moment, of chance or of the placement of rows. An expression that calls one, or
+# holds a subquery (whose tables can change), may give another value at a later read and is written out at commit.
+_UNSTABLE_CALLS = frozenset(
+    """rand randn random uniform randstr uuid shuffle now current_date current_timestamp current_time current_timezone
+    current_user current_catalog current_database current_schema localtimestamp curdate user session_user
+    monotonically_increasing_id spark_partition_id input_file_name input_file_block_start input_file_block_length
+    unix_timestamp""".split()
 )
+# Those of them that may stand without parentheses.
+_UNSTABLE_NAMES = frozenset("current_date current_timestamp current_time current_user localtimestamp user session_user".split())
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
+_NAME = re.compile(r"([A-Za-z_]\w*)\s*(\()?")
+
+
+def is_unstable(expression: str, columns: Sequence[str] = ()) -> bool:
+    """Whether an SQL expression may change its value. Text literals and column names don't count."""
+    own = {c.lower() for c in columns}
+    for name, call in _NAME.findall(_QUOTED.sub(" ", expression)):
+        name = name.lower()
+        if name == "select" or (name in _UNSTABLE_CALLS if call else name in _UNSTABLE_NAMES - own):
+            return True
+    return False
+
 
 _HISTORY = (
     "version BIGINT, committed_at TIMESTAMP, operation STRING, parameters MAP<STRING, STRING>, "
@@ -51,11 +67,17 @@ def _utc_now() -> datetime:
 
 class VersionedTable:
     def __init__(
-        self, spark: SparkSession, name: str, clock: Callable[[], datetime] = _utc_now
+        self,
+        spark: SparkSession,
+        name: str,
+        clock: Callable[[], datetime] = _utc_now,
+        max_stacked: int = MAX_STACKED_VIEWS,
     ) -> None:
+        """``max_stacked``: views over written rows before a commit writes them again, which is a pass
+        over the whole table; more views make plans longer, fewer make commits dearer."""
         if not re.fullmatch(r"\w+(\.\w+){0,2}", name):
             raise ValueError(f"not a table name: {name!r}")
-        self.spark, self.name, self._clock = spark, name, clock
+        self.spark, self.name, self._clock, self.max_stacked = spark, name, clock, max_stacked
         self._history_table = f"{name}__history"
 
     # -- commits ---------------------------------------------------------------------------------
@@ -92,10 +114,14 @@ class VersionedTable:
         log = self._log()
         parent, before = log[-1]["version"], log[-1]["rows_after"]
         hits = after = None
-        if not _UNSTABLE.search(where):
-            hits = self.spark.table(self._view(parent)).agg(F.count_if(F.expr(where))).first()[0]
+        source = self.spark.table(self._view(parent))
+        unstable = is_unstable(where, source.columns)
+        if not unstable:
+            hits = source.agg(F.count_if(F.expr(where))).first()[0]
             after = before - hits
-        query = f"SELECT * FROM {self._view(parent)} WHERE NOT coalesce(({where}), false)"
+        # The second form reaches the scan, but evaluates the predicate twice.
+        kept = f"NOT coalesce(({where}), false)" if unstable else f"NOT ({where}) OR ({where}) IS NULL"
+        query = f"SELECT * FROM {self._view(parent)} WHERE {kept}"
         return self._derive(log, "DELETE", {"where": where}, query, hits, after, where)
 
     def update(self, assignments: Mapping[str, str], where: str | None = None) -> int:
@@ -107,9 +133,7 @@ class VersionedTable:
         log = self._log()
         source = self._view(log[-1]["version"])
         current = self.spark.table(source)
-        unknown = set(assignments) - set(current.columns)
-        if unknown:
-            raise ValueError(f"no such column(s): {sorted(unknown)}")
+        assignments = own_names(current, assignments)
         hit = "true" if where is None else f"coalesce(({where}), false)"
         items, new_values = [], []
         for field in current.schema:
@@ -122,7 +146,7 @@ class VersionedTable:
             items.append(item)
         expressions = " ".join([*assignments.values(), where or ""])
         hits = None
-        if not _UNSTABLE.search(expressions):
+        if not is_unstable(expressions, current.columns):
             check = current.agg(F.count_if(F.expr(hit)), F.max(F.xxhash64(*new_values)))
             hits = check.first()[0]
         parameters = {f"set {c}": e for c, e in assignments.items()}
@@ -297,7 +321,8 @@ class VersionedTable:
         head = log[-1]
         version = head["version"] + 1
         parent = head["version"] if parent is None else parent
-        written = bool(_UNSTABLE.search(expressions)) or _stacked(log, parent) >= MAX_STACKED_VIEWS
+        columns = self.spark.table(self._view(parent)).columns
+        written = is_unstable(expressions, columns) or self._stacked(log, parent) >= self.max_stacked
         if written:
             rows_after = self._write(version, self.spark.sql(query))
         else:
@@ -349,20 +374,19 @@ class VersionedTable:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {self._view(version)}")
         return version
 
+    def _stacked(self, log: list[Row], version: int) -> int:
+        """Views between a version and the rows it reads; expiry may have written rows since the commit."""
+        parents = {r["version"]: r["parent"] for r in log}
+        depth = 0
+        while not self._exists(self._data(version)):
+            version, depth = parents[version], depth + 1
+        return depth
+
     def _drop_version(self, version: int) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self._view(version)}")
         self.spark.sql(f"DROP TABLE IF EXISTS {self._data(version)}")
 
 
-def _stacked(log: list[Row], version: int) -> int:
-    """Views between a version and the rows it reads."""
-    steps = {r["version"]: (r["parent"], r["written"]) for r in log}
-    depth = 0
-    while not steps[version][1]:
-        version, depth = steps[version][0], depth + 1
-    return depth
-
-
 def _micros(moment: datetime) -> int:
     """Microseconds since the epoch; a moment without a zone is taken as UTC."""
     if moment.tzinfo is None:

@@ -7,6 +7,7 @@ adds the table-history steps. Both end with a model, a scoring table and a gold
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -20,11 +21,14 @@ from ..modeling import GBTParams, RunLog, fit, load_model, scoring_table, split_
 from ..modeling.training import RAW, SPLIT
 from ..operators.enrich import enrich
 from ..operators.gold import gold_by_row, gold_fanout
+from ..operators.joins import fanout_rows
 from ..operators.quality import approx_grouped_median, null_count, null_profile
 from ..operators.versioned import VersionedTable
 from ..sinks.tables import replace_table
 from ..streaming.ingest import append_to_table, open_file_stream
 
+_LOG = logging.getLogger(__name__)
+
 # The cleaning steps and the retention the flows use.
 NULL_MONTH = "CompetitionOpenSinceMonth IS NULL"
 NULL_WEEK = "Promo2SinceWeek IS NULL"
@@ -121,13 +125,18 @@ def write_scoring(names: Tables, raw: DataFrame) -> None:
 
 
 def write_gold(
-    spark: SparkSession, names: Tables, silver: DataFrame, mode: str, row_budget: int | None
+    spark: SparkSession, names: Tables, silver: DataFrame, mode: str | None, row_budget: int | None
 ) -> None:
-    """``store``: many-to-many on the store; ``row``: one row per transaction."""
+    """``row``: one row per transaction, the default where transactions have a row key; ``store``:
+    many-to-many on the store, whose rows are counted and logged before they are made."""
+    if mode is None:
+        mode = "row" if schemas.ROW_KEY in silver.columns else "store"
     scoring = spark.table(names.scoring)
     if mode == "row":
         gold = gold_by_row(silver, scoring)
     elif mode == "store":
+        rows = fanout_rows(silver, scoring, schemas.KEY).first()["n_rows"]
+        _LOG.info("the store-level gold table will have %s rows", rows)
         gold = gold_fanout(silver, scoring, row_budget=row_budget)
     else:
         raise ValueError(f"gold mode is 'store' or 'row', not {mode!r}")
@@ -144,7 +153,7 @@ def batch_flow(
     model_path: str,
     *,
     params: GBTParams = GBTParams(),
-    gold_mode: str = "store",
+    gold_mode: str | None = None,
     row_budget: int | None = None,
 ) -> dict[str, float]:
     """Batch ingest → silver → delete, two updates → expiry → model → scoring → gold.
@@ -186,9 +195,10 @@ def stream_flow(
     checkpoint: str,
     *,
     params: GBTParams = GBTParams(),
-    gold_mode: str = "store",
+    gold_mode: str | None = None,
     row_budget: int | None = None,
     retain_hours: float = RETAIN_HOURS,
+    max_files_per_trigger: int = 1,
 ) -> StreamFlowReport:
     """Stream ingest → snapshot enrichment → profile → delete, update, add column, update → history
     and time travel → expiry → model → scoring → gold.
@@ -196,7 +206,7 @@ def stream_flow(
     The stream is drained before the snapshot join, so the join does not race with it.
     """
     names = Tables(database)
-    stream = open_file_stream(spark, tx_path, schemas.TRANSACTIONS)
+    stream = open_file_stream(spark, tx_path, schemas.TRANSACTIONS, max_files_per_trigger)
     append_to_table(stream, names.bronze_transactions, checkpoint).awaitTermination()
     bronze = spark.table(names.bronze_transactions)
     silver = build_silver(spark, names, bronze, states, stores)
@@ -228,7 +238,7 @@ def forecast_flow(
     database: str,
     model_path: str,
     *,
-    gold_mode: str = "store",
+    gold_mode: str | None = None,
     row_budget: int | None = None,
 ) -> None:
     """Score the test rows of the newest silver version with a stored model; rebuild gold."""

@@ -60,7 +60,7 @@ FROM test t LEFT JOIN means m ON t.Store = m.mean_store""",
     "Sales AS Real_Sales, RowId FROM raw",
     "hashed_by_day": """
 SELECT *, CAST('0x' || substr(md5(concat_ws(chr(31), CAST(Store AS VARCHAR),
-       CAST(Date AS VARCHAR))), 1, 8) AS BIGINT) % 4 AS b1
+       CAST(epoch_us(Date) AS VARCHAR))), 1, 8) AS BIGINT) % 4 AS b1
 FROM v4""",
     "updates": """
 SELECT s_suppkey AS Store, 'e' AS StoreType, 'b' AS Assortment,
@@ -241,7 +241,9 @@ SELECT CASE WHEN b1 = 0 THEN 'test' WHEN b2 = 0 THEN 'validation' ELSE 'train' E
 FROM hashed GROUP BY 1"""
 
 _METRICS = """
-SELECT count(*) AS n_rows, round(avg(abs(prediction_raw - Sales)), 4) AS mae,
+SELECT count(*) FILTER (prediction_raw IS NOT NULL AND Sales IS NOT NULL) AS n_rows,
+       count(*) FILTER (prediction_raw IS NULL OR Sales IS NULL) AS n_left_out,
+       round(avg(abs(prediction_raw - Sales)), 4) AS mae,
        round(avg((prediction_raw - Sales) * (prediction_raw - Sales)), 0) AS mse,
        round(1 - avg((prediction_raw - Sales) * (prediction_raw - Sales)) / var_pop(Sales), 8) AS r2
 FROM raw"""
@@ -258,16 +260,16 @@ SELECT count(*) FILTER (b1 <> 0 AND b2 <> 0) AS n_train,
        count(*) FILTER (b1 = 0) AS n_test, 1 AS measured, CAST(0 AS BIGINT) AS data_version
 FROM hashed"""
 
-def _flow_sizes(rows: str) -> str:
+def _flow_sizes(rows: str, by_row: bool = False) -> str:
     """Rows per table after a flow; ``rows`` names the common table of silver rows with their split."""
+    gold = "" if by_row else f" a LEFT JOIN (SELECT Store FROM {rows} WHERE b1 = 0) b ON a.Store = b.Store"
     return f"""
 SELECT 'bronze_transactions' AS table_name, count(*) AS n_rows FROM tx
 UNION ALL SELECT 'bronze_states', count(*) FROM st
 UNION ALL SELECT 'bronze_stores', count(*) FROM so
 UNION ALL SELECT 'silver_transactions', count(*) FROM {rows}
 UNION ALL SELECT 'ml_scoring', count(*) FROM {rows} WHERE b1 = 0
-UNION ALL SELECT 'gold_transactions', count(*) FROM {rows} a
-  LEFT JOIN (SELECT Store FROM {rows} WHERE b1 = 0) b ON a.Store = b.Store"""
+UNION ALL SELECT 'gold_transactions', count(*) FROM {rows}{gold}"""
 
 
 ORACLES: dict[str, str] = {
@@ -334,6 +336,18 @@ ORACLES: dict[str, str] = {
     "stream_ingest": _with(["tx"], "SELECT * FROM tx"),
     "stream_to_table": _with(["tx"], "SELECT * FROM tx"),
     "stream_static_enrich": _with(["located"], "SELECT * FROM located"),
+    "stream_restart": _with(["tx"], "SELECT * FROM tx"),
+    "stream_late_file": _with(["tx"], "SELECT * FROM tx"),
+    "stream_inferred_schema": _with(["tx"], "SELECT * FROM tx"),
+    "stream_processing_time": _with(["tx"], "SELECT * FROM tx"),
+    "stream_rate_limited": _with(
+        ["tx"], "SELECT CAST(3 AS BIGINT) AS n_batches, count(*) AS n_rows FROM tx"
+    ),
+    "stream_evolving_table": _with(
+        ["tx"],
+        "SELECT *, CASE WHEN RowId % 2 <> 0 AND Customers <> 0 THEN Sales / Customers END "
+        "AS SalesPerCustomer FROM tx",
+    ),
     "stream_snapshot_enrich": _with(["located"], "SELECT * FROM located"),
     "train_test_split_counts": _with(["hashed"], _SPLIT_COUNTS),
     "feature_matrix": _with(["cleaned"], _features()),
@@ -353,7 +367,12 @@ ORACLES: dict[str, str] = {
         "SELECT a.*, b.prediction, b.Real_Sales FROM cleaned a "
         "LEFT JOIN scoring b ON a.RowId = b.RowId",
     ),
+    "gbt_scored_rows": _with(
+        ["test"], "SELECT RowId, Store, Sales AS Real_Sales, 1 AS has_prediction FROM test"
+    ),
+    "run_log_baseline": _with(["raw"], _METRICS),
     "run_log": _with(["hashed"], _RUN),
     "batch_flow_tables": _with(["hashed"], _flow_sizes("hashed")),
+    "forecast_flow_tables": _with(["hashed"], _flow_sizes("hashed", by_row=True)),
     "stream_flow_tables": _with(["hashed_by_day"], _flow_sizes("hashed_by_day")),
 }

@@ -51,8 +51,10 @@ from ..sinks import append_evolving, create_table, create_table_as, replace_tabl
 from ..sources import read_csv, read_parquet, read_table, retail, rows_per_file
 from ..streaming import (
     append_batches,
+    append_to_evolving_table,
     append_to_table,
     enrich_stream,
+    infer_schema,
     open_file_stream,
     read_batches,
 )
@@ -66,6 +68,7 @@ from .flows import (
     RETAIN_HOURS,
     Tables,
     batch_flow,
+    forecast_flow,
     predict,
     stream_flow,
 )
@@ -343,6 +346,97 @@ def stream_snapshot_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_states(stream_to_table(spark, sf_dir), retail.states(spark, sf_dir))
 
 
+def _land(rows: DataFrame, folder: str, files: int) -> None:
+    """So many more files in a folder that a stream reads."""
+    rows.repartition(files).write.mode("append").parquet(folder)
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = retail.orders(spark, sf_dir)
+    return orders.filter("o_orderkey % 2 = 0"), orders.filter("o_orderkey % 2 <> 0")
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several files drained; more files; a second query goes on from the same checkpoint."""
+    base = scratch_path(spark, "stream-restart")
+    for rows in _halves(spark, sf_dir):
+        _land(rows, f"{base}/in", 3)
+        stream = retail.as_transactions(open_file_stream(spark, f"{base}/in", schemas.ORDERS))
+        append_batches(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{base}/out", stream.schema)
+
+
+def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, but the files that land later carry times of a month before."""
+    base = scratch_path(spark, "stream-late")
+    for late, rows in enumerate(_halves(spark, sf_dir)):
+        folder = f"{base}/in/part={late}"
+        _land(rows, folder, 2)
+        if late:
+            _set_times(spark, folder, datetime.now(timezone.utc) - timedelta(days=30))
+        stream = open_file_stream(spark, f"{base}/in/*", schemas.ORDERS)
+        stream = retail.as_transactions(stream)
+        append_batches(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{base}/out", stream.schema)
+
+
+def _set_times(spark: SparkSession, folder: str, moment: datetime) -> None:
+    """Modification time of a folder's files, on any file system Spark can write."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        files.setTimes(status.getPath(), int(moment.timestamp() * 1000), -1)
+
+
+def stream_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema comes from the files that are there."""
+    base, folder = scratch_path(spark, "stream-inferred"), f"{sf_dir}/orders.parquet*"
+    stream = retail.as_transactions(open_file_stream(spark, folder, infer_schema(spark, folder)))
+    append_batches(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{base}/out", stream.schema)
+
+
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that runs every second until all there is has been taken."""
+    base = scratch_path(spark, "stream-timed")
+    table = f"{scratch_database(spark, 'stream_timed')}.bronze"
+    query = append_to_table(_order_stream(spark, sf_dir), table, f"{base}/checkpoint", every="1 seconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return read_table(spark, table)
+
+
+def stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five files at two per micro-batch: the batches, and the rows they brought."""
+    base = scratch_path(spark, "stream-rate")
+    _land(retail.orders(spark, sf_dir), f"{base}/in", 5)
+    stream = open_file_stream(spark, f"{base}/in", schemas.ORDERS, max_files_per_trigger=2)
+    append_batches(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").agg(
+        F.count_distinct("_batch").alias("n_batches"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+def stream_evolving_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that the later half of the stream gives one more column."""
+    base = scratch_path(spark, "stream-evolving")
+    table = f"{scratch_database(spark, 'stream_evolving')}.bronze"
+    for later, rows in enumerate(_halves(spark, sf_dir)):
+        _land(rows, f"{base}/in", 2)
+        stream = retail.as_transactions(open_file_stream(spark, f"{base}/in", schemas.ORDERS))
+        append_to_evolving_table(
+            stream,
+            table,
+            f"{base}/checkpoint",
+            transform=(lambda batch: batch.withColumn("SalesPerCustomer", ratio("Sales", "Customers")))
+            if later
+            else None,
+        ).awaitTermination()
+    return read_table(spark, table).drop("_batch")
+
+
 # -- modelling -----------------------------------------------------------------------------------
 
 
@@ -386,6 +480,7 @@ def regression_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = regression_metrics(raw, schemas.LABEL, RAW)
     return errors.select(
         "n_rows",
+        "n_left_out",
         F.round("mae", 4).alias("mae"),
         F.round("mse", 0).alias("mse"),
         F.round("r2", 8).alias("r2"),
@@ -425,7 +520,7 @@ def gold_row_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, GBTParams]:
     cleaned = write_and_reopen(_cleaned(spark, sf_dir), scratch_path(spark, "training"))
     rows = split_rows(cleaned)
-    params = GBTParams(max_iter=5)
+    params = GBTParams()
     path = scratch_path(spark, "model")
     fit(rows, params).save(path)
     return rows, path, params
@@ -437,6 +532,31 @@ def gbt_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring_table(raw, [schemas.ROW_KEY])
 
 
+def gbt_scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of the scored rows: which they are, and that each has a prediction."""
+    scored = gbt_scoring(spark, sf_dir)
+    return scored.select(
+        schemas.ROW_KEY,
+        schemas.KEY,
+        "Real_Sales",
+        F.col("prediction").isNotNull().cast("int").alias("has_prediction"),
+    )
+
+
+def run_log_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The errors of the store-mean model, recorded and read back as the best of two runs."""
+    errors = regression_errors(spark, sf_dir).first().asDict()
+    log = RunLog(spark, f"{scratch_database(spark, 'baseline_runs')}.model_runs")
+    log.record({"model": "none"}, {"r2": float("nan"), "mae": float("nan")})
+    log.record({"model": "store mean"}, errors)
+    best = log.best("mae").select(F.col("metrics").alias("m"))
+    return best.select(
+        F.col("m")["n_rows"].cast("long").alias("n_rows"),
+        F.col("m")["n_left_out"].cast("long").alias("n_left_out"),
+        *[F.col("m")[k].alias(k) for k in ("mae", "mse", "r2")],
+    )
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best recorded run, with the sizes of the parts it was trained and measured on."""
     rows, path, params = _trained(spark, sf_dir)
@@ -490,7 +610,7 @@ def batch_flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         retail.states(spark, sf_dir),
         retail.stores(spark, sf_dir),
         scratch_path(spark, "batch-flow-model"),
-        params=GBTParams(max_iter=2),
+        gold_mode="store",
     )
     return _table_sizes(spark, Tables(db))
 
@@ -509,11 +629,26 @@ def stream_flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         retail.stores(spark, sf_dir),
         f"{base}/model",
         f"{base}/checkpoint",
-        params=GBTParams(max_iter=2),
     )
     return _table_sizes(spark, Tables(db))
 
 
+def forecast_flow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in each table after the forecast flow: the newest silver rows scored with a stored model."""
+    db = scratch_database(spark, "forecast_flow")
+    model = scratch_path(spark, "forecast-model")
+    batch_flow(
+        spark,
+        db,
+        retail.transactions(spark, sf_dir),
+        retail.states(spark, sf_dir),
+        retail.stores(spark, sf_dir),
+        model,
+    )
+    forecast_flow(spark, db, model)
+    return _table_sizes(spark, Tables(db))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_transactions": scan_transactions,
     "source_inventory": source_inventory,
@@ -548,6 +683,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_to_table": stream_to_table,
     "stream_static_enrich": stream_static_enrich,
     "stream_snapshot_enrich": stream_snapshot_enrich,
+    "stream_restart": stream_restart,
+    "stream_late_file": stream_late_file,
+    "stream_inferred_schema": stream_inferred_schema,
+    "stream_processing_time": stream_processing_time,
+    "stream_rate_limited": stream_rate_limited,
+    "stream_evolving_table": stream_evolving_table,
     "train_test_split_counts": train_test_split_counts,
     "feature_matrix": feature_matrix,
     "category_index": category_index,
@@ -560,7 +701,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_fanout_rows": gold_store_level_rows,
     "gold_by_row": gold_row_level,
     "gbt_scoring": gbt_scoring,
+    "gbt_scored_rows": gbt_scored_rows,
     "run_log": run_log,
+    "run_log_baseline": run_log_baseline,
     "batch_flow_tables": batch_flow_tables,
     "stream_flow_tables": stream_flow_tables,
+    "forecast_flow_tables": forecast_flow_tables,
 }

@@ -24,12 +24,14 @@ def replace_table(df: DataFrame, table: str) -> None:
     df.write.format("parquet").mode("overwrite").saveAsTable(table)
 
 
-def append_evolving(df: DataFrame, table: str) -> None:
+def append_evolving(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     """Append by column name. Columns the table lacks are added to it (older rows read NULL);
-    columns the frame lacks are written as NULL. A changed type is an error."""
+    columns the frame lacks are written as NULL. A changed type is an error. A new table is
+    partitioned by ``partition_by``."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        create_table(df, table)
+        writer = df.write.format("parquet").mode("errorifexists")
+        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
         return
     known = {f.name.lower(): f.dataType for f in spark.table(table).schema}
     for field in df.schema:
@@ -49,3 +51,9 @@ def append_evolving(df: DataFrame, table: str) -> None:
         for f in spark.table(table).schema
     ]
     df.select(*in_table_order).write.insertInto(table)
+
+
+def drop_rows_of(spark: SparkSession, table: str, column: str, value: str) -> None:
+    """Drop one partition of a table, if both are there."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")

@@ -1,5 +1,6 @@
 from .ingest import (
     append_batches,
+    append_to_evolving_table,
     append_to_table,
     enrich_stream,
     infer_schema,
@@ -9,6 +10,7 @@ from .ingest import (
 
 __all__ = [
     "append_batches",
+    "append_to_evolving_table",
     "append_to_table",
     "enrich_stream",
     "infer_schema",

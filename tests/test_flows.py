@@ -17,7 +17,7 @@ FAST = GBTParams(max_iter=2, max_depth=3)
 
 def test_batch_flow(spark, database, path):
     tx, states, stores = (f(spark, SF) for f in (retail.transactions, retail.states, retail.stores))
-    metrics = batch_flow(spark, database, tx, states, stores, f"{path}/model", params=FAST)
+    metrics = batch_flow(spark, database, tx, states, stores, f"{path}/model", params=FAST, gold_mode="store")
     names = Tables(database)
     assert metrics["n_rows"] == spark.table(names.scoring).count() == 202
     silver = VersionedTable(spark, names.silver)
@@ -28,10 +28,10 @@ def test_batch_flow(spark, database, path):
     assert gold.count() == 2169
     assert gold.columns == ["RowId", *schemas.GOLD_COLUMNS]
     run = spark.table(names.runs).first()
-    assert run["data_version"] == 3 and set(run["metrics"]) == {"n_rows", "mae", "mse", "r2"}
+    assert run["data_version"] == 3 and set(run["metrics"]) == {"n_rows", "n_left_out", "mae", "mse", "r2"}
 
     before = bag(spark.table(names.scoring))
-    forecast_flow(spark, database, f"{path}/model", gold_mode="row")
+    forecast_flow(spark, database, f"{path}/model")
     assert bag(spark.table(names.scoring)) == before
     by_row = spark.table(names.gold)
     assert by_row.count() == 856

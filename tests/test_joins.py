@@ -147,6 +147,31 @@ def test_hot_rows_are_spread_over_tasks(spark):
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2001
 
 
+def test_a_key_of_less_than_a_percent_is_spread_where_tasks_are_many(spark):
+    """400 partitions, a key of 0.9 per cent: 3.6 times a task's mean share."""
+    left = spark.range(40_000).select(
+        F.when(F.col("id") < 360, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("p")
+    )
+    right = left.select("k").distinct().withColumn("v", F.lit("x"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "400",
+    }
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert [k for k, _ in hot_keys(left, "k")] == [-1]
+        out = spread_left_join(left, right, "k")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 40_000 and max(sizes) < 2.5 * 100
+
+
 def test_shared_columns_are_refused(spark):
     a = spark.createDataFrame([(1, 2)], "k long, p long")
     with pytest.raises(ValueError, match="both sides"):

@@ -77,6 +77,19 @@ def test_two_way_split_watches_the_test_rows(spark, silver):
     assert model.stages[-1].getNumTrees <= 2
 
 
+def test_rounds_go_on_until_patience_ends_and_the_best_are_kept(spark, silver):
+    rows = split_rows(silver)
+    params = GBTParams(max_iter=12, patience=2, max_depth=2, step_size=0.1)
+    model = fit(rows, params)
+    trees = model.stages[-1].getNumTrees
+    assert 4 < trees <= 12  # the first fit has 4 rounds
+    watched = model.transform(rows.filter("split = 'validation'").drop(RAW))
+    errors = model.stages[-1].evaluateEachIteration(
+        watched.withColumn("Sales", F.col("Sales").cast("double")).drop(RAW), "squared"
+    )
+    assert errors.index(min(errors)) == trees - 1
+
+
 def test_label_and_features_share_the_row(spark, silver):
     raw = silver.withColumn(RAW, F.col("Sales") + 0.9)
     out = scored_rows(raw, ["RowId"])
@@ -110,4 +123,8 @@ def test_runs_are_kept_and_the_best_is_found(spark, database):
     row = log.best().first()
     assert (row["run_id"], row["model_path"], row["data_version"]) == (best, "/models/b", 2)
     assert row["params"] == {"max_depth": "7"}
-    assert log.best("mae").first()["metrics"]["mae"] == 3.0
+    assert log.best("mae").first()["metrics"]["mae"] == 0.5
+    assert log.best("mae", lowest=False).first()["metrics"]["mae"] == 3.0
+    log.record({}, {"r2": float("nan"), "mae": float("nan")})
+    assert log.best().first()["run_id"] == best
+    assert log.best("mae").first()["metrics"]["mae"] == 0.5

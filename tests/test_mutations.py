@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from helpers import bag
+from pyspark.sql import functions as F
 
 from shelfcast.functions import ratio
 from shelfcast.operators import (
@@ -114,3 +115,39 @@ def test_keyed_changes(spark):
     }
     with pytest.raises(Exception, match="repeated key"):
         keyed_changes(old.union(old), new, ["k"]).collect()
+
+
+def test_keyed_changes_compares_values_not_texts(spark):
+    from shelfcast.operators import keyed_changes
+
+    rows = "id long, a string, b string, t timestamp"
+    old = spark.createDataFrame(
+        [(1, None, "x", None), (2, "p\x1fq", "r", None), (3, "same", "same", None)], rows
+    )
+    new = spark.createDataFrame(
+        [(1, "\\N", "x", None), (2, "p", "q\x1fr", None), (3, "same", "same", None)], rows
+    )
+    assert bag(keyed_changes(old, new, ["id"])) == {(1, "update"): 1, (2, "update"): 1}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # an hour that a clock change repeats
+        one, other = (
+            spark.range(1).select("id", F.timestamp_seconds(F.lit(s)).alias("t"))
+            for s in (1_730_611_800, 1_730_615_400)
+        )
+        assert bag(keyed_changes(one, other, ["id"])) == {(0, "update"): 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_keyed_changes_of_arrays_and_structs(spark):
+    from shelfcast.operators import keyed_changes
+
+    old = spark.createDataFrame([(1, [1, 2]), (2, [3]), (3, None)], "id long, a array<long>")
+    new = spark.createDataFrame([(1, [1, 2]), (2, [4]), (3, [])], "id long, a array<long>")
+    assert bag(keyed_changes(old, new, ["id"])) == {(2, "update"): 1, (3, "update"): 1}
+
+
+def test_update_ignores_the_case_of_column_names(spark):
+    df = spark.createDataFrame([(1, 2)], "id long, v long")
+    assert bag(update_where(df, {"V": "7"}, "ID = 1")) == {(1, 7): 1}

@@ -53,6 +53,8 @@ def test_delete_predicate_reaches_the_scan(spark, path):
     silver(spark).write.parquet(path)
     kept = delete_where(spark.read.parquet(path), "CompetitionOpenSinceMonth IS NULL")
     assert "IsNotNull(CompetitionOpenSinceMonth)" in plan_of(kept.select("Sales"))
+    over = delete_where(spark.read.parquet(path), "Sales > 5").select("Sales")
+    assert "PushedFilters: [Or(LessThanOrEqual(Sales,5),IsNull(Sales))]" in plan_of(over)
     assert "PushedFilters: [IsNotNull(Store), LessThan(Store,50)]" in plan_of(
         spark.read.parquet(path).filter(F.col("Store") < 50)
     )

@@ -71,6 +71,31 @@ def test_exact_median_of_fractions_and_infinities(spark):
     assert exact_grouped_median(df, "g", "v").first()["median"] == 0.25
 
 
+def test_exact_median_keeps_a_group_of_nulls(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", None)], "g string, v long")
+    assert bag(exact_grouped_median(df, "g", "v")) == {("a", 2.0): 1, ("b", None): 1}
+
+
+def test_metrics_leave_out_rows_without_a_prediction(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 1.0), (1000, None)], "y long, p double")
+    row = regression_metrics(df, "y", "p").first()
+    assert (row["n_rows"], row["n_left_out"], row["mae"], row["r2"]) == (2, 1, 1.0, -3.0)
+
+
+def test_split_of_timestamps_does_not_follow_the_time_zone(spark):
+    seconds = spark.range(500).select((F.col("id") * 7919 * 60).alias("s"))
+    labels = []
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            df = seconds.select("s", F.timestamp_seconds("s").alias("t"))
+            labels.append(dict(df.select("s", split_label(["t"], schema=df.schema)).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert labels[0] == labels[1] and len(set(labels[0].values())) == 3
+
+
 def test_row_count_and_preview(spark):
     df = spark.range(10)
     assert row_count(df).first()["n_rows"] == 10

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import time
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import lookup_left_join, with_states
 from shelfcast.streaming import (
     append_batches,
+    append_to_evolving_table,
     append_to_table,
     enrich_stream,
     infer_schema,
@@ -24,6 +26,11 @@ def land(spark, folder, rows, schema=SCHEMA):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
 
 
+def forget_commit(checkpoint, batch_id):
+    for name in (str(batch_id), f".{batch_id}.crc"):
+        os.remove(f"{checkpoint}/commits/{name}")
+
+
 def test_drained_stream_equals_batch_and_a_restart_adds_only_new_files(spark, path, database):
     table, checkpoint = f"{database}.bronze", f"{path}/checkpoint"
     for i in range(3):
@@ -66,11 +73,58 @@ def test_replayed_batch_is_written_once(spark, path):
     land(spark, f"{path}/in", [(1, 1), (2, 2)])
     schema = infer_schema(spark, f"{path}/in")
     stream = open_file_stream(spark, f"{path}/in", schema)
+    for _ in range(2):
+        append_batches(stream, f"{path}/out", f"{path}/c1").awaitTermination()
+        forget_commit(f"{path}/c1", 0)  # as if the query had died before it
     append_batches(stream, f"{path}/out", f"{path}/c1").awaitTermination()
-    append_batches(stream, f"{path}/out", f"{path}/c2").awaitTermination()  # batch 0 once more
     assert bag(read_batches(spark, f"{path}/out", schema)) == {(1, 1): 1, (2, 2): 1}
 
 
+def test_two_checkpoints_on_one_path_keep_all_rows(spark, path):
+    land(spark, f"{path}/a", [(i, i) for i in range(10)])
+    land(spark, f"{path}/b", [(100 + i, i) for i in range(3)])
+    schema = infer_schema(spark, f"{path}/a")
+    for name in ("a", "b"):
+        stream = open_file_stream(spark, f"{path}/{name}", schema)
+        append_batches(stream, f"{path}/out", f"{path}/checkpoint-{name}").awaitTermination()
+    assert read_batches(spark, f"{path}/out", schema).count() == 13
+
+
+def test_a_file_that_lands_late_with_an_old_time_is_read(spark, path):
+    land(spark, f"{path}/in", [(1, 1)])
+    schema = infer_schema(spark, f"{path}/in")
+
+    def drain():
+        stream = open_file_stream(spark, f"{path}/in", schema)
+        append_batches(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+
+    drain()
+    before = set(os.listdir(f"{path}/in"))
+    land(spark, f"{path}/in", [(2, 2), (3, 3)])
+    for name in set(os.listdir(f"{path}/in")) - before:
+        os.utime(f"{path}/in/{name}", (time.time() - 30 * 86400,) * 2)
+    drain()
+    assert read_batches(spark, f"{path}/out", schema).count() == 3
+
+
+def test_evolving_table_sink_adds_columns_and_replays_once(spark, path, database):
+    table, wide = f"{database}.bronze", SCHEMA + ", spc double"
+
+    def drain(schema):
+        declared = spark.createDataFrame([], schema).schema
+        stream = open_file_stream(spark, f"{path}/in", declared)
+        append_to_evolving_table(stream, table, f"{path}/checkpoint").awaitTermination()
+
+    land(spark, f"{path}/in", [(1, 1)])
+    drain(SCHEMA)
+    land(spark, f"{path}/in", [(2, 2, 0.5)], wide)
+    drain(wide)
+    forget_commit(f"{path}/checkpoint", 1)
+    drain(wide)
+    rows = bag(spark.table(table).select("Store", "Sales", "spc"))
+    assert rows == {(1, 1, None): 1, (2, 2, 0.5): 1}
+
+
 def test_later_batches_with_more_columns(spark, path):
     wide = SCHEMA + ", spc double"
     land(spark, f"{path}/in", [(1, 1)])

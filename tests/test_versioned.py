@@ -158,11 +158,8 @@ def test_deleted_rows_leave_storage_on_expiry(spark, table):
     assert stored.filter("k = 1").isEmpty()
 
 
-def test_long_chains_are_written_out(spark, database, rows, monkeypatch):
-    from shelfcast.operators import versioned
-
-    monkeypatch.setattr(versioned, "MAX_STACKED_VIEWS", 3)
-    t = VersionedTable(spark, f"{database}.deep")
+def test_long_chains_are_written_out(spark, database, rows):
+    t = VersionedTable(spark, f"{database}.deep", max_stacked=3)
     t.create(rows)
     for _ in range(8):
         t.update({"Sales": "Sales + 1"})
@@ -172,6 +169,33 @@ def test_long_chains_are_written_out(spark, database, rows, monkeypatch):
     assert sorted(r["Sales"] for r in t.current().collect()) == [18, 28, 38]
 
 
+def test_stacked_views_are_counted_from_what_expiry_wrote(spark, database, rows):
+    t = VersionedTable(spark, f"{database}.counted", max_stacked=3)
+    t.create(rows)
+    for _ in range(3):
+        t.update({"Sales": "Sales + 1"})
+    t.expire(0.0, force=True)
+    t.update({"Sales": "Sales + 1"})
+    assert not t.history().first()["written"]
+
+
+def test_names_that_look_like_functions_are_no_reason_to_rewrite():
+    from shelfcast.operators.versioned import is_unstable
+
+    assert not is_unstable("user = 'b'", ["User"])
+    assert not is_unstable("note = 'please select rand()'", ["note"])
+    assert not is_unstable("`current_date` > 3 AND random_number > 1", ["current_date", "random_number"])
+    for text in ("user = 'b'", "x > uniform(1, 2, 3)", "x IN (SELECT y FROM t)", "d < current_date", "d < now()"):
+        assert is_unstable(text, ["x", "d"])
+
+
+def test_column_names_of_an_update_ignore_case(spark, database, rows):
+    t = VersionedTable(spark, f"{database}.cased")
+    t.create(rows)
+    t.update({"SALES": "0"})
+    assert {r["Sales"] for r in t.current().collect()} == {0}
+
+
 def test_unstable_expressions_are_written_out(spark, database, rows):
     t = VersionedTable(spark, f"{database}.unstable")
     t.create(rows)
