@@ -216,6 +216,19 @@ def piece_table(docs: DataFrame, path: str, classes, specials: list[str]) -> Dat
     return distinct.mapInArrow(count, "name long, pieces long, uses long")
 
 
+def frequent_pretokens(pieces: DataFrame) -> DataFrame:
+    """(name, pieces) of the most used pre-tokens, ``FREQUENT`` at most: those above a number of uses that a
+    histogram of bounded size gives, so that no more than these rows reach the driver."""
+    level = F.floor(F.log2("uses") * 8).cast("int").alias("level")
+    left, least = FREQUENT, None
+    for row in sorted(pieces.groupBy(level).count().collect(), key=lambda r: -r["level"]):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["level"]
+    return pieces.filter(F.lit(False) if least is None else level >= least).select("name", "pieces")
+
+
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every document, by the byte-level BPE vocabulary file at ``path``.
 
@@ -224,7 +237,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     spark = docs.sparkSession
     classes, specials = character_classes(path), special_tokens(path)
     pieces = write_and_reopen(piece_table(docs, path, classes, specials), scratch_path(spark, "token-pieces"))
-    top = pieces.orderBy(F.desc("uses"), "name").limit(FREQUENT).select("name", "pieces").toPandas().sort_values("name")
+    top = frequent_pretokens(pieces).toPandas().sort_values("name")
     known = spark.sparkContext.broadcast((classes, top["name"].to_numpy(np.int64), top["pieces"].to_numpy(np.int64)))
 
     def frequencies(batches):
