@@ -35,9 +35,9 @@ KINDS = ("assign", "access", "hex", "random")
 DISCOVERY_RATE = 0.001
 #: Characters of the strings the battery tests, at least.
 LEAST = 16
-#: Ordinary text: the chance that two of its characters are equal, that neighbours are of different classes, and the
-#: correlation of neighbours.
-COINCIDENCE, CHANGES, CORRELATION = 0.065, 0.15, 0.35
+#: Ordinary text: the chance that two of its characters are equal, the correlation of neighbours, and the chance that
+#: neighbours are of different classes (letters of a case, digits) in strings of one case and of both.
+COINCIDENCE, CORRELATION, CHANGES = 0.065, 0.35, (0.12, 0.3)
 
 _ASSIGN = re.compile(
     r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII
@@ -60,6 +60,9 @@ ENCODINGS = (
 )
 _ALPHABETS = [(name, {c: i for i, c in enumerate(alphabet)}) for name, alphabet in ENCODINGS]
 
+#: A string that one test finds so typical of text has that test's p-value: an alphabet in order is uniform, too.
+TYPICAL = 0.9
+
 #: Bins of the histogram of p-values: powers of ten, and bins of each.
 _POWERS, _FINE = 40, 20
 
@@ -86,7 +89,7 @@ def _below(z: float) -> float:
 
 
 def _class(c: str) -> int:
-    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+    return 0 if c.islower() else 1 if c.isupper() else 2
 
 
 def uniformity(counts: Counter, n: int, k: int) -> float:
@@ -97,21 +100,25 @@ def uniformity(counts: Counter, n: int, k: int) -> float:
 
 
 def class_runs(string: str) -> float:
-    """P-value of as many changes of character class, for text: the tail of a binomial distribution."""
-    n = len(string) - 1
-    kinds = [_class(c) for c in string]
+    """P-value of as many changes of character class, for text: the tail of a binomial distribution.
+
+    Signs between words are no class of their own: they are left out.
+    """
+    kinds = [_class(c) for c in string if c.isalnum()]
+    n = len(kinds) - 1
+    usual = CHANGES[{0, 1} <= set(kinds)]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))  # noqa: B905
-    if changes <= n * CHANGES:
+    if changes <= n * usual:
         return 1.0
     if n > 400:  # a bound of the tail, exact enough where it is this small
         a = changes / n
-        rate = a * math.log(a / CHANGES) + ((1 - a) * math.log((1 - a) / (1 - CHANGES)) if a < 1 else 0)
+        rate = a * math.log(a / usual) + ((1 - a) * math.log((1 - a) / (1 - usual)) if a < 1 else 0)
         return math.exp(-n * rate)
-    term = math.comb(n, changes) * CHANGES**changes * (1 - CHANGES) ** (n - changes)
+    term = math.comb(n, changes) * usual**changes * (1 - usual) ** (n - changes)
     total, i = 0.0, changes
     while term > total * 1e-12 and i <= n:
         total += term
-        term *= (n - i) / (i + 1) * CHANGES / (1 - CHANGES)
+        term *= (n - i) / (i + 1) * usual / (1 - usual)
         i += 1
     return min(1.0, total)
 
@@ -141,7 +148,8 @@ def battery(string: str) -> float | None:
         serial_correlation([values[c] for c in body]),
     )
     half = -sum(math.log(max(p, 1e-300)) for p in tests)
-    return math.exp(-half) * (1 + half + half * half / 2)
+    combined = math.exp(-half) * (1 + half + half * half / 2)
+    return max([combined, *(p for p in tests if p > TYPICAL)])
 
 
 def tested_strings(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:
