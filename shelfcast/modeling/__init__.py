@@ -1,4 +1,4 @@
-from .features import assembler, category_indexer, feature_frame, feature_inputs
+from .features import assembler, category_codes, category_indexer, feature_frame, feature_inputs
 from .runs import RunLog
 from .scoring import mean_by_store, predict_store_mean, scored_rows, scoring_table
 from .training import GBTParams, fit, load_model, split_rows
@@ -7,6 +7,7 @@ __all__ = [
     "GBTParams",
     "RunLog",
     "assembler",
+    "category_codes",
     "category_indexer",
     "feature_frame",
     "feature_inputs",

@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sizing import BROADCAST_LIMIT, fits_broadcast
+from ..workspace import scratch_path, write_and_reopen
 
 #: Stands for a missing value; below every value the features take.
 MISSING = -1.0
@@ -49,10 +52,41 @@ def feature_frame(
 
 
 def category_indexer(columns: Sequence[str] = tuple(schemas.CATEGORIES)) -> StringIndexer:
-    """Category codes by falling frequency (ties by name); unseen and NULL get the next code."""
+    """Category codes by falling frequency (ties by name); unseen and NULL get the next code.
+
+    A pipeline stage, which keeps the labels in the model and so on the driver: for columns with few
+    categories. ``category_codes`` gives the same codes for any number.
+    """
     return StringIndexer(
         inputCols=list(columns),
         outputCols=[f"{c}Index" for c in columns],
         handleInvalid="keep",
         stringOrderType="frequencyDesc",
     )
+
+
+def category_codes(
+    df: DataFrame,
+    columns: Sequence[str] = tuple(schemas.CATEGORIES),
+    *,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """``df`` with ``<column>Index`` as ``category_indexer`` gives them, labels staying in a table.
+
+    Labels are counted before they are shuffled and ranked as a table of one row each; it is joined
+    back by broadcast if it is measured to fit, else by shuffle.
+    """
+    for column in columns:
+        counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("__label")).count()
+        code = F.row_number().over(Window.orderBy(F.desc("count"), "__label")) - 1
+        ranked = write_and_reopen(
+            counted.select("__label", code.cast("double").alias("__code")),
+            scratch_path(df.sparkSession, "category-codes"),
+        )
+        labels = ranked.count()
+        side = F.broadcast(ranked) if fits_broadcast(ranked, broadcast_limit) else ranked
+        joined = df.join(side, F.col(column) == F.col("__label"), "left")
+        df = joined.withColumn(f"{column}Index", F.coalesce("__code", F.lit(float(labels)))).drop(
+            "__label", "__code"
+        )
+    return df

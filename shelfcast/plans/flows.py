@@ -26,6 +26,7 @@ from ..operators.quality import approx_grouped_median, null_count, null_profile
 from ..operators.versioned import VersionedTable
 from ..sinks.tables import replace_table
 from ..streaming.ingest import append_to_table, open_file_stream
+from ..workspace import scratch_scope
 
 _LOG = logging.getLogger(__name__)
 
@@ -84,9 +85,10 @@ def build_silver(
     replace_table(stores, names.bronze_stores)
     silver = VersionedTable(spark, names.silver)
     silver.drop()
-    silver.create(
-        enrich(tx, spark.table(names.bronze_states), spark.table(names.bronze_stores))
-    )
+    with scratch_scope(spark):  # the lookup that the join may write is not needed afterwards
+        silver.create(
+            enrich(tx, spark.table(names.bronze_states), spark.table(names.bronze_stores))
+        )
     return silver
 
 

@@ -18,7 +18,7 @@ from ..functions.metrics import regression_metrics
 from ..modeling import (
     GBTParams,
     RunLog,
-    category_indexer,
+    category_codes,
     feature_frame,
     fit,
     load_model,
@@ -454,9 +454,8 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _silver(spark, sf_dir)
-    indexer = category_indexer()
-    coded = indexer.fit(silver).transform(silver)
-    return coded.select(schemas.ROW_KEY, *indexer.getOutputCols())
+    coded = category_codes(silver)
+    return coded.select(schemas.ROW_KEY, *[f"{c}Index" for c in schemas.CATEGORIES])
 
 
 def _baseline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

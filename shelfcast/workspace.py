@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_fallback: str | None = None
+_open_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,7 +39,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, unique per call; nothing is created yet."""
-    return f"{shared_dir(spark)}/shelfcast/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/shelfcast/{label}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes what is written below ``scratch_path`` inside the block when it ends.
+
+    For work that ends in tables of its own: frames that read scratch data can't be used afterwards.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield made
+    finally:
+        _open_scopes.remove(made)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def scratch_database(spark: SparkSession, label: str) -> str:

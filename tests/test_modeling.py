@@ -114,6 +114,15 @@ def test_category_codes(spark):
     }
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_category_codes_of_a_table_are_those_of_the_indexer(spark, limit):
+    from shelfcast.modeling import category_codes
+
+    df = spark.createDataFrame([("b",), ("b",), ("a",), ("c",), (None,)], "StoreType string")
+    coded = category_codes(df, ["StoreType"], broadcast_limit=limit)
+    assert bag(coded) == bag(category_indexer(["StoreType"]).fit(df).transform(df))
+
+
 def test_runs_are_kept_and_the_best_is_found(spark, database):
     log = RunLog(spark, f"{database}.runs")
     log.record({"max_depth": "5"}, {"r2": 0.2, "mae": 3.0}, "/models/a", 1)

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
 import pytest
 
 from shelfcast import workspace
+from shelfcast.workspace import scratch_path, write_and_reopen
 
 
 def session(**settings):
@@ -45,3 +47,14 @@ def test_drop_database_stops_streams_and_removes_tables(spark, database, path):
     assert not spark.streams.active
     assert not spark.catalog.databaseExists(database)
     workspace.drop_database(spark, database)
+
+
+def test_a_scope_removes_what_was_written_in_it(spark):
+    from shelfcast.workspace import scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    with scratch_scope(spark) as made:
+        inner = write_and_reopen(spark.range(3), scratch_path(spark, "inner"))
+        inner.write.parquet(kept)
+    assert len(made) == 1 and not os.path.exists(made[0].removeprefix("file:"))
+    assert spark.read.parquet(kept).count() == 3
