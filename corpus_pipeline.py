@@ -16,7 +16,7 @@ from shelfcast.llm.quality import fit_quality_model, keep_quality
 from shelfcast.llm.queries import SHARDS, table
 from shelfcast.llm.sharding import shard_records
 from shelfcast.sizing import fits_broadcast
-from shelfcast.workspace import scratch_path, write_and_reopen
+from shelfcast.workspace import scratch_path, scratch_scope, write_and_reopen
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,5 +67,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES[:-1]):
-        docs = write_and_reopen(stage(spark, docs, sf_dir), scratch_path(spark, f"pipeline-{i}"))
+        path = scratch_path(spark, f"pipeline-{i}")
+        with scratch_scope(spark):  # what the stage wrote on its way is not needed once its result is there
+            docs = write_and_reopen(stage(spark, docs, sf_dir), path)
     return STAGES[-1][1](spark, docs, sf_dir)
