@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,10 +9,6 @@ from pyspark.sql.window import Window
 from ..functions.expressions import null_flag
 from ..workspace import scratch_path, write_and_reopen
 
-#: Distinct values ranked together by the exact median, and the largest number of such slots.
-VALUES_PER_SLOT = 500_000
-MAX_SLOTS = 50_000
-
 _FIRST = Window.unboundedPreceding
 
 
@@ -55,60 +48,37 @@ def exact_grouped_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """``group, median`` as double: the middle element, or the mean of the middle two.
 
     The built-in exact median holds a group's values in one task. Here the rows are first reduced to
-    counts of distinct values, combined before the shuffle and written once. Their value range is cut
-    into slots of about ``VALUES_PER_SLOT`` distinct values; counts per slot tell which slot holds the
-    middle rank of each group, and only the values in that slot are ranked. A group whose values are
-    all NULL has the median NULL.
+    counts of distinct values, combined before the shuffle. These are range-partitioned by group and
+    value and written once with the number of their partition; counts per partition tell which one
+    holds the middle rank of each group, and only the values there are ranked. A group whose values
+    are all NULL has the median NULL.
     """
     known = df.filter(F.col(group).isNotNull())
+    counts = known.groupBy(F.col(group), F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     everything = write_and_reopen(
-        known.groupBy(F.col(group), F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__c")),
+        counts.repartitionByRange(group, "__v").withColumn("__slot", F.spark_partition_id()),
         scratch_path(df.sparkSession, "value-counts"),
     )
     counted = everything.filter(F.col("__v").isNotNull())
     void = everything.groupBy(group).agg(F.count("__v").alias("n")).filter("n = 0")
     # Ranks of the middle element, or of the middle two.
     lower, upper = F.floor((F.col("__n") + 1) / 2), F.floor((F.col("__n") + 2) / 2)
-    slotted = _with_slots(counted)
-    if slotted is None:
-        by_value = Window.partitionBy(group).orderBy("__v")
-        ranked = counted.withColumn("__n", F.sum("__c").over(Window.partitionBy(group))).withColumn(
-            "__rank", F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
-        )
-    else:
-        by_slot = Window.partitionBy(group).orderBy("__slot")
-        slots = (
-            slotted.groupBy(group, "__slot")
-            .agg(F.sum("__c").alias("__held"))
-            .withColumn("__upto", F.sum("__held").over(by_slot.rowsBetween(_FIRST, 0)))
-            .withColumn("__n", F.sum("__held").over(Window.partitionBy(group)))
-            .withColumn("__before", F.col("__upto") - F.col("__held"))
-        )
-        holding = slots.filter((F.col("__before") < upper) & (F.col("__upto") >= lower))
-        by_value = Window.partitionBy(group, "__slot").orderBy("__v")
-        ranked = slotted.join(holding, [group, "__slot"]).withColumn(
-            "__rank", F.col("__before") + F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
-        )
+    by_slot = Window.partitionBy(group).orderBy("__slot")
+    slots = (
+        counted.groupBy(group, "__slot")
+        .agg(F.sum("__c").alias("__held"))
+        .withColumn("__upto", F.sum("__held").over(by_slot.rowsBetween(_FIRST, 0)))
+        .withColumn("__n", F.sum("__held").over(Window.partitionBy(group)))
+        .withColumn("__before", F.col("__upto") - F.col("__held"))
+    )
+    holding = slots.filter((F.col("__before") < upper) & (F.col("__upto") >= lower))
+    by_value = Window.partitionBy(group, "__slot").orderBy("__v")
+    ranked = counted.join(holding, [group, "__slot"]).withColumn(
+        "__rank", F.col("__before") + F.sum("__c").over(by_value.rowsBetween(_FIRST, 0))
+    )
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("__rank") >= rank, F.col("__v"))).cast("double")
 
     medians = ranked.groupBy(group).agg(((value_at(lower) + value_at(upper)) / 2).alias("median"))
     return medians.unionByName(void.select(group, F.lit(None).cast("double").alias("median")))
-
-
-def _with_slots(counted: DataFrame) -> DataFrame | None:
-    """Adds ``__slot``, which grows with ``__v``; None if one slot is enough. The slot edges come from
-    a sketch; they only need to be about even."""
-    wanted = min(math.ceil(counted.count() / VALUES_PER_SLOT), MAX_SLOTS)
-    if wanted <= 1:
-        return None
-    as_double = counted.withColumn("__d", F.col("__v").cast("double"))
-    shares = [i / wanted for i in range(1, wanted)]
-    cuts = as_double.agg(F.percentile_approx("__d", shares, max(10 * wanted, 10_000))).first()[0]
-    edges = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
-    if len(edges) == 2:
-        return None
-    # NaN sorts last, in a slot of its own.
-    slots = Bucketizer(splits=edges, inputCol="__d", outputCol="__slot", handleInvalid="keep")
-    return slots.transform(as_double).drop("__d")

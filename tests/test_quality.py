@@ -43,13 +43,9 @@ def test_medians_of_an_even_group(spark):
     assert bag(exact_grouped_median(df, "g", "v")) == {("a", 2.5): 1, ("b", 5.0): 1}
 
 
-@pytest.mark.parametrize("values_per_slot", [1, 7, 1000, 100_000])
-def test_exact_median_equals_statistics_median(spark, values_per_slot, monkeypatch):
-    from shelfcast.operators import quality
-
-    monkeypatch.setattr(quality, "VALUES_PER_SLOT", values_per_slot)
-    monkeypatch.setattr(quality, "MAX_SLOTS", 400)
-    rng = random.Random(values_per_slot)
+@pytest.mark.parametrize("partitions", [1, 7, 100])
+def test_exact_median_equals_statistics_median(spark, partitions):
+    rng = random.Random(partitions)
     groups = {
         "one": [4],
         "two": [1, 9],
@@ -61,7 +57,14 @@ def test_exact_median_equals_statistics_median(spark, values_per_slot, monkeypat
     rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v long").repartition(6)
-    found = {r["g"]: r["median"] for r in exact_grouped_median(df, "g", "v").collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r["g"]: r["median"] for r in exact_grouped_median(df, "g", "v").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert found == {g: float(statistics.median(values)) for g, values in groups.items()}
 
 
