@@ -254,6 +254,32 @@ _SCORED = ", ".join(
 
 _GOLD = "FROM cleaned a LEFT JOIN scoring b ON a.Store = b.Store"
 
+_FEW = ["DayOfWeek", "Open", "Promo", "SchoolHoliday", "Promo2"]
+
+
+def _stump() -> str:
+    """The split with the largest gain in squared error over all features, and the means of its sides."""
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS f, CAST({c} AS DOUBLE) AS v, CAST(Sales AS DOUBLE) AS y FROM hashed "
+        "WHERE b1 <> 0 AND b2 <> 0"
+        for c in _FEW
+    )
+    chosen = " ".join(f"WHEN '{c}' THEN {c}" for c in _FEW)
+    return f"""
+SELECT Store, CAST(trunc(CASE WHEN CASE f {chosen} END <= cut THEN low ELSE high END) AS BIGINT)
+       AS prediction, Sales AS Real_Sales, RowId
+FROM hashed, (
+  SELECT f, (v + next) / 2 AS cut, sl / nl AS low, (s - sl) / (n - nl) AS high
+  FROM (
+    SELECT f, v, sum(n) OVER up AS nl, sum(s) OVER up AS sl, sum(n) OVER (PARTITION BY f) AS n,
+           sum(s) OVER (PARTITION BY f) AS s, lead(v) OVER up AS next
+    FROM (SELECT f, v, count(*) AS n, sum(y) AS s FROM ({values}) GROUP BY f, v)
+    WINDOW up AS (PARTITION BY f ORDER BY v))
+  WHERE next IS NOT NULL
+  ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)
+WHERE b1 = 0"""
+
+
 _RUN = """
 SELECT count(*) FILTER (b1 <> 0 AND b2 <> 0) AS n_train,
        count(*) FILTER (b1 <> 0 AND b2 = 0) AS n_validation,
@@ -367,6 +393,7 @@ ORACLES: dict[str, str] = {
         "SELECT a.*, b.prediction, b.Real_Sales FROM cleaned a "
         "LEFT JOIN scoring b ON a.RowId = b.RowId",
     ),
+    "gbt_stump_scoring": _with(["hashed"], _stump()),
     "gbt_scored_rows": _with(
         ["test"], "SELECT RowId, Store, Sales AS Real_Sales, 1 AS has_prediction FROM test"
     ),

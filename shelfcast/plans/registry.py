@@ -531,6 +531,16 @@ def gbt_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring_table(raw, [schemas.ROW_KEY])
 
 
+def gbt_stump_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that SQL can express: one round of depth one over features with few values, saved, loaded, scored."""
+    rows = split_rows(write_and_reopen(_cleaned(spark, sf_dir), scratch_path(spark, "stump-training")))
+    path = scratch_path(spark, "stump")
+    params = GBTParams(max_iter=1, max_depth=1)
+    fit(rows, params, features=schemas.FEW_VALUED_FEATURES).save(path)
+    raw = load_model(path).transform(rows.filter(F.col(SPLIT) == "test"))
+    return scoring_table(raw, [schemas.ROW_KEY])
+
+
 def gbt_scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can tell of the scored rows: which they are, and that each has a prediction."""
     scored = gbt_scoring(spark, sf_dir)
@@ -700,6 +710,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_fanout_rows": gold_store_level_rows,
     "gold_by_row": gold_row_level,
     "gbt_scoring": gbt_scoring,
+    "gbt_stump_scoring": gbt_stump_scoring,
     "gbt_scored_rows": gbt_scored_rows,
     "run_log": run_log,
     "run_log_baseline": run_log_baseline,

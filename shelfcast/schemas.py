@@ -108,3 +108,6 @@ NATION = _struct({"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"
 SUPPLIER = _struct(
     {"s_suppkey": "long", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"}
 )
+
+#: Features with few values each.
+FEW_VALUED_FEATURES = ["DayOfWeek", "Open", "Promo", "SchoolHoliday", "Promo2"]
