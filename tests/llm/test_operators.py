@@ -11,7 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import brute_components, has_letter, lower, shingle_set, words
+from brute import brute_components, has_letter, lower, shingle_set, words
 from pyspark.sql import functions as F
 
 

@@ -8,7 +8,7 @@ import sys
 
 import duckdb
 import pytest
-from conftest import brute_components, words
+from brute import brute_components, words
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
