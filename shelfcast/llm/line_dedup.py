@@ -222,7 +222,9 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
         .filter(F.col("n") >= LEAST_DOCUMENTS)
         .select("h1", "h2", "largest")
     )
-    late = decided.filter(F.col("what") == _OPEN).join(ends, ["h1", "h2"]).filter("NOT doc_id <=> largest")
+    ends = write_and_reopen(ends, scratch_path(docs.sparkSession, "line-ends"))
+    side = F.broadcast(ends) if fits_broadcast(ends) else ends  # then the lines of a common hash stay where they are
+    late = decided.filter(F.col("what") == _OPEN).join(side, ["h1", "h2"]).filter("NOT doc_id <=> largest")
     columns = ["doc_id", "content", "position"]
     return decided.filter(F.col("what") == _DROPPED).select(columns).unionByName(late.select(columns))
 
