@@ -105,7 +105,7 @@ def fit(
     )
     try:
         train, watched = vectors.filter(~F.col(_HOLDOUT)), vectors.filter(_HOLDOUT)
-        rounds = params.max_iter if watched.isEmpty() else min(params.max_iter, 2 * params.patience)
+        rounds = params.max_iter if watched.isEmpty() else min(params.max_iter, params.patience + 1)
         while True:
             trees = learner.copy({learner.maxIter: rounds}).fit(train)
             if rounds == params.max_iter and watched.isEmpty():
