@@ -28,13 +28,12 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.word_arrays import WordHasher, mix, text_slices
 
-#: Word positions that a seed compares: six words in windows of 7 to 11. In passages of 15, 20 and 30 words with 20,
-#: 25 and 30 per cent of them replaced, 91, 93 and 96 per cent have a hit.
-MASKS = ("1111011", "110011101", "11010001011", "1101001011")
-#: Equal words that an overlap needs, and their share in it.
+#: Word positions that a seed compares: five words in windows of 5 to 11. Every stretch with ``MATCHED`` equal words
+#: and a share of ``IDENTITY`` has a hit; the tests prove it by a search over all patterns.
+MASKS = ("111011", "1100001011", "11010011", "101000111", "11000100101", "11111", "110111")
+#: Equal words that an overlap needs, and their share in it, in whole tenths.
 MATCHED, IDENTITY = 10, 0.7
-#: What a replaced word costs an overlap, in equal words.
-MISMATCH = 2.0
+_TENTHS = round(10 * IDENTITY)
 #: Benchmark text that is searched for in one pass, in bytes.
 BLOCK_BYTES = 8 << 20
 
@@ -98,12 +97,22 @@ def seeds(words: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
 
 def best_overlap(equal: np.ndarray) -> tuple[int, int, int]:
-    """(start, end, equal words) of the stretch with most equal words less ``MISMATCH`` times the others."""
-    run = np.append(0.0, np.cumsum(np.where(equal, 1.0, -MISMATCH)))
-    gain = run - np.minimum.accumulate(run)
-    end = int(np.argmax(gain))
-    start = end - int(np.argmin(run[: end + 1][::-1]))
-    return start, end, int(np.count_nonzero(equal[start:end]))
+    """(start, end, equal words) of the stretch with most equal words among those whose share of them is ``IDENTITY``.
+
+    Such stretches have a sum of at least 0 when an equal word counts 3 and another one -7.
+    The farthest end for a start is the last place whose running sum is not below the start's. Of stretches with as
+    many equal words the shortest counts, of equally short ones the first.
+    """
+    run = np.append(0, np.cumsum(np.where(equal, 10 - _TENTHS, -_TENTHS)))
+    same = np.append(0, np.cumsum(equal))
+    reach = np.maximum.accumulate(run[::-1])[::-1]  # the largest sum from here on: falls with the place
+    last = len(run) - 1 - np.searchsorted(reach[::-1], run, "left")
+    most = same[last] - same
+    count = int(most.max())
+    starts = np.flatnonzero(most == count)
+    ends = np.searchsorted(same, same[starts] + count, "left")  # without other words at the end
+    at = int(np.argmin(ends - starts))
+    return int(starts[at]), int(ends[at]), count
 
 
 def overlaps(index: SeedIndex, words: np.ndarray, document: np.ndarray, n_documents: int) -> list[tuple]:
@@ -115,7 +124,7 @@ def overlaps(index: SeedIndex, words: np.ndarray, document: np.ndarray, n_docume
         high = min(index.first[item + 1], first[d + 1] - shift)
         equal = index.words[low:high] == words[low + shift : high + shift]
         start, end, same = best_overlap(equal)
-        if same >= MATCHED and same >= IDENTITY * (end - start):
+        if same >= MATCHED:
             row = (d, item, int(low + start + shift - first[d]), end - start, same)
             if (d, item) not in best or (same, -row[2]) > (best[d, item][4], -best[d, item][2]):
                 best[d, item] = row

@@ -127,6 +127,74 @@ def test_passages_are_found_with_replaced_words_and_clean_documents_are_not(spar
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i is not None and 100 <= i <= 201}
 
 
+def brute_overlap(item, text):
+    """Most equal words of a stretch with a share of 0.7, over all shifts, starts and ends."""
+    best = 0
+    for shift in range(-len(item) + 1, len(text)):
+        equal = [0 <= i + shift < len(text) and text[i + shift] == w for i, w in enumerate(item)]
+        inside = [0 <= i + shift < len(text) for i in range(len(item))]
+        for start in range(len(item)):
+            for end in range(start + 1, len(item) + 1):
+                same = sum(equal[start:end])
+                if all(inside[start:end]) and 10 * same >= 7 * (end - start):
+                    best = max(best, same)
+    return best
+
+
+@pytest.mark.parametrize("n", [15, 20, 30])
+def test_all_passages_of_the_definition_are_found(spark, documents, n):
+    """10 to 30 per cent of the words replaced anywhere: found exactly where brute force finds 10 equal words."""
+    from shelfcast.llm.decontamination import contaminated_passages
+
+    rng = random.Random(n)
+    items = [(i, prose(rng, n, 10**6)) for i in range(60)]
+    rows, expected = [], {}
+    for i, text in items:
+        passage = text.split(" ")
+        for at in rng.sample(range(n), rng.randrange(-(-n // 10), n * 3 // 10 + 1)):
+            passage[at] = f"other{rng.randrange(10**6)}"
+        whole = prose(rng, 6).split(" ") + passage + prose(rng, 6).split(" ")
+        rows.append((i, " ".join(whole)))
+        expected[i, i] = brute_overlap(text.split(" "), whole)
+    rows += [(100 + i, prose(rng, 300)) for i in range(40)]  # clean
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in contaminated_passages(documents(rows), benchmark).collect()}
+    assert {k: r.n_equal for k, r in found.items()} == {k: v for k, v in expected.items() if v >= 10}
+    assert all(r.identity >= 0.7 for r in found.values())
+
+
+def test_clean_prose_of_few_words_is_not_reported(spark, documents):
+    from shelfcast.llm.decontamination import contaminated_passages
+
+    rng = random.Random(17)
+    benchmark = spark.createDataFrame([(i, prose(rng, 30, 60)) for i in range(100)], "item_id long, text string")
+    docs = documents([(i, prose(rng, 400, 60)) for i in range(200)])
+    assert contaminated_passages(docs, benchmark).count() == 0
+
+
+def test_no_pattern_of_the_definition_lacks_a_seed():
+    """Search over all strings of equal and other words without a hit: none has 10 equal ones and a share of 0.7."""
+    from shelfcast.llm.decontamination import MASKS, MATCHED
+
+    masks = [int(m, 2) for m in MASKS]
+    window = (1 << max(map(len, MASKS))) - 1
+    best, frontier = {(0, 0): 0}, {(0, 0)}  # (last words, equal ones up to MATCHED) -> largest sum
+    for _ in range(200):
+        reached = set()
+        for last, same in frontier:
+            for bit, gain in ((1, 3), (0, -7)):
+                state = ((last << 1 | bit) & window, min(MATCHED, same + bit))
+                total = best[last, same] + gain
+                # below -60 the rest alone would have to meet the definition
+                if (bit and any(state[0] & m == m for m in masks)) or total < -60 or best.get(state, -61) >= total:
+                    continue
+                assert state[1] < MATCHED or total < 0
+                best[state] = total
+                reached.add(state)
+        frontier = reached
+    assert not frontier
+
+
 def test_decontamination_in_blocks_and_with_empty_tables(spark, documents, monkeypatch):
     from shelfcast.llm import decontamination
 
