@@ -1,10 +1,11 @@
 """Secret scan: known formats, and a battery of randomness tests for strings of no known format.
 
 *Known formats* are assignments to password-like names, access keys and long hexadecimal runs.
-*The battery* takes runs of 16 or more characters that look encoded (mixed letters and digits, or both cases), infers
-the encoding from the characters, and asks three questions of each, every time with "this is ordinary text, not
-random" as the hypothesis to reject: Is the chi-squared distance from a uniform alphabet as large as that of text?
-Are there as few runs of one character class? Are neighbouring characters as correlated? The three p-values are
+*The battery* takes runs of 16 or more characters that look encoded (mixed letters and digits, or both cases, but not
+plain words with a leading capital), infers the encoding from the characters, and asks three questions of each, every
+time with "this is ordinary text, not random" as the hypothesis to reject: Is the chi-squared distance from a uniform
+alphabet as large as that of text? Are there as few runs of one character class? Do neighbouring characters alternate
+between vowels and others as in words? The three p-values are
 combined by Fisher's method. Benjamini and Hochberg's procedure over all strings of the corpus then limits the share
 of false discoveries; it is length-aware in that a string's weight is its length, since long strings can be told apart.
 
@@ -32,12 +33,14 @@ from shelfcast.workspace import scratch_path, write_and_reopen
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "random")
 #: Share of false discoveries among the strings that the battery reports.
-DISCOVERY_RATE = 0.001
+DISCOVERY_RATE = 0.05
 #: Characters of the strings the battery tests, at least.
 LEAST = 16
-#: Ordinary text: the chance that two of its characters are equal, the correlation of neighbours, and the chance that
-#: neighbours are of different classes (letters of a case, digits) in strings of one case and of both.
-COINCIDENCE, CORRELATION, CHANGES = 0.065, 0.35, (0.12, 0.3)
+#: Ordinary text: the chance that two of its characters are equal, the correlation of neighbours' places in the
+#: alphabet (in sequences) and, negative, of their being vowels (in words), and the chance that neighbours are of
+#: different classes (letters of a case, digits) in strings of one case and of both; a capital and the small letter
+#: after it are no change.
+COINCIDENCE, CORRELATION, ALTERNATION, CHANGES = 0.065, 0.35, 0.35, (0.1, 0.2)
 
 _ASSIGN = re.compile(
     r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII
@@ -46,6 +49,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # of a run of such characters, the whole run
 _STRING = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST)
 
+#: Words as in sentences, also joined by signs: small letters, the first one a capital or not.
+_WORDS = re.compile(r"[A-Z]?[a-z]*(?:[+/_-]+[A-Z]?[a-z]*)*")
+
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Encodings by rank: the first one whose alphabet has all characters of a string is inferred.
 ENCODINGS = (
@@ -76,10 +82,10 @@ def known_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def inferred_encoding(string: str) -> dict[str, int] | None:
-    """Values of the characters in the inferred encoding; None for plain letters of one case, and for plain numbers."""
+    """Values of the characters in the inferred encoding; None for plain words, letters of one case and numbers."""
     used = set(string)
     kinds = (not used.isdisjoint(_LOWER), not used.isdisjoint(_UPPER), not used.isdisjoint(_DIGITS))
-    if sum(kinds) < 2:
+    if sum(kinds) < 2 or _WORDS.fullmatch(string):
         return None
     return next((values for _, values in _ALPHABETS if used <= values.keys()), None)
 
@@ -107,7 +113,7 @@ def class_runs(string: str) -> float:
     kinds = [_class(c) for c in string if c.isalnum()]
     n = len(kinds) - 1
     usual = CHANGES[{0, 1} <= set(kinds)]
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))  # noqa: B905
+    changes = sum(a != b and (a, b) != (1, 0) for a, b in zip(kinds, kinds[1:]))  # noqa: B905
     if changes <= n * usual:
         return 1.0
     if n > 400:  # a bound of the tail, exact enough where it is this small
@@ -123,17 +129,29 @@ def class_runs(string: str) -> float:
     return min(1.0, total)
 
 
-def serial_correlation(values: list[int]) -> float:
-    """P-value of neighbours as little correlated, for text (Fisher's transformation)."""
+def _neighbours(values: list[int]) -> float:
+    """Correlation of neighbours; 0 where all values but the first or the last are equal."""
     n = len(values) - 1
     a, b = values[:-1], values[1:]
     ma, mb = sum(a) / n, sum(b) / n
     sa = sum((x - ma) ** 2 for x in a)
     sb = sum((x - mb) ** 2 for x in b)
     if sa <= 0 or sb <= 0:
-        return 1.0
-    r = min(abs(sum((x - ma) * (y - mb) for x, y in zip(a, b, strict=True))) / math.sqrt(sa * sb), 0.999999)
-    return _below((math.atanh(r) - math.atanh(CORRELATION)) * math.sqrt(n - 3))
+        return 0.0
+    return sum((x - ma) * (y - mb) for x, y in zip(a, b, strict=True)) / math.sqrt(sa * sb)
+
+
+def _typical(r: float, usual: float, n: int) -> float:
+    """P-value of a correlation as small as this, for text (Fisher's transformation)."""
+    r = max(min(r, 0.999999), -0.999999)
+    return _below((math.atanh(r) - math.atanh(usual)) * math.sqrt(n - 3))
+
+
+def serial_correlation(string: str, values: list[int]) -> tuple[float, float]:
+    """P-values of neighbours that alternate between vowels and others as little, and of as little order, for text."""
+    n = len(values) - 1
+    vowels = [int(c in "aeiouyAEIOUY") for c in string]
+    return _typical(-_neighbours(vowels), ALTERNATION, n), _typical(abs(_neighbours(values)), CORRELATION, n)
 
 
 def battery(string: str) -> float | None:
@@ -142,14 +160,11 @@ def battery(string: str) -> float | None:
     values = inferred_encoding(body)
     if values is None:
         return None
-    tests = (
-        uniformity(Counter(body), len(body), len(values)),
-        class_runs(body),
-        serial_correlation([values[c] for c in body]),
-    )
+    alternation, order = serial_correlation(body, [values[c] for c in body])
+    tests = (uniformity(Counter(body), len(body), len(values)), class_runs(body), alternation)
     half = -sum(math.log(max(p, 1e-300)) for p in tests)
     combined = math.exp(-half) * (1 + half + half * half / 2)
-    return max([combined, *(p for p in tests if p > TYPICAL)])
+    return max([combined, *(p for p in (*tests, order) if p > TYPICAL)])
 
 
 def tested_strings(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:

@@ -513,6 +513,23 @@ def test_the_battery_tells_random_strings_from_text(documents):
     assert scan_secrets(documents([])).count() == 0
 
 
+def test_short_secrets_are_found_among_a_hundred_times_as_many_words(documents):
+    from shelfcast.llm.secrets_scan import battery, scan_secrets
+
+    assert battery("Hetionndonlyntble") is None and battery("Some-Long-Sentence-Words") is None
+    rng = random.Random(12)
+    syllables = ["ra", "men", "tol", "is", "ke", "nor", "du", "lan", "per", "so", "ti", "gal"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randrange(2, 4)))
+    plain = lambda: rng.choice([f"{word()}{word()}{word()}{word()}".title(), f"{word()}_{word()}_{word()}_{word()}_{rng.randrange(999)}"])
+    alphanumeric = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secrets = ["".join(rng.choices(alphanumeric, k=24)) for _ in range(40)]
+    secrets += ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=32)) for _ in range(40)]
+    rows = list(enumerate(secrets)) + [(1000 + i, " ".join(plain() for _ in range(40))) for i in range(200)]
+    got = {r.doc_id: [s for s in r.spans if s["kind"] == 3] for r in scan_secrets(documents(rows)).collect()}
+    assert sum(len(got[i]) for i in range(40)) >= 32 and sum(len(got[i]) for i in range(40, 80)) >= 24
+    assert sum(len(got[1000 + i]) for i in range(200)) <= 8
+
+
 # -- tokens -----------------------------------------------------------------------------------------------
 
 
