@@ -1,12 +1,18 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network.
 
 Every token has a sparse ternary *index vector*, made from its hash. The *context vector* of a token is the
-sum of the index vectors of its neighbours, in a bounded sample of labelled documents. Tokens are the words and,
+sum of the index vectors of its neighbours, over all documents, labelled or not. Tokens are the words and,
 in a second stream, their shapes: upper case, digits, symbols, repetition. A document is the mean of the
-normalised context vectors of its known words and of its shapes; a network of two layers, trained in numpy, gives
-a logit, and a temperature fitted on rows of their own makes its probability calibrated.
+normalised context vectors of its known words and of its shapes; a network of two layers, trained in numpy on a
+bounded sample of labelled documents, gives a logit, and a temperature fitted on rows of their own makes its
+probability calibrated.
 
-Scoring reads every text as a whole, with no Python object per word; nothing is shuffled.
+Tasks sum contexts in dictionaries of bounded size, which are summed by word. The vectors of the most frequent words,
+up to ``FREQUENT``, go to every task; the uses of all other words are joined to theirs by a shuffle and summed by the
+hash of the text. Sums are of whole numbers, so the two ways agree exactly. Documents are named by 64-bit hashes of
+their texts there: among 10^8 texts, two share one with a chance of 3 in 10,000.
+
+Scoring reads every text as a whole, with no Python object per word; no text is shuffled for it.
 
 Defined results: NULL and empty texts are pooled to zeros and scored like any other; labels that are NULL, or of
 documents that aren't there, are not learned from, of several labels the highest counts; repeated rows get
@@ -26,12 +32,17 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.holdout import held_out
 from shelfcast.llm.word_arrays import WordHasher, mix, text_slices
+from shelfcast.sizing import fits_broadcast
 from shelfcast.workspace import scratch_path, write_and_reopen
 
 #: Labelled documents that are learned from, at most (about), and the share of them that sets the temperature.
 SAMPLE_ROWS, CALIBRATION = 6_000, 0.2
-#: Words with a context vector at most, and the uses in the sample they need.
-VOCABULARY, LEAST_USES = 30_000, 3
+#: Uses in all documents that a word with a context vector needs.
+LEAST_USES = 3
+#: Words whose vectors go to every task, at most (56 bytes each), and words of a task's dictionary before it is emptied.
+FREQUENT, DICTIONARY = 1 << 19, 1 << 18
+#: Words with enough uses whose hashes tasks get, so that they leave out all others; if there are more, none is left out early.
+LISTED = 1 << 22
 #: Dimensions of the vectors, non-zero entries of an index vector, neighbours on each side.
 DIMENSIONS, ENTRIES, REACH = 48, 4, 2
 #: Units of the hidden layer; passes over the sample, rows of a step, step size, weight decay.
@@ -40,16 +51,17 @@ HIDDEN, PASSES, STEP_ROWS, RATE, DECAY = 24, 40, 64, 0.004, 1e-4
 THRESHOLD = 0.3
 
 _SHAPES = 64
-_PARTS = 8  # tasks that gather context vectors of the sample
+_PARTS = 8  # tasks that pool the sample
+_STEPS = 127  # of a whole number's range in a component of a unit vector
 
 
 def index_vectors(tokens: np.ndarray) -> np.ndarray:
     """Sparse ternary vectors: ``ENTRIES`` places and signs, from the token's hash alone."""
-    out = np.zeros((len(tokens), DIMENSIONS), np.float32)
+    out = np.zeros((len(tokens), DIMENSIONS), np.int8)
     rows = np.arange(len(tokens))
     for i in range(ENTRIES):
         h = mix(mix(tokens + np.uint64(i)))
-        out[rows, (h >> np.uint64(33)) % np.uint64(DIMENSIONS)] += np.where(h & np.uint64(1), 1.0, -1.0)
+        out[rows, (h >> np.uint64(33)) % np.uint64(DIMENSIONS)] += np.where(h & np.uint64(1), 1, -1).astype(np.int8)
     return out
 
 
@@ -89,53 +101,235 @@ def _places(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.where(vocabulary[at] == words, at, len(vocabulary)) if len(vocabulary) else at
 
 
-def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray, vocabulary: np.ndarray, sums: np.ndarray) -> None:
-    """Adds the index vectors of the neighbours' words and shapes to the rows of the words and of the shapes."""
-    near = index_vectors(words) + index_vectors(mix(shapes.astype(np.uint64)))
-    total = np.zeros_like(near)
+def summed(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the totals of ``n`` and of the rows of ``sums``."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    if not len(first):
+        return keys, n.astype(np.int64), sums.astype(np.int64)
+    return keys[first], np.add.reduceat(n[order].astype(np.int64), first), np.add.reduceat(sums[order], first, dtype=np.int64)
+
+
+def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray) -> list[tuple]:
+    """(keys, uses, sums of the index vectors of the neighbours' words and shapes), of the words and of the shapes."""
+    distinct, at = np.unique(words, return_inverse=True)
+    near = index_vectors(distinct)[at] + index_vectors(mix(np.arange(_SHAPES, dtype=np.uint64)))[shapes]
+    total = np.zeros_like(near)  # 2 * REACH neighbours with 2 * ENTRIES at most: fits a byte
     for step in range(1, REACH + 1):
         same = (owner[step:] == owner[:-step])[:, None]
         total[step:] += near[:-step] * same
         total[:-step] += near[step:] * same
-    np.add.at(sums, _places(vocabulary, words), total)
-    np.add.at(sums, len(vocabulary) + 1 + shapes, total)
+    ones = np.ones(len(words), np.int64)
+    return [summed(words, ones, total), summed(shapes.astype(np.uint64), ones, total)]
+
+
+def _packed(sums: np.ndarray) -> pa.Array:
+    """Rows of whole numbers as bytes: one byte for each number where a row's numbers are small, else eight."""
+    small = np.abs(sums).max(1, initial=0) < 128
+    if small.all():
+        offsets = np.arange(len(sums) + 1, dtype=np.int32) * DIMENSIONS
+        data = np.ascontiguousarray(sums.astype(np.int8))
+        return pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    narrow, wide = sums.astype(np.int8), sums.astype(np.int64)
+    return pa.array([(narrow if t else wide)[i].tobytes() for i, t in enumerate(small.tolist())], pa.binary())
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    rows = column.to_pylist()
+    out = np.zeros((len(rows), DIMENSIONS), np.int64)
+    small = np.array([len(r) == DIMENSIONS for r in rows], bool)
+    for mask, kind in ((small, np.int8), (~small, np.int64)):
+        data = b"".join(r for r, t in zip(rows, mask.tolist(), strict=True) if t)
+        out[mask] = np.frombuffer(data, kind).reshape(-1, DIMENSIONS)
+    return out
+
+
+_SUMS = "shape boolean, word long, n long, sums binary"
+
+
+def _batch(shape: bool, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(keys), shape)), pa.array(keys.view(np.int64)), pa.array(n), _packed(sums)],
+        ["shape", "word", "n", "sums"],
+    )
+
+
+def _merged(parts: list[tuple]) -> tuple:
+    return summed(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None):
+    held, shapes_held, rows = [], [], 0
+    for _, _, _, document, words, shapes in _tokens(batches):
+        if not len(words):
+            continue
+        (keys, n, sums), of_shapes = context_sums(words, document, shapes)
+        if listed is not None:
+            known = _places(listed, keys) < len(listed)
+            keys, n, sums = keys[known], n[known], sums[known]
+        held.append((keys, n, sums.astype(np.int32)))
+        shapes_held = [_merged([*shapes_held, of_shapes])]
+        rows += len(keys)
+        if rows > DICTIONARY:
+            keys, n, sums = _merged(held)
+            if len(keys) > DICTIONARY * 3 // 4 or np.abs(sums).max() >= 1 << 31:
+                yield _batch(False, keys, n, sums)
+                held, rows = [], 0
+            else:
+                held, rows = [(keys, n, sums.astype(np.int32))], len(keys)
+    if held:
+        yield _batch(False, *_merged(held))
+    if shapes_held:
+        yield _batch(True, *shapes_held[0])
+
+
+def _uses(batches: Iterator[pa.RecordBatch]):
+    held, rows = [], 0
+
+    def merged():
+        keys, n, _ = _merged(held)
+        return keys, n, np.zeros((len(keys), 0), np.int8)
+
+    def batch(keys, n, _):
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    for _, _, _, _, words, _ in _tokens(batches):
+        keys, n = np.unique(words, return_counts=True)
+        held.append((keys, n, np.zeros((len(keys), 0), np.int8)))
+        rows += len(keys)
+        if rows > 8 * DICTIONARY:
+            held = [merged()]
+            rows = len(held[0][0])
+            if rows > 4 * DICTIONARY:
+                yield batch(*held[0])
+                held, rows = [], 0
+    if held:
+        yield batch(*merged())
+
+
+def listed_words(docs: DataFrame) -> np.ndarray | None:
+    """Sorted hashes of the words with ``LEAST_USES`` uses; None if there are more than ``LISTED``."""
+    counted = docs.select("text").mapInArrow(_uses, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    known = counted.filter(F.col("n") >= LEAST_USES).select("word")
+    known = write_and_reopen(known, scratch_path(docs.sparkSession, "quality-words"))
+    if known.count() > LISTED:
+        return None
+    return np.sort(known.toArrow().combine_chunks()["word"].to_numpy().view(np.uint64))
+
+
+def _totals(batches: Iterator[pa.RecordBatch]):
+    """Sums of equal keys, which come one after the other; words of fewer than ``LEAST_USES`` uses go."""
+    last = {}
+    for batch in batches:
+        shape = batch.column("shape").to_numpy(zero_copy_only=False)
+        keys = batch.column("word").to_numpy().view(np.uint64)
+        n, sums = batch.column("n").to_numpy(), _unpacked(batch.column("sums"))
+        for kind in (False, True):
+            part = shape == kind
+            if not part.any():
+                continue
+            parts = [(keys[part], n[part], sums[part])]
+            # the key that the batch ends with may go on in the next one
+            end = keys[part][-1]
+            k, m, v = _merged([last[kind], *parts] if kind in last else parts)
+            open_ = k == end
+            last[kind] = (k[open_], m[open_], v[open_])
+            done = ~open_ & (kind | (m >= LEAST_USES))
+            if done.any():
+                yield _batch(kind, k[done], m[done], v[done])
+    for kind, (k, m, v) in last.items():
+        if kind or m[0] >= LEAST_USES:
+            yield _batch(kind, k, m, v)
+
+
+def corpus_contexts(docs: DataFrame) -> DataFrame:
+    """shape, word, n and sums: uses and context vectors of all shapes and of all words with ``LEAST_USES`` uses."""
+    listed = listed_words(docs)
+    parts = docs.select("text").mapInArrow(lambda batches: _contexts(batches, listed), _SUMS)
+    return parts.repartition("shape", "word").sortWithinPartitions("shape", "word").mapInArrow(_totals, _SUMS)
+
+
+def _unit(n: np.ndarray, sums: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """Directions of the contexts less what a use of any word has, in whole ``_STEPS``."""
+    own = sums - n[:, None] * usual
+    return np.rint(_STEPS * own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-6)).astype(np.int8)
+
+
+def unit_vectors(words: DataFrame, usual: np.ndarray) -> DataFrame:
+    """word and sums, the direction of its contexts in ``DIMENSIONS`` bytes."""
+
+    def run(batches):
+        for batch in batches:
+            unit = _unit(batch.column("n").to_numpy(), _unpacked(batch.column("sums")), usual)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), _packed(unit.astype(np.int64))], ["word", "sums"])
+
+    return words.mapInArrow(run, "word long, sums binary")
 
 
 class QualityModel:
     """Vocabulary, vectors of words and shapes, network and temperature."""
 
-    def __init__(self, vocabulary: np.ndarray, sums: np.ndarray):
-        n = len(vocabulary)
-        sums = sums - sums[: n + 1].mean(0) if n else sums  # what all words have in common says nothing
-        vectors = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-6)
-        vectors[n] = 0.0
-        self.vocabulary = vocabulary
-        self.words = np.concatenate([vectors[: n + 1], np.zeros((n + 1, 1), np.float32)], 1).astype(np.float32)
-        self.words[n, -1] = 1.0  # the share of unknown words
-        self.shapes = vectors[n + 1 :].astype(np.float32)
+    def __init__(self, contexts: DataFrame):
+        words = contexts.filter("NOT shape")
+        found = contexts.filter("shape").toArrow().combine_chunks()
+        at, n = found["word"].to_numpy(), found["n"].to_numpy()
+        sums = _unpacked(found["sums"])
+        usual = sums.sum(0) / max(int(n.sum()), 1)  # every use has one shape
+        self.usual = usual
+        self.shapes = np.zeros((_SHAPES, DIMENSIONS), np.float32)
+        self.shapes[at] = _unit(n, sums, usual) / _STEPS
+        rank = F.floor(F.log2("n") * 16)
+        counts = sorted(words.groupBy(rank.alias("rank")).count().collect(), reverse=True)
+        total, least = 0, None
+        for rank_, count in counts:
+            if total + count > FREQUENT:
+                break
+            total, least = total + count, rank_
+        frequent = words.filter(rank >= least) if least is not None else words.limit(0)
+        found = unit_vectors(frequent, usual).toArrow()
+        keys = found["word"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        self.vocabulary = keys[order]
+        vectors = np.zeros((len(keys) + 1, DIMENSIONS), np.int8)
+        at = 0
+        for chunk in found["sums"].chunks:
+            data = b"".join(chunk.to_pylist())
+            vectors[at : at + len(chunk)] = np.frombuffer(data, np.int8).reshape(-1, DIMENSIONS)
+            at += len(chunk)
+        self.words = np.ascontiguousarray(vectors[np.append(order, len(keys))].T)
+        #: Words with vectors that tasks don't have, or None.
+        self.rest = None
+        if total < sum(c for _, c in counts):
+            self.rest = words.filter(rank < least) if least is not None else words
         self.layers: dict[str, np.ndarray] = {}
         self.center = self.spread = np.zeros(0)
         self.temperature = 1.0
 
-    def features(self, document: np.ndarray, words: np.ndarray, shapes: np.ndarray, n: int) -> np.ndarray:
-        """Means of the word vectors, the shape vectors and the shapes themselves, and the logarithm of the length."""
+    def __getstate__(self):
+        return {**self.__dict__, "rest": None}
+
+    def sums(self, document: np.ndarray, words: np.ndarray, shapes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(sums of the frequent words' vectors, number of other words, length) as whole numbers, and the shapes' part."""
         counts = np.bincount(document, minlength=n)
-        mean = np.zeros((n, self.words.shape[1]), np.float32)
+        out = np.zeros((n, DIMENSIONS + 2), np.int64)
         some = counts > 0
         if len(words):
             first = (np.cumsum(counts) - counts)[some]
-            for at in range(self.words.shape[1]):  # one dimension at a time keeps memory small
-                mean[some, at] = np.add.reduceat(self.words[:, at][self._at(words)], first)
+            at = _places(self.vocabulary, words)
+            for i in range(DIMENSIONS):  # one dimension at a time keeps memory small
+                out[some, i] = np.add.reduceat(self.words[i][at], first, dtype=np.int64)
+            out[some, -2] = np.add.reduceat(at == len(self.vocabulary), first, dtype=np.int64)
+        out[:, -1] = counts
         shares = np.bincount(document * _SHAPES + shapes, minlength=n * _SHAPES).reshape(n, _SHAPES)
-        shares = shares / np.maximum(counts, 1)[:, None]
-        mean /= np.maximum(counts, 1)[:, None]
-        self._cached = None
-        return np.concatenate([mean, shares @ self.shapes, np.log1p(counts)[:, None]], 1).astype(np.float32)
+        return out, (shares / np.maximum(counts, 1)[:, None] @ self.shapes).astype(np.float32)
 
-    def _at(self, words: np.ndarray) -> np.ndarray:
-        if getattr(self, "_cached", None) is None:
-            self._cached = _places(self.vocabulary, words)
-        return self._cached
+    def features(self, sums: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        """Means of the word vectors, the share of unknown words, means of the shape vectors, logarithm of the length."""
+        counts = sums[:, -1:]
+        scale = np.append(np.full(DIMENSIONS, _STEPS), 1)
+        mean = sums[:, :-1] / scale / np.maximum(counts, 1)
+        return np.concatenate([mean, shapes, np.log1p(counts)], 1).astype(np.float32)
 
     def logits(self, features: np.ndarray) -> np.ndarray:
         x = (features - self.center) / self.spread
@@ -191,49 +385,104 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
-    """Learns vectors, network and temperature from a bounded sample."""
-    spark = docs.sparkSession
-    sample = write_and_reopen(
-        labelled_sample(docs, labels).repartition(_PARTS, "doc_id"), scratch_path(spark, "quality-sample")
-    )
+def _rest_uses(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """text_hash, known and sums: of the uses of words that tasks have no vectors of, summed for each distinct text."""
 
     def uses(batches):
-        for _, _, _, _, words, _ in _tokens(batches):
-            distinct, n = np.unique(words, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n)], ["word", "n"])
-
-    counted = sample.select("text").mapInArrow(uses, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    kept = counted.filter(F.col("n") >= LEAST_USES).orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    vocabulary = np.sort(kept.select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
-    shape = (len(vocabulary) + 1 + _SHAPES, DIMENSIONS)
-
-    def contexts(batches):
-        sums = np.zeros(shape, np.float32)
-        for _, _, _, document, words, shapes in _tokens(batches):
-            context_sums(words, document, shapes, vocabulary, sums)
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
-
-    total = np.zeros(shape, np.float64)
-    for row in sample.select("text").coalesce(_PARTS).mapInArrow(contexts, "sums binary").toLocalIterator():
-        total += np.frombuffer(row["sums"], np.float32).reshape(shape)
-    model = QualityModel(vocabulary, total.astype(np.float32))
-
-    def pooled(batches):
-        for batch, first, n, document, words, shapes in _tokens(batches):
-            rows = model.features(document, words, shapes, n)
+        for batch, first, n, document, words, _ in _tokens(batches):
+            other = _places(model.vocabulary, words) == len(model.vocabulary)
+            pairs = np.stack([document[other].astype(np.uint64), words[other]], 1)
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            new = np.append(True, (pairs[1:] != pairs[:-1]).any(1)) if len(pairs) else np.zeros(0, bool)
+            at = np.flatnonzero(new)
+            times = np.diff(np.append(at, len(pairs)))
+            hashes = batch.column("text_hash").slice(first, n).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r.tobytes() for r in rows], pa.binary()),
-                    batch.column("quality").slice(first, n).cast(pa.int64()),
-                    batch.column("doc_id").slice(first, n).cast(pa.string()),
+                    pa.array(hashes[pairs[at, 0].astype(np.int64)]),
+                    pa.array(pairs[at, 1].copy().view(np.int64)),
+                    pa.array(times.astype(np.int64)),
                 ],
-                ["features", "quality", "doc_id"],
+                ["text_hash", "word", "times"],
             )
 
-    found = sample.mapInArrow(pooled, "features binary, quality long, doc_id string").toPandas().sort_values("doc_id")
-    if found.empty:
+    def totals(batches):
+        open_, before = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, words = batch.column("text_hash").to_numpy(), batch.column("word").to_numpy()
+            times = batch.column("times").to_numpy()
+            new = (keys != np.append(keys[:1], keys[:-1])) | (words != np.append(words[:1], words[:-1]))
+            new[0] = before != (keys[0], words[0])  # copies of a text repeat its rows
+            before = (keys[-1], words[-1])
+            own = (keys[new], times[new], _unpacked(batch.column("sums"))[new] * times[new, None])
+            k, m, v = _merged([open_, own] if open_ is not None else [own])
+            last = k == keys[-1]
+            open_ = (k[last], m[last], v[last])
+            if not last.all():
+                yield _text_batch(k[~last], m[~last], v[~last])
+        if open_ is not None:
+            yield _text_batch(*open_)
+
+    def _text_batch(keys, known, sums):
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(known), _packed(sums)], ["text_hash", "known", "sums"])
+
+    used = _with_hash(docs).mapInArrow(uses, "text_hash long, word long, times long")
+    joined = used.join(unit_vectors(model.rest, model.usual), "word")
+    ordered = joined.repartition("text_hash").sortWithinPartitions("text_hash", "word")
+    return ordered.mapInArrow(totals, "text_hash long, known long, sums binary")
+
+
+def _with_hash(docs: DataFrame, *columns: str) -> DataFrame:
+    return docs.select(*columns, "text", F.xxhash64("text").alias("text_hash"))
+
+
+def _pooled(docs: DataFrame, model: QualityModel, columns: list[str]) -> DataFrame:
+    """The columns, text_hash and features (bytes of float32) of every document."""
+    own = _with_hash(docs, *columns)
+    kept = [*columns, "text_hash"]
+    fields = [own.schema[c] for c in kept]
+    partial = T.StructType([*fields, T.StructField("part", T.BinaryType()), T.StructField("shapes", T.BinaryType())])
+
+    def part(batches):
+        for batch, first, n, document, words, shapes in _tokens(batches):
+            sums, of_shapes = model.sums(document, words, shapes, n)
+            parts = [pa.array([r.tobytes() for r in a], pa.binary()) for a in (sums, of_shapes)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, n) for c in kept), *parts], partial.names)
+
+    def whole(batches):
+        for batch in batches:
+            sums = np.frombuffer(b"".join(batch.column("part").to_pylist()), np.int64).reshape(-1, DIMENSIONS + 2).copy()
+            of_shapes = np.frombuffer(b"".join(batch.column("shapes").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+            if "sums" in batch.schema.names:
+                known = batch.column("known")
+                some = np.flatnonzero(known.is_valid().to_numpy(zero_copy_only=False))
+                sums[some, :DIMENSIONS] += _unpacked(batch.column("sums").take(pa.array(some)))
+                sums[some, DIMENSIONS] -= known.take(pa.array(some)).to_numpy()
+            rows = model.features(sums, of_shapes)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), pa.array([r.tobytes() for r in rows], pa.binary())], [*kept, "features"]
+            )
+
+    pooled = own.mapInArrow(part, partial)
+    if model.rest is not None:
+        pooled = pooled.join(_rest_uses(docs, model), "text_hash", "left")
+    return pooled.mapInArrow(whole, T.StructType([*fields, T.StructField("features", T.BinaryType())]))
+
+
+def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
+    """Vectors of all documents' words; network and temperature from a bounded sample."""
+    spark = docs.sparkSession
+    sample = write_and_reopen(
+        labelled_sample(docs, labels).repartition(_PARTS, "doc_id"), scratch_path(spark, "quality-sample")
+    )
+    if sample.isEmpty():
         return None
+    model = QualityModel(write_and_reopen(corpus_contexts(docs), scratch_path(spark, "quality-contexts")))
+    found = _pooled(sample, model, ["doc_id", "quality"]).toPandas()
+    found["doc_id"] = found["doc_id"].astype(str)
+    found = found.sort_values(["doc_id", "text_hash"])
     features = np.stack([np.frombuffer(f, np.float32) for f in found["features"]])
     number = np.array([int.from_bytes(d.encode(), "big") % 1_000_003 for d in found["doc_id"]], np.uint64)
     calibrate = mix(number) >> np.uint64(11) < np.uint64(CALIBRATION * (1 << 53))
@@ -242,16 +491,34 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None):
-    """(batch, first row, rows, scores) of slices."""
+    """(batch, first row, rows, scores) of slices, where tasks have all vectors."""
     for batch, first, n, document, words, shapes in _tokens(batches):
         if model is None:
             yield batch, first, n, np.full(n, 0.5)
         else:
-            yield batch, first, n, model.scores(model.features(document, words, shapes, n)).astype(np.float64)
+            yield batch, first, n, model.scores(model.features(*model.sums(document, words, shapes, n))).astype(np.float64)
+
+
+def _scored_by_rest(docs: DataFrame, model: QualityModel, column: str) -> DataFrame:
+    """The column and score of every document, where some vectors are joined."""
+    pooled = _pooled(docs, model, [column] if column != "text_hash" else [])
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                rows = np.stack([np.frombuffer(f, np.float32) for f in batch.column("features").to_pylist()])
+                scores = model.scores(rows).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([batch.column(column), pa.array(scores)], [column, "score"])
+
+    schema = T.StructType([pooled.schema[column], T.StructField("score", T.DoubleType())])
+    return pooled.mapInArrow(run, schema)
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     """doc_id and score of every document."""
+    if model is not None and model.rest is not None:
+        return _scored_by_rest(docs, model, "doc_id")
+
     def run(batches):
         for batch, first, n, scores in _scored(batches, model):
             yield pa.RecordBatch.from_arrays(
@@ -265,7 +532,15 @@ def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score at least the threshold, with all their columns; no shuffle."""
+    """The documents that score at least the threshold, with all their columns; no shuffle where tasks have all vectors."""
+    if model is not None and model.rest is not None:
+        low = _scored_by_rest(docs, model, "text_hash").filter(F.col("score") < threshold)
+        low = write_and_reopen(
+            low.select(F.col("text_hash").alias("_low")).distinct(), scratch_path(docs.sparkSession, "quality-low")
+        )
+        side = F.broadcast(low) if fits_broadcast(low) else low
+        return docs.join(side, F.xxhash64(docs["text"]) == F.col("_low"), "left_anti")
+
     def run(batches):
         for batch, first, n, scores in _scored(batches, model):
             yield batch.slice(first, n).filter(pa.array(scores >= threshold))
