@@ -13,6 +13,7 @@ from shelfcast.llm.language_id import fit_language_model, predict_languages
 from shelfcast.llm.ngram_join import near_duplicates
 from shelfcast.llm.line_dedup import keep_bitmaps, kept_text
 from shelfcast.llm.mixing import mix_sources
+from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality import THRESHOLD, fit_quality_model, score_quality
 from shelfcast.llm.secrets_scan import listed, scan_secrets
 from shelfcast.llm.topk_search import build_index, search
@@ -24,6 +25,8 @@ from shelfcast.workspace import scratch_path, write_and_reopen
 SHARDS = 24
 #: Tokens beyond which a document is too long for the context.
 TOKEN_LIMIT = 512
+#: Tokens of a packed sequence.
+SEQUENCE_TOKENS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,6 +143,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Sequence and place of every piece of every document, packed by best fit into sequences of 2,048 tokens."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), str(path), SEQUENCE_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_topk_search": op2_topk_search,
@@ -150,5 +162,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op11_best_fit_packing": op11_best_fit_packing,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
 }

@@ -43,7 +43,7 @@ def test_every_operator_has_a_query():
     from shelfcast.llm.queries import QUERIES
 
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 12))
 
 
 def test_the_stages_do_what_their_operators_say(spark, corpus):
