@@ -12,10 +12,10 @@ piece after the other. The histogram and the runs are all the driver sees, howev
 pieces are then numbered inside their length (in ranges of a digest, so that no length is one task's) and
 look up their run.
 
-A word's ids do not depend on the words around it, since the vocabulary's rules cut at white space. Each task
-therefore encodes a distinct word once and lays the ids of the documents together with numpy. Words are known
-by 64-bit hashes in a task's table of bounded size (``KNOWN_WORDS``): of n words n * n / 2**65 pairs can be
-expected to clash, 10**-8 for a full table.
+A word's ids do not depend on the words around it, since the vocabulary's rules cut at white space and between
+letters, digits and other characters, and fold case. Each task therefore encodes a distinct word once and lays
+the ids of the documents together with numpy. Words are known by 64-bit hashes in a task's table of bounded size
+(``KNOWN_WORDS``): of n words n * n / 2**65 pairs can be expected to clash, 3 * 10**-8 for a full table.
 
 Defined results: NULL and empty texts are the end id alone; texts of any length are encoded whole, a slice at
 a time; repeated rows are documents of their own; documents of equal length keep the order of a digest, so
@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.word_arrays import SLICE_BYTES, SPACES, WordHasher, text_slices
+from shelfcast.llm.word_arrays import SLICE_BYTES, SPACES, WordHasher, mix, text_slices
 from shelfcast.workspace import scratch_path, write_and_reopen
 
 #: Words whose ids a task keeps; a full table is emptied.
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 20
 #: The id after every document.
 END_ID = 0
 #: Cells per shuffle partition into which the pieces are ranked.
@@ -118,6 +118,46 @@ def best_fit_runs(counts: Mapping[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(runs), np.int64).reshape(-1, 5)
 
 
+class PretokenHasher(WordHasher):
+    """Words cut further where the vocabulary's rules surely cut: between ASCII letters, digits (each alone) and
+    other ASCII characters. An apostrophe may belong to either side and a non-ASCII character may compose with
+    what is before it, so there is no cut beside them."""
+
+    def __init__(self):
+        super().__init__(fold_case=False)
+        self.kind = np.zeros(256, np.uint8)
+        for i in range(128):
+            if i not in SPACES and chr(i) != "'":
+                self.kind[i] = 1 if chr(i).isalpha() else 2 if chr(i).isdigit() else 3
+
+    @staticmethod
+    def folded(data: np.ndarray) -> np.ndarray:
+        """A-Z as a-z, but for letters before a non-ASCII character."""
+        data = data.copy()
+        upper = (data >= 65) & (data <= 90)
+        upper[:-1] &= data[1:] < 128
+        data[upper] += 32
+        return data
+
+    def words(self, data, offsets):
+        n = len(data)
+        inside, kind = self.is_word[data], self.kind[data]
+        edge = np.zeros(n + 1, bool)
+        left, right = kind[:-1], kind[1:]
+        edge[1:n] = (inside[1:] != inside[:-1]) | ((left > 0) & (right > 0) & ((left != right) | (left == 2)))
+        edge[0] = edge[n] = True
+        edge[offsets] = True
+        bounds = np.flatnonzero(edge)
+        starts, ends = bounds[:-1], bounds[1:]
+        keep = inside[starts] if n else np.zeros(0, bool)
+        starts, ends = starts[keep], ends[keep]
+        self._grow(n + 1)
+        running = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.values[data] * self.powers[:n], out=running[1:])
+        hashes = mix((running[ends] - running[starts]) * self.inverses[starts])
+        return starts, ends, np.searchsorted(offsets, starts, "right") - 1, hashes
+
+
 class WordIds:
     """Token ids of texts; every distinct word is encoded once as long as the table has room."""
 
@@ -125,8 +165,10 @@ class WordIds:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.hasher = WordHasher(fold_case=False)
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode_batch_fast
+        self.specials = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+        self.pretokens, self.whole_words = PretokenHasher(), WordHasher(fold_case=False)
         self._empty()
 
     def _empty(self) -> None:
@@ -149,7 +191,12 @@ class WordIds:
 
     def of_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a slice end to end, offsets of the texts in them)."""
-        starts, ends, document, hashes = self.hasher.words(data, offsets)
+        raw = data.tobytes()
+        if any(x in raw for x in self.specials):  # one token each, if they stay whole and keep their case
+            hasher = self.whole_words
+        else:
+            hasher, data = self.pretokens, self.pretokens.folded(data)
+        starts, ends, document, hashes = hasher.words(data, offsets)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.names) + len(distinct) > KNOWN_WORDS:
             self._empty()

@@ -65,6 +65,7 @@ def test_runs_of_equal_pieces_end_as_single_pieces_do(seed):
 def texts_of_every_kind(rng):
     letters = ["a", "B", "é", "é", "ß", "Σ", "İ", "文", "ก", "9", "٣", "'", "'s", "'LL", "!", "…", "\U0001f600", "_"]
     blanks = [" ", "\n", "\t", "\x0b", "\x0c", "\r", "\xa0", " ", "　", "\x85", "\x1c", "́", "  "]
+    letters += ["h\u0331", "H\u0331", "E\u0301", "=\u0338", "don't", "''s", ".'s", "1've", "'tis", "ABC", "x12y", "Z", "k", "#"]
     special = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "\x00", "​", "ͅ"]
     pool = letters * 4 + blanks * 3 + special
     for n in [0, 1, 2, 3, 5, 10, 30, 200, 900]:
