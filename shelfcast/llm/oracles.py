@@ -65,4 +65,46 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM decided GROUP BY doc, doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_line_dedup": _OP3, "op7_rendezvous_sharding": _OP7}
+_OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+kept AS (
+  SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+languages AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+smoothed AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+    1 + (1000000000::HUGEINT * (lang_n + 1)) // (lang_total + v) AS q
+  FROM cells JOIN languages USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+    FROM smoothed x JOIN smoothed y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM smoothed WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": _OP3,
+    "op7_rendezvous_sharding": _OP7,
+    "op13_source_divergence": _OP13,
+}

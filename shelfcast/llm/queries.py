@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.decontamination import contaminated_passages
+from shelfcast.llm.divergence import source_divergence
 from shelfcast.llm.holdout import held_out
 from shelfcast.llm.language_id import fit_language_model, predict_languages
 from shelfcast.llm.ngram_join import near_duplicates
@@ -27,6 +28,8 @@ SHARDS = 24
 TOKEN_LIMIT = 512
 #: Tokens of a packed sequence.
 SEQUENCE_TOKENS = 2048
+#: Documents of a language that must hold a term for the audit of sources, and terms listed for a source.
+AUDIT_DOCUMENTS, AUDIT_TERMS = 3, 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +155,11 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str, path: str | None = N
     return pack_documents(table(spark, sf_dir, "documents"), str(path), SEQUENCE_TOKENS)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms that set it apart."""
+    return source_divergence(table(spark, sf_dir, "documents"), AUDIT_DOCUMENTS, AUDIT_TERMS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_topk_search": op2_topk_search,
@@ -163,5 +171,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op13_source_divergence": op13_source_divergence,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
 }
