@@ -20,6 +20,7 @@ from shelfcast.llm.secrets_scan import listed, scan_secrets
 from shelfcast.llm.topk_search import build_index, search
 from shelfcast.llm.token_counts import token_counts
 from shelfcast.llm.sharding import number_slots, rendezvous_shard, record_key
+from shelfcast.llm.whitening import fit_whitening, whiten
 from shelfcast.workspace import scratch_path, write_and_reopen
 
 #: Shards of the sharding query.
@@ -30,6 +31,8 @@ TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 2048
 #: Documents of a language that must hold a term for the audit of sources, and terms listed for a source.
 AUDIT_DOCUMENTS, AUDIT_TERMS = 3, 200
+#: Whole numbers per unit of an embedding's entry, and directions of the whitening.
+WHITENING_SCALE, WHITENING_COMPONENTS = 256, 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,6 +158,12 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str, path: str | None = N
     return pack_documents(table(spark, sf_dir, "documents"), str(path), SEQUENCE_TOKENS)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding in the first whitened directions."""
+    rows = table(spark, sf_dir, "embeddings")
+    return whiten(rows, fit_whitening(rows, WHITENING_SCALE, WHITENING_COMPONENTS))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source from the others of its language, and the terms that set it apart."""
     return source_divergence(table(spark, sf_dir, "documents"), AUDIT_DOCUMENTS, AUDIT_TERMS)
@@ -171,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_source_divergence": op13_source_divergence,
     "op7_rendezvous_sharding": op7_rendezvous_sharding,
 }
