@@ -8,13 +8,14 @@ from dataclasses import asdict, dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.split import split_label
 from ..workspace import ensure_checkpoint_dir
 from .features import VECTOR, assembler, feature_inputs
+from .trees import TreeModel
 
 SPLIT = "split"
 RAW = "prediction_raw"
@@ -123,6 +124,10 @@ def fit(
     return PipelineModel(stages=[*prepared.stages, trees])
 
 
-def load_model(path: str) -> PipelineModel:
-    """A model saved with ``model.save(path)``; it scores silver rows without further preparation."""
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | TreeModel:
+    """A saved model, of ``fit`` or of ``fit_boosted``; it scores silver rows without further preparation."""
+    spark = SparkSession.getActiveSession()
+    stages = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/stages")
+    if stages.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(stages):
+        return PipelineModel.load(path)
+    return TreeModel.load(spark, path)

@@ -17,7 +17,17 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.metrics import regression_metrics
-from ..modeling import GBTParams, RunLog, fit, load_model, scoring_table, split_rows
+from ..modeling import (
+    BoostParams,
+    GBTParams,
+    RunLog,
+    TreeModel,
+    fit,
+    fit_boosted,
+    load_model,
+    scoring_table,
+    split_rows,
+)
 from ..modeling.training import RAW, SPLIT
 from ..operators.enrich import enrich
 from ..operators.gold import gold_by_row, gold_fanout
@@ -98,14 +108,21 @@ def train_and_score(
     silver: DataFrame,
     model_path: str,
     *,
-    params: GBTParams = GBTParams(),
+    params: GBTParams | BoostParams = GBTParams(),
     data_version: int | None = None,
     validate_on_test: bool = False,
 ) -> dict[str, float]:
-    """Fit, save the model, record the run, and write the scoring table of the test rows."""
+    """Fit, save the model, record the run, and write the scoring table of the test rows. The learner is that of
+    ``params``: regularised trees with ``BoostParams``, the ML library's with ``GBTParams``."""
     rows = split_rows(silver, row_keys(silver), validate_on_test=validate_on_test)
-    model = fit(rows, params, watch="test" if validate_on_test else "validation")
-    model.write().overwrite().save(model_path)
+    watch = "test" if validate_on_test else "validation"
+    if isinstance(params, BoostParams):
+        with scratch_scope(spark):
+            model = fit_boosted(rows, params, watch=watch)
+        model.save(model_path)
+    else:
+        model = fit(rows, params, watch=watch)
+        model.write().overwrite().save(model_path)
     raw = predict(model, rows, names.predictions)
     metrics = regression_metrics(raw, schemas.LABEL, RAW).first().asDict()
     RunLog(spark, names.runs).record(params.as_text(), metrics, model_path, data_version)
@@ -113,7 +130,7 @@ def train_and_score(
     return metrics
 
 
-def predict(model: PipelineModel, rows: DataFrame, table: str) -> DataFrame:
+def predict(model: PipelineModel | TreeModel, rows: DataFrame, table: str) -> DataFrame:
     """Raw predictions of the test rows, written once: errors and scoring both read them."""
     raw = model.transform(rows.filter(F.col(SPLIT) == "test"))
     keep = [schemas.KEY, schemas.ROW_KEY, schemas.LABEL, RAW]
@@ -154,7 +171,7 @@ def batch_flow(
     stores: DataFrame,
     model_path: str,
     *,
-    params: GBTParams = GBTParams(),
+    params: GBTParams | BoostParams = GBTParams(),
     gold_mode: str | None = None,
     row_budget: int | None = None,
 ) -> dict[str, float]:
@@ -196,7 +213,7 @@ def stream_flow(
     model_path: str,
     checkpoint: str,
     *,
-    params: GBTParams = GBTParams(),
+    params: GBTParams | BoostParams = GBTParams(),
     gold_mode: str | None = None,
     row_budget: int | None = None,
     retain_hours: float = RETAIN_HOURS,

@@ -48,6 +48,10 @@ _CTES = {
 SELECT *, CAST('0x' || substr(md5(CAST(RowId AS VARCHAR)), 1, 8) AS BIGINT) % 4 AS b1,
        CAST('0x' || substr(md5(CAST(RowId AS VARCHAR)), 9, 8) AS BIGINT) % 5 AS b2
 FROM cleaned""",
+    "hashed_silver": """
+SELECT *, CAST('0x' || substr(md5(CAST(RowId AS VARCHAR)), 1, 8) AS BIGINT) % 4 AS b1,
+       CAST('0x' || substr(md5(CAST(RowId AS VARCHAR)), 9, 8) AS BIGINT) % 5 AS b2
+FROM silver""",
     "train": "SELECT * FROM hashed WHERE b1 <> 0",
     "test": "SELECT * FROM hashed WHERE b1 = 0",
     "means": "SELECT Store AS mean_store, CAST(sum(Sales) AS DOUBLE) / count(*) AS mean_sales "
@@ -82,6 +86,7 @@ _NEEDS = {
     "cleaned": ["v2"],
     "hashed": ["cleaned"],
     "hashed_by_day": ["v4"],
+    "hashed_silver": ["silver"],
     "train": ["hashed"],
     "test": ["hashed"],
     "means": ["train"],
@@ -280,6 +285,73 @@ FROM hashed, (
 WHERE b1 = 0"""
 
 
+_ROUND_FEATURES = [*_FEW, "CompetitionOpenSinceMonth", "CompetitionOpenSinceYear", "Promo2SinceWeek"]
+
+
+def _boosted_round() -> str:
+    """Two levels of splits by gain with penalties 0.15 and 0.2, a least child weight of 0.6 and a direction for
+    missing values; leaves at a learning rate of 0.4 on a base score of 0.5."""
+
+    def shrunk(g: str) -> str:
+        return f"(sign({g}) * greatest(abs({g}) - 0.15::DOUBLE, 0))"
+
+    def score(g: str, h: str) -> str:
+        return f"({shrunk(g)} * {shrunk(g)} / ({h} + 0.2::DOUBLE))"
+
+    def level(rows: str, n: int) -> str:
+        entries = " UNION ALL ".join(
+            f"SELECT node, {i} AS f, CAST({c} AS DOUBLE) AS v, 0.5::DOUBLE - Sales AS g FROM {rows} WHERE trained"
+            for i, c in enumerate(_ROUND_FEATURES)
+        )
+        value = "CASE f " + " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(_ROUND_FEATURES)) + " END"
+        return f"""
+entries{n} AS ({entries}),
+cells{n} AS (SELECT node, f, v, sum(g) AS g, count(*)::DOUBLE AS h FROM entries{n} GROUP BY ALL),
+cuts{n} AS (
+  SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS next
+  FROM (SELECT DISTINCT f, v FROM entries{n} WHERE v IS NOT NULL)),
+sums{n} AS (
+  SELECT t.node, c.f, c.v, c.next, t.g, t.h, coalesce(m.g, 0) AS mg, coalesce(m.h, 0) AS mh,
+    sum(coalesce(x.g, 0)) OVER w AS pg, sum(coalesce(x.h, 0)) OVER w AS ph
+  FROM (SELECT node, sum(g) AS g, sum(h) AS h FROM cells{n} WHERE f = 0 GROUP BY node) t
+  CROSS JOIN cuts{n} c
+  LEFT JOIN cells{n} x ON x.node = t.node AND x.f = c.f AND x.v = c.v
+  LEFT JOIN cells{n} m ON m.node = t.node AND m.f = c.f AND m.v IS NULL
+  WINDOW w AS (PARTITION BY t.node, c.f ORDER BY c.v)),
+sides{n} AS (
+  SELECT *, true AS missing_left, pg + mg AS lg, ph + mh AS lh FROM sums{n}
+  UNION ALL SELECT *, false, pg, ph FROM sums{n}),
+gains{n} AS (
+  SELECT *, {score("lg", "lh")} + {score("(g - lg)", "(h - lh)")} - {score("g", "h")} AS gain
+  FROM sides{n} WHERE lh >= 0.6 AND h - lh >= 0.6),
+best{n} AS (
+  SELECT * FROM gains{n} WHERE gain > 1e-6
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v, missing_left DESC) = 1),
+level{n} AS (
+  SELECT r.* REPLACE (CASE WHEN b.node IS NULL THEN r.node
+      WHEN {value} IS NULL THEN 2 * r.node + (NOT b.missing_left)::INT
+      ELSE 2 * r.node + (NOT ({value} < coalesce(b.next, 'inf'::DOUBLE)))::INT END AS node)
+  FROM {rows} r LEFT JOIN best{n} b ON r.node = b.node)"""
+
+    return f"""
+, level0 AS (SELECT *, b1 <> 0 AND b2 <> 0 AS trained, 1 AS node FROM hashed_silver),
+{level("level0", 1)},{level("level1", 2)},
+leaves AS (
+  SELECT node, -{shrunk("g")} / (h + 0.2::DOUBLE) * 0.4::DOUBLE AS weight
+  FROM (SELECT node, sum(0.5::DOUBLE - Sales) AS g, count(*) AS h FROM level2 WHERE trained GROUP BY node))
+SELECT RowId, Sales, 0.5::DOUBLE + weight AS prediction_raw FROM level2 JOIN leaves USING (node) WHERE b1 = 0"""
+
+
+_THREE_TREES = """
+SELECT RowId, (250000 +
+    CASE WHEN Promo < 1 OR Promo IS NULL THEN -1500.25
+         WHEN Customers < 25.5 OR Customers IS NULL THEN 310.5 ELSE 2200.75 END +
+    CASE WHEN CompetitionOpenSinceMonth < 7 THEN
+           CASE WHEN Promo2SinceWeek >= 30 THEN 12.0 ELSE -640.0 END
+         ELSE 75.125 END +
+    CASE WHEN Latitude >= 52 THEN 1000.0 ELSE -0.5 END)::DOUBLE AS prediction_raw
+FROM silver"""
+
 _RUN = """
 SELECT count(*) FILTER (b1 <> 0 AND b2 <> 0) AS n_train,
        count(*) FILTER (b1 <> 0 AND b2 = 0) AS n_validation,
@@ -397,6 +469,8 @@ ORACLES: dict[str, str] = {
     "gbt_scored_rows": _with(
         ["test"], "SELECT RowId, Store, Sales AS Real_Sales, 1 AS has_prediction FROM test"
     ),
+    "boosted_round": _with(["hashed_silver"], _boosted_round()),
+    "tree_expression": _with(["silver"], _THREE_TREES),
     "run_log_baseline": _with(["raw"], _METRICS),
     "run_log": _with(["hashed"], _RUN),
     "batch_flow_tables": _with(["hashed"], _flow_sizes("hashed")),

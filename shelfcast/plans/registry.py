@@ -16,11 +16,15 @@ from .. import schemas
 from ..functions.expressions import fill_constant, ratio
 from ..functions.metrics import regression_metrics
 from ..modeling import (
+    BoostParams,
     GBTParams,
+    Node,
     RunLog,
     category_codes,
     feature_frame,
     fit,
+    TreeModel,
+    fit_boosted,
     load_model,
     predict_store_mean,
     scored_rows,
@@ -541,6 +545,58 @@ def gbt_stump_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring_table(raw, [schemas.ROW_KEY])
 
 
+def boosted_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regularised trees fitted on rows with their missing values, saved as nodes, loaded, scored as an expression."""
+    rows = split_rows(write_and_reopen(_silver(spark, sf_dir), scratch_path(spark, "boosted-training")))
+    path = scratch_path(spark, "boosted")
+    fit_boosted(rows).save(path)
+    raw = load_model(path).transform(rows.filter(F.col(SPLIT) == "test"))
+    return scoring_table(raw, [schemas.ROW_KEY])
+
+
+def boosted_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One whole round of the regularised learner, two levels deep, over features with few and with missing values."""
+    rows = split_rows(write_and_reopen(_silver(spark, sf_dir), scratch_path(spark, "round-training")))
+    params = BoostParams(base_score=0.5, max_iter=1, max_depth=2, max_leaves=4)
+    model = fit_boosted(rows, params, features=schemas.FEW_VALUED_FEATURES + schemas.MISSING_FEATURES)
+    return model.transform(rows.filter(F.col(SPLIT) == "test")).select(schemas.ROW_KEY, schemas.LABEL, RAW)
+
+
+#: A fixed model of three trees for the query below.
+THREE_TREES = TreeModel(
+    250_000.0,
+    [
+        [
+            Node(feature="Promo", threshold=1.0, missing_left=True, left=1, right=2),
+            Node(weight=-1500.25),
+            Node(feature="Customers", threshold=25.5, missing_left=True, left=3, right=4),
+            Node(weight=310.5),
+            Node(weight=2200.75),
+        ],
+        [
+            Node(feature="CompetitionOpenSinceMonth", threshold=7.0, missing_left=False, left=1, right=2),
+            Node(feature="Promo2SinceWeek", threshold=30.0, missing_left=True, left=3, right=4),
+            Node(weight=75.125),
+            Node(weight=-640.0),
+            Node(weight=12.0),
+        ],
+        [
+            Node(feature="Latitude", threshold=52.0, missing_left=True, left=1, right=2),
+            Node(weight=-0.5),
+            Node(weight=1000.0),
+        ],
+    ],
+)
+
+
+def tree_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model written as a table of nodes, read back, and applied to all rows as one expression."""
+    table = f"{scratch_database(spark, 'nodes')}.model_nodes"
+    replace_table(THREE_TREES.node_table(spark), table)
+    model = TreeModel.from_table(read_table(spark, table))
+    return model.transform(_silver(spark, sf_dir)).select(schemas.ROW_KEY, RAW)
+
+
 def gbt_scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can tell of the scored rows: which they are, and that each has a prediction."""
     scored = gbt_scoring(spark, sf_dir)
@@ -712,6 +768,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_scoring": gbt_scoring,
     "gbt_stump_scoring": gbt_stump_scoring,
     "gbt_scored_rows": gbt_scored_rows,
+    "boosted_scoring": boosted_scoring,
+    "boosted_round": boosted_round,
+    "tree_expression": tree_expression,
     "run_log": run_log,
     "run_log_baseline": run_log_baseline,
     "batch_flow_tables": batch_flow_tables,

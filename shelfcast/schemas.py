@@ -111,3 +111,5 @@ SUPPLIER = _struct(
 
 #: Features with few values each.
 FEW_VALUED_FEATURES = ["DayOfWeek", "Open", "Promo", "SchoolHoliday", "Promo2"]
+#: Features with few values each and many missing ones.
+MISSING_FEATURES = ["CompetitionOpenSinceMonth", "CompetitionOpenSinceYear", "Promo2SinceWeek"]

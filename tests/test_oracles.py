@@ -43,8 +43,8 @@ def test_query_matches_sql_without_any_broadcast(spark, con, name, monkeypatch):
     assert good, note
 
 
-def test_every_query_but_the_model_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"gbt_scoring"}
+def test_every_query_but_the_models_has_sql():
+    assert set(QUERIES) - set(ORACLES) == {"gbt_scoring", "boosted_scoring"}
     assert set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
