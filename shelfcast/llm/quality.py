@@ -51,6 +51,7 @@ HIDDEN, PASSES, STEP_ROWS, RATE, DECAY = 24, 40, 64, 0.004, 1e-4
 THRESHOLD = 0.3
 
 _SHAPES = 64
+_PIECE = 1 << 14  # rows that a dictionary takes or gives at a time
 _PARTS = 8  # tasks that pool the sample
 _STEPS = 127  # of a whole number's range in a component of a unit vector
 
@@ -159,8 +160,42 @@ def _merged(parts: list[tuple]) -> tuple:
     return summed(*(np.concatenate(c) for c in zip(*parts, strict=True)))
 
 
+class ContextTable:
+    """Uses and context sums of a bounded number of words, added up in place."""
+
+    def __init__(self, capacity: int):
+        self.n = np.zeros(capacity, np.int64)
+        self.sums = np.zeros((capacity, DIMENSIONS), np.int32)
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted keys and their rows
+
+    def add(self, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> bool:
+        """Add distinct sorted keys; False, and nothing is added, if the table has no room for them."""
+        at = _places(self.keys, keys)
+        known = at < len(self.keys)
+        size = len(self.keys) + int((~known).sum())
+        most = int(self.n[: len(self.keys)].max(initial=0)) + int(n.max(initial=0))
+        if size > len(self.n) or most * 4 * REACH * ENTRIES >= 1 << 31:  # rows, or what 32 bits may hold
+            return False
+        new = np.arange(len(self.keys), size)
+        self.n[new], self.sums[new] = n[~known], sums[~known]
+        rows = self.rows[at[known]]
+        self.n[rows] += n[known]
+        self.sums[rows] += sums[known]
+        self.keys, self.rows = np.append(self.keys, keys[~known]), np.append(self.rows, new)
+        order = np.argsort(self.keys)
+        self.keys, self.rows = self.keys[order], self.rows[order]
+        return True
+
+    def emptied(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """What the table holds, in pieces."""
+        for at in range(0, len(self.keys), _PIECE):
+            rows = self.rows[at : at + _PIECE]
+            yield self.keys[at : at + _PIECE], self.n[rows], self.sums[rows]
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None):
-    held, shapes_held, rows = [], [], 0
+    table, shapes_held = ContextTable(DICTIONARY), []
     for _, _, _, document, words, shapes in _tokens(batches):
         if not len(words):
             continue
@@ -168,18 +203,16 @@ def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None):
         if listed is not None:
             known = _places(listed, keys) < len(listed)
             keys, n, sums = keys[known], n[known], sums[known]
-        held.append((keys, n, sums.astype(np.int32)))
         shapes_held = [_merged([*shapes_held, of_shapes])]
-        rows += len(keys)
-        if rows > DICTIONARY:
-            keys, n, sums = _merged(held)
-            if len(keys) > DICTIONARY * 3 // 4 or np.abs(sums).max() >= 1 << 31:
-                yield _batch(False, keys, n, sums)
-                held, rows = [], 0
-            else:
-                held, rows = [(keys, n, sums.astype(np.int32))], len(keys)
-    if held:
-        yield _batch(False, *_merged(held))
+        for at in range(0, len(keys), _PIECE):
+            part = keys[at : at + _PIECE], n[at : at + _PIECE], sums[at : at + _PIECE]
+            if not table.add(*part):
+                for full in table.emptied():
+                    yield _batch(False, *full)
+                if not table.add(*part):  # so many uses in one slice that a whole table can't take them
+                    yield _batch(False, *part)
+    for rest in table.emptied():
+        yield _batch(False, *rest)
     if shapes_held:
         yield _batch(True, *shapes_held[0])
 
