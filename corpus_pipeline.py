@@ -25,16 +25,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id.
+    """One document of each group of near duplicates stays, the one with the smallest id; NULL is the largest.
 
-    Documents without a word are in no group and stay. Of rows with equal id and text one stays.
+    Documents without a word are in no group and stay. Of rows with equal id and text one stays. Ids that are NULL or
+    stand for several texts are told apart by the text. An empty table stays empty; other columns pass.
     """
-    marked = near_duplicates(docs).filter("doc_id <=> component_id").groupBy("doc_id").count()
-    kept = write_and_reopen(marked, scratch_path(spark, "pipeline-kept"))
-    ids = kept.select(F.col("doc_id").alias("_kept_id"))
-    side = F.broadcast(ids) if fits_broadcast(ids) else ids
-    out = docs.join(side, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return out if kept.filter("count > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    ids = docs.select("doc_id", F.xxhash64("text").alias("_hash"))
+    if ids.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty():
+        kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"))
+        kept = write_and_reopen(kept, scratch_path(spark, "pipeline-kept"))
+        side = F.broadcast(kept) if fits_broadcast(kept) else kept
+        return docs.join(side, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    by_id = F.col("doc_id").asc_nulls_last()
+    numbered = ids.distinct().repartitionByRange(by_id, F.col("_hash")).sortWithinPartitions(by_id, "_hash")
+    numbered = numbered.select(  # numbers in the order of the ids, written so that they stay
+        F.col("doc_id").alias("_id"), "_hash", F.monotonically_increasing_id().alias("_number")
+    )
+    numbered = write_and_reopen(numbered, scratch_path(spark, "pipeline-numbers"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    single = docs.join(numbered, same).select(F.col("_number").alias("doc_id"), docs["text"]).dropDuplicates(["doc_id"])
+    single = write_and_reopen(single, scratch_path(spark, "pipeline-texts"))
+    kept = near_duplicates(single).filter("doc_id = component_id").select(F.col("doc_id").alias("_number"))
+    kept = write_and_reopen(numbered.join(kept, "_number", "left_semi"), scratch_path(spark, "pipeline-kept"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,17 +33,22 @@ _UNSTABLE_CALLS = frozenset(
     """rand randn random uniform randstr uuid shuffle now current_date current_timestamp current_time current_timezone
     current_user current_catalog current_database current_schema localtimestamp curdate user session_user
     monotonically_increasing_id spark_partition_id input_file_name input_file_block_start input_file_block_length
-    unix_timestamp""".split()
+    unix_timestamp reflect try_reflect java_method""".split()
 )
 # Those of them that may stand without parentheses.
 _UNSTABLE_NAMES = frozenset("current_date current_timestamp current_time current_user localtimestamp user session_user".split())
+# Texts that a date or timestamp literal, or a cast, takes for a moment of today.
+_MOMENTS = ("now", "today", "tomorrow", "yesterday")
 _QUOTED = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
 _NAME = re.compile(r"([A-Za-z_]\w*)\s*(\()?")
 
 
 def is_unstable(expression: str, columns: Sequence[str] = ()) -> bool:
-    """Whether an SQL expression may change its value. Text literals and column names don't count."""
+    """Whether an SQL expression may change its value. Column names don't count, and text literals only if they could
+    be read as a moment: such a version is written out, which costs more and is never wrong."""
     own = {c.lower() for c in columns}
+    if any(q[0] != "`" and q[1:-1].strip().lower().startswith(_MOMENTS) for q in _QUOTED.findall(expression)):
+        return True
     for name, call in _NAME.findall(_QUOTED.sub(" ", expression)):
         name = name.lower()
         if name == "select" or (name in _UNSTABLE_CALLS if call else name in _UNSTABLE_NAMES - own):

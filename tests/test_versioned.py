@@ -196,6 +196,19 @@ def test_column_names_of_an_update_ignore_case(spark, database, rows):
     assert {r["Sales"] for r in t.current().collect()} == {0}
 
 
+def test_moments_in_quotes_are_written_out(spark, database, rows):
+    from shelfcast.operators.versioned import is_unstable
+
+    for text in ["timestamp'now'", "CAST('today' AS DATE)", "date\" Tomorrow\"", "reflect('java.lang.Math', 'random')"]:
+        assert is_unstable(text)
+    assert not is_unstable("note = 'nobody knows'", ["note"])
+    t = VersionedTable(spark, f"{database}.moments")
+    t.create(rows.selectExpr("*", "CAST(NULL AS TIMESTAMP) AS seen"))
+    t.update({"seen": "timestamp'now'"})
+    first = bag(t.as_of_version(1))
+    assert bag(t.as_of_version(1)) == first and t.history().first()["written"]
+
+
 def test_unstable_expressions_are_written_out(spark, database, rows):
     t = VersionedTable(spark, f"{database}.unstable")
     t.create(rows)
