@@ -7,7 +7,8 @@ normalised context vectors of its known words and of its shapes; a network of tw
 bounded sample of labelled documents, gives a logit, and a temperature fitted on rows of their own makes its
 probability calibrated.
 
-Tasks sum contexts in dictionaries of bounded size, which are summed by word. The vectors of the most frequent words,
+Tasks sum contexts in tables of bounded size, some thousand words at a time, and send them in compressed pieces of a range
+of word hashes each; the pieces of a range are added up in one place, as they come. The vectors of the most frequent words,
 up to ``FREQUENT``, go to every task; the uses of all other words are joined to theirs by a shuffle and summed by the
 hash of the text. Sums are of whole numbers, so the two ways agree exactly. Documents are named by 64-bit hashes of
 their texts there: among 10^8 texts, two share one with a chance of 3 in 10,000.
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +53,8 @@ THRESHOLD = 0.3
 
 _SHAPES = 64
 _PIECE = 1 << 14  # rows that a dictionary takes or gives at a time
+_CHUNK = 1 << 17  # words of a text or of several whose contexts are summed at a time
+_RANGE = 1 << 14  # distinct words in a range of hashes, about
 _PARTS = 8  # tasks that pool the sample
 _STEPS = 127  # of a whole number's range in a component of a unit vector
 
@@ -112,8 +115,8 @@ def summed(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarra
     return keys[first], np.add.reduceat(n[order].astype(np.int64), first), np.add.reduceat(sums[order], first, dtype=np.int64)
 
 
-def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray) -> list[tuple]:
-    """(keys, uses, sums of the index vectors of the neighbours' words and shapes), of the words and of the shapes."""
+def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray, own: slice = slice(None)) -> list[tuple]:
+    """(keys, uses, sums of the index vectors of the neighbours' words and shapes), of the ``own`` words and of their shapes."""
     distinct, at = np.unique(words, return_inverse=True)
     near = index_vectors(distinct)[at] + index_vectors(mix(np.arange(_SHAPES, dtype=np.uint64)))[shapes]
     total = np.zeros_like(near)  # 2 * REACH neighbours with 2 * ENTRIES at most: fits a byte
@@ -121,8 +124,17 @@ def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray) -> li
         same = (owner[step:] == owner[:-step])[:, None]
         total[step:] += near[:-step] * same
         total[:-step] += near[step:] * same
+    words, shapes, total = words[own], shapes[own].astype(np.uint64), total[own]
     ones = np.ones(len(words), np.int64)
-    return [summed(words, ones, total), summed(shapes.astype(np.uint64), ones, total)]
+    return [summed(words, ones, total), summed(shapes, ones, total)]
+
+
+def _context_chunks(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray) -> Iterator[list[tuple]]:
+    """``context_sums`` of all words, ``_CHUNK`` at a time: a long text needs no more memory than a short one."""
+    for at in range(0, len(words), _CHUNK):
+        end = min(at + _CHUNK, len(words))
+        low, high = max(0, at - REACH), min(len(words), end + REACH)
+        yield context_sums(words[low:high], owner[low:high], shapes[low:high], slice(at - low, end - low))
 
 
 def _packed(sums: np.ndarray) -> pa.Array:
@@ -181,40 +193,79 @@ class ContextTable:
         rows = self.rows[at[known]]
         self.n[rows] += n[known]
         self.sums[rows] += sums[known]
-        self.keys, self.rows = np.append(self.keys, keys[~known]), np.append(self.rows, new)
-        order = np.argsort(self.keys)
-        self.keys, self.rows = self.keys[order], self.rows[order]
+        place = np.searchsorted(self.keys, keys[~known])
+        self.keys, self.rows = np.insert(self.keys, place, keys[~known]), np.insert(self.rows, place, new)
         return True
 
-    def emptied(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """What the table holds, in pieces."""
-        for at in range(0, len(self.keys), _PIECE):
-            rows = self.rows[at : at + _PIECE]
-            yield self.keys[at : at + _PIECE], self.n[rows], self.sums[rows]
+    def emptied(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the table held, by key."""
+        held = self.keys, self.n[self.rows], self.sums[self.rows]
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return held
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second ones, and so on."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _numbers(data: memoryview, kind: np.dtype, count: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, count * kind.itemsize).reshape(kind.itemsize, count)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def compressed(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> bytes:
+    """Sorted keys, their uses and sums, in the narrowest whole numbers that hold the sums, compressed."""
+    most = int(np.abs(sums).max(initial=0))
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(k).max)
+    steps = np.diff(keys, prepend=np.uint64(0))
+    data = _planes(steps) + _planes(n.astype(np.int64)) + _planes(sums.astype(kind))
+    return np.array([len(keys), np.dtype(kind).itemsize], np.int64).tobytes() + pa.compress(data, "zstd", asbytes=True)
+
+
+def uncompressed(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys, uses and sums of ``compressed``."""
+    rows, width = np.frombuffer(piece, np.int64, 2).tolist()
+    kind = np.dtype(f"i{width}")
+    data = memoryview(pa.decompress(piece[16:], rows * (16 + DIMENSIONS * width), "zstd", asbytes=True))
+    keys = np.cumsum(_numbers(data, np.dtype(np.uint64), rows), dtype=np.uint64)
+    n = _numbers(data[8 * rows :], np.dtype(np.int64), rows)
+    return keys, n, _numbers(data[16 * rows :], kind, rows * DIMENSIONS).reshape(rows, DIMENSIONS)
+
 
+_PIECES = "shape boolean, part long, piece binary"
 
-def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None):
+
+def _pieces(shape: bool, parts: int, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Compressed pieces of sorted keys, one or two of each range of hashes: sums that need more than a byte are apart."""
+    small = np.abs(sums).max(1, initial=0) < 128
+    for rows in (np.flatnonzero(small), np.flatnonzero(~small)):
+        part = (keys[rows] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        pieces = [compressed(keys[r], n[r], sums[r]) for r in np.split(rows, first[1:])] if len(first) else []
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(first), shape)), pa.array(part[first].astype(np.int64)), pa.array(pieces, pa.binary())],
+            ["shape", "part", "piece"],
+        )
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None, parts: int):
     table, shapes_held = ContextTable(DICTIONARY), []
     for _, _, _, document, words, shapes in _tokens(batches):
-        if not len(words):
-            continue
-        (keys, n, sums), of_shapes = context_sums(words, document, shapes)
-        if listed is not None:
-            known = _places(listed, keys) < len(listed)
-            keys, n, sums = keys[known], n[known], sums[known]
-        shapes_held = [_merged([*shapes_held, of_shapes])]
-        for at in range(0, len(keys), _PIECE):
-            part = keys[at : at + _PIECE], n[at : at + _PIECE], sums[at : at + _PIECE]
-            if not table.add(*part):
-                for full in table.emptied():
-                    yield _batch(False, *full)
-                if not table.add(*part):  # so many uses in one slice that a whole table can't take them
-                    yield _batch(False, *part)
-    for rest in table.emptied():
-        yield _batch(False, *rest)
+        for (keys, n, sums), of_shapes in _context_chunks(words, document, shapes):
+            if listed is not None:
+                known = _places(listed, keys) < len(listed)
+                keys, n, sums = keys[known], n[known], sums[known]
+            shapes_held = [_merged([*shapes_held, of_shapes])]
+            for at in range(0, len(keys), _PIECE):
+                part = keys[at : at + _PIECE], n[at : at + _PIECE], sums[at : at + _PIECE]
+                if not table.add(*part):
+                    yield from _pieces(False, parts, *table.emptied())
+                    if not table.add(*part):  # so many uses in one slice that a whole table can't take them
+                        yield from _pieces(False, parts, *part)
+    yield from _pieces(False, parts, *table.emptied())
     if shapes_held:
-        yield _batch(True, *shapes_held[0])
+        yield from _pieces(True, 1, *shapes_held[0])
 
 
 def _uses(batches: Iterator[pa.RecordBatch]):
@@ -241,46 +292,50 @@ def _uses(batches: Iterator[pa.RecordBatch]):
         yield batch(*merged())
 
 
-def listed_words(docs: DataFrame) -> np.ndarray | None:
-    """Sorted hashes of the words with ``LEAST_USES`` uses; None if there are more than ``LISTED``."""
+def listed_words(docs: DataFrame) -> tuple[np.ndarray | None, int]:
+    """Sorted hashes of the words with ``LEAST_USES`` uses, or None if there are more than ``LISTED``; how many words have sums."""
     counted = docs.select("text").mapInArrow(_uses, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    known = counted.filter(F.col("n") >= LEAST_USES).select("word")
+    seen = Observation()
+    known = counted.observe(seen, F.count(F.lit(1)).alias("words")).filter(F.col("n") >= LEAST_USES).select("word")
     known = write_and_reopen(known, scratch_path(docs.sparkSession, "quality-words"))
-    if known.count() > LISTED:
-        return None
-    return np.sort(known.toArrow().combine_chunks()["word"].to_numpy().view(np.uint64))
+    count = known.count()
+    if count > LISTED:
+        return None, max(count, int(seen.get.get("words") or 0))
+    return np.sort(known.toArrow().combine_chunks()["word"].to_numpy().view(np.uint64)), count
 
 
 def _totals(batches: Iterator[pa.RecordBatch]):
-    """Sums of equal keys, which come one after the other; words of fewer than ``LEAST_USES`` uses go."""
-    last = {}
+    """Sums of the ranges, whose pieces come one after the other; words of fewer than ``LEAST_USES`` uses go."""
+    held, rows, last = [], 0, None
+
+    def whole(shape):
+        keys, n, sums = _merged(held)
+        kept = np.flatnonzero(shape | (n >= LEAST_USES))
+        for at in range(0, len(kept), _PIECE):
+            r = kept[at : at + _PIECE]
+            yield _batch(shape, keys[r], n[r], sums[r])
+
     for batch in batches:
-        shape = batch.column("shape").to_numpy(zero_copy_only=False)
-        keys = batch.column("word").to_numpy().view(np.uint64)
-        n, sums = batch.column("n").to_numpy(), _unpacked(batch.column("sums"))
-        for kind in (False, True):
-            part = shape == kind
-            if not part.any():
-                continue
-            parts = [(keys[part], n[part], sums[part])]
-            # the key that the batch ends with may go on in the next one
-            end = keys[part][-1]
-            k, m, v = _merged([last[kind], *parts] if kind in last else parts)
-            open_ = k == end
-            last[kind] = (k[open_], m[open_], v[open_])
-            done = ~open_ & (kind | (m >= LEAST_USES))
-            if done.any():
-                yield _batch(kind, k[done], m[done], v[done])
-    for kind, (k, m, v) in last.items():
-        if kind or m[0] >= LEAST_USES:
-            yield _batch(kind, k, m, v)
+        for shape, part, piece in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if held and (shape, part) != last:
+                yield from whole(last[0])
+                held, rows = [], 0
+            last = shape, part
+            held.append(uncompressed(piece))
+            rows += len(held[-1][0])
+            if rows > 4 * _RANGE and len(held) > 1:
+                held = [_merged(held)]
+                rows = 0
+    if held:
+        yield from whole(last[0])
 
 
 def corpus_contexts(docs: DataFrame) -> DataFrame:
     """shape, word, n and sums: uses and context vectors of all shapes and of all words with ``LEAST_USES`` uses."""
-    listed = listed_words(docs)
-    parts = docs.select("text").mapInArrow(lambda batches: _contexts(batches, listed), _SUMS)
-    return parts.repartition("shape", "word").sortWithinPartitions("shape", "word").mapInArrow(_totals, _SUMS)
+    listed, count = listed_words(docs)
+    parts = max(1, -(-count // _RANGE))
+    pieces = docs.select("text").mapInArrow(lambda batches: _contexts(batches, listed, parts), _PIECES)
+    return pieces.repartition("shape", "part").sortWithinPartitions("shape", "part").mapInArrow(_totals, _SUMS)
 
 
 def _unit(n: np.ndarray, sums: np.ndarray, usual: np.ndarray) -> np.ndarray:

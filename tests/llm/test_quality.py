@@ -118,3 +118,31 @@ def test_temperature_is_the_best_of_its_choices():
         return -np.mean(y[calibrate] * np.log(p) + (1 - y[calibrate]) * np.log(1 - p))
 
     assert loss(model.temperature) == pytest.approx(min(loss(t) for t in np.geomspace(0.25, 8, 61)))
+
+
+def test_pieces_come_back_whole():
+    from shelfcast.llm.quality import DIMENSIONS, compressed, uncompressed
+
+    rng = np.random.default_rng(5)
+    for rows in (0, 1, 700):
+        for most in (1, 100, 30_000, 1 << 30, 1 << 40):
+            keys = np.sort(rng.integers(0, 1 << 64, rows, np.uint64, endpoint=False))
+            n = rng.integers(1, 1 << 40, rows)
+            sums = rng.integers(-most, most + 1, (rows, DIMENSIONS))
+            for found, expected in zip(uncompressed(compressed(keys, n, sums)), (keys, n, sums), strict=True):
+                assert (found == expected).all() and len(found) == rows
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 17])
+def test_contexts_of_chunks_equal_those_of_whole_texts(monkeypatch, chunk):
+    from shelfcast.llm import quality
+    from shelfcast.llm.word_arrays import mix
+
+    rng = np.random.default_rng(6)
+    words, shapes = mix(rng.integers(0, 9, 50).astype(np.uint64)), rng.integers(0, 64, 50)
+    owner = np.sort(rng.integers(0, 6, 50))
+    expected = quality.context_sums(words, owner, shapes)
+    monkeypatch.setattr(quality, "_CHUNK", chunk)
+    parts = zip(*quality._context_chunks(words, owner, shapes), strict=True)
+    for found, whole in zip((quality._merged(list(p)) for p in parts), expected, strict=True):
+        assert all((a == b).all() for a, b in zip(found, whole, strict=True))
