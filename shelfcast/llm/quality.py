@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,7 @@ _SHAPES = 64
 _PIECE = 1 << 14  # rows that a dictionary takes or gives at a time
 _CHUNK = 1 << 17  # words of a text or of several whose contexts are summed at a time
 _RANGE = 1 << 14  # distinct words in a range of hashes, about
+_RANGES = 8  # of hashes for each shuffle partition where words are counted
 _PARTS = 8  # tasks that pool the sample
 _STEPS = 127  # of a whole number's range in a component of a unit vector
 
@@ -197,11 +198,15 @@ class ContextTable:
         self.keys, self.rows = np.insert(self.keys, place, keys[~known]), np.insert(self.rows, place, new)
         return True
 
-    def emptied(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What the table held, by key."""
-        held = self.keys, self.n[self.rows], self.sums[self.rows]
-        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return held
+    def emptied(self, rare_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What leaves the table, by key: all words, or the half and more with the fewest uses, which are not likely to return."""
+        n = self.n[self.rows]
+        stay = n > np.median(n) if rare_only and len(n) else np.zeros(len(n), bool)
+        out = self.keys[~stay], n[~stay], self.sums[self.rows[~stay]]
+        rows, self.keys = self.rows[stay], self.keys[stay]
+        self.rows = np.arange(len(rows))
+        self.n[: len(rows)], self.sums[: len(rows)] = self.n[rows], self.sums[rows]
+        return out
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -220,17 +225,17 @@ def compressed(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> bytes:
     kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(k).max)
     steps = np.diff(keys, prepend=np.uint64(0))
     data = _planes(steps) + _planes(n.astype(np.int64)) + _planes(sums.astype(kind))
-    return np.array([len(keys), np.dtype(kind).itemsize], np.int64).tobytes() + pa.compress(data, "zstd", asbytes=True)
+    return np.array([*sums.shape, np.dtype(kind).itemsize], np.int64).tobytes() + pa.compress(data, "zstd", asbytes=True)
 
 
 def uncompressed(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The keys, uses and sums of ``compressed``."""
-    rows, width = np.frombuffer(piece, np.int64, 2).tolist()
+    rows, columns, width = np.frombuffer(piece, np.int64, 3).tolist()
     kind = np.dtype(f"i{width}")
-    data = memoryview(pa.decompress(piece[16:], rows * (16 + DIMENSIONS * width), "zstd", asbytes=True))
+    data = memoryview(pa.decompress(piece[24:], rows * (16 + columns * width), "zstd", asbytes=True))
     keys = np.cumsum(_numbers(data, np.dtype(np.uint64), rows), dtype=np.uint64)
     n = _numbers(data[8 * rows :], np.dtype(np.int64), rows)
-    return keys, n, _numbers(data[16 * rows :], kind, rows * DIMENSIONS).reshape(rows, DIMENSIONS)
+    return keys, n, _numbers(data[16 * rows :], kind, rows * columns).reshape(rows, columns)
 
 
 _PIECES = "shape boolean, part long, piece binary"
@@ -259,75 +264,86 @@ def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None, part
             shapes_held = [_merged([*shapes_held, of_shapes])]
             for at in range(0, len(keys), _PIECE):
                 part = keys[at : at + _PIECE], n[at : at + _PIECE], sums[at : at + _PIECE]
-                if not table.add(*part):
-                    yield from _pieces(False, parts, *table.emptied())
-                    if not table.add(*part):  # so many uses in one slice that a whole table can't take them
+                for rare_only in (True, False):
+                    if table.add(*part):
+                        break
+                    yield from _pieces(False, parts, *table.emptied(rare_only))
+                else:
+                    if not table.add(*part):  # so many uses in one chunk that a whole table can't take them
                         yield from _pieces(False, parts, *part)
     yield from _pieces(False, parts, *table.emptied())
     if shapes_held:
         yield from _pieces(True, 1, *shapes_held[0])
 
 
-def _uses(batches: Iterator[pa.RecordBatch]):
+def _uses(batches: Iterator[pa.RecordBatch], parts: int):
+    """Compressed pieces of words and their uses, without sums."""
     held, rows = [], 0
-
-    def merged():
-        keys, n, _ = _merged(held)
-        return keys, n, np.zeros((len(keys), 0), np.int8)
-
-    def batch(keys, n, _):
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["word", "n"])
-
     for _, _, _, _, words, _ in _tokens(batches):
         keys, n = np.unique(words, return_counts=True)
         held.append((keys, n, np.zeros((len(keys), 0), np.int8)))
         rows += len(keys)
-        if rows > 8 * DICTIONARY:
-            held = [merged()]
+        if rows > 4 * DICTIONARY:
+            held = [_merged(held)]
             rows = len(held[0][0])
-            if rows > 4 * DICTIONARY:
-                yield batch(*held[0])
+            if rows > 2 * DICTIONARY:
+                yield from _pieces(False, parts, *held[0])
                 held, rows = [], 0
     if held:
-        yield batch(*merged())
+        yield from _pieces(False, parts, *_merged(held))
 
 
-def listed_words(docs: DataFrame) -> tuple[np.ndarray | None, int]:
-    """Sorted hashes of the words with ``LEAST_USES`` uses, or None if there are more than ``LISTED``; how many words have sums."""
-    counted = docs.select("text").mapInArrow(_uses, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    seen = Observation()
-    known = counted.observe(seen, F.count(F.lit(1)).alias("words")).filter(F.col("n") >= LEAST_USES).select("word")
-    known = write_and_reopen(known, scratch_path(docs.sparkSession, "quality-words"))
-    count = known.count()
-    if count > LISTED:
-        return None, max(count, int(seen.get.get("words") or 0))
-    return np.sort(known.toArrow().combine_chunks()["word"].to_numpy().view(np.uint64)), count
-
-
-def _totals(batches: Iterator[pa.RecordBatch]):
-    """Sums of the ranges, whose pieces come one after the other; words of fewer than ``LEAST_USES`` uses go."""
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(shape, keys, uses, sums) of each range, whose pieces come one after the other."""
     held, rows, last = [], 0, None
-
-    def whole(shape):
-        keys, n, sums = _merged(held)
-        kept = np.flatnonzero(shape | (n >= LEAST_USES))
-        for at in range(0, len(kept), _PIECE):
-            r = kept[at : at + _PIECE]
-            yield _batch(shape, keys[r], n[r], sums[r])
-
     for batch in batches:
         for shape, part, piece in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             if held and (shape, part) != last:
-                yield from whole(last[0])
+                yield last[0], *_merged(held)
                 held, rows = [], 0
             last = shape, part
             held.append(uncompressed(piece))
             rows += len(held[-1][0])
             if rows > 4 * _RANGE and len(held) > 1:
-                held = [_merged(held)]
-                rows = 0
+                held, rows = [_merged(held)], 0
     if held:
-        yield from whole(last[0])
+        yield last[0], *_merged(held)
+
+
+def _by_range(pieces: DataFrame) -> DataFrame:
+    return pieces.repartition("shape", "part").sortWithinPartitions("shape", "part")
+
+
+def listed_words(docs: DataFrame) -> tuple[np.ndarray | None, int]:
+    """Sorted hashes of the words with ``LEAST_USES`` uses, or None if there are more than ``LISTED``; how many words have sums."""
+
+    def known(batches):
+        for _, keys, n, _ in _ranges(batches):
+            found = keys[n >= LEAST_USES].view(np.int64)
+            yield pa.RecordBatch.from_arrays(  # and one row with the number of all words
+                [pa.array([*found.tolist(), None], pa.int64()), pa.array([*([0] * len(found)), len(keys)], pa.int64())],
+                ["word", "words"],
+            )
+
+    spark = docs.sparkSession
+    parts = _RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = docs.select("text").mapInArrow(lambda batches: _uses(batches, parts), _PIECES)
+    found = _by_range(pieces).mapInArrow(known, "word long, words long")
+    found = write_and_reopen(found, scratch_path(spark, "quality-words"))
+    count, words = found.agg(F.count("word"), F.coalesce(F.sum("words"), F.lit(0))).first()
+    if count > LISTED:
+        return None, words
+    listed = found.filter("word IS NOT NULL").select("word").toArrow().combine_chunks()["word"]
+    return np.sort(listed.to_numpy().view(np.uint64)), count
+
+
+def _totals(batches: Iterator[pa.RecordBatch]):
+    """Sums of the ranges; words of fewer than ``LEAST_USES`` uses go."""
+    for shape, keys, n, sums in _ranges(batches):
+        kept = np.flatnonzero(shape | (n >= LEAST_USES))
+        for at in range(0, len(kept), _PIECE):
+            r = kept[at : at + _PIECE]
+            yield _batch(shape, keys[r], n[r], sums[r])
 
 
 def corpus_contexts(docs: DataFrame) -> DataFrame:
@@ -335,7 +351,7 @@ def corpus_contexts(docs: DataFrame) -> DataFrame:
     listed, count = listed_words(docs)
     parts = max(1, -(-count // _RANGE))
     pieces = docs.select("text").mapInArrow(lambda batches: _contexts(batches, listed, parts), _PIECES)
-    return pieces.repartition("shape", "part").sortWithinPartitions("shape", "part").mapInArrow(_totals, _SUMS)
+    return _by_range(pieces).mapInArrow(_totals, _SUMS)
 
 
 def _unit(n: np.ndarray, sums: np.ndarray, usual: np.ndarray) -> np.ndarray:
@@ -378,14 +394,15 @@ class QualityModel:
         found = unit_vectors(frequent, usual).toArrow()
         keys = found["word"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
-        self.vocabulary = keys[order]
+        vocabulary = keys[order]
         vectors = np.zeros((len(keys) + 1, DIMENSIONS), np.int8)
         at = 0
         for chunk in found["sums"].chunks:
             data = b"".join(chunk.to_pylist())
             vectors[at : at + len(chunk)] = np.frombuffer(data, np.int8).reshape(-1, DIMENSIONS)
             at += len(chunk)
-        self.words = np.ascontiguousarray(vectors[np.append(order, len(keys))].T)
+        table = vocabulary, np.ascontiguousarray(vectors[np.append(order, len(keys))].T)
+        self.table = contexts.sparkSession.sparkContext.broadcast(table)  # bounded by ``FREQUENT``
         #: Words with vectors that tasks don't have, or None.
         self.rest = None
         if total < sum(c for _, c in counts):
@@ -397,6 +414,16 @@ class QualityModel:
     def __getstate__(self):
         return {**self.__dict__, "rest": None}
 
+    @property
+    def vocabulary(self) -> np.ndarray:
+        """Sorted hashes of the words whose vectors tasks have."""
+        return self.table.value[0]
+
+    @property
+    def words(self) -> np.ndarray:
+        """Their vectors, by dimension; the last one is that of all other words."""
+        return self.table.value[1]
+
     def sums(self, document: np.ndarray, words: np.ndarray, shapes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(sums of the frequent words' vectors, number of other words, length) as whole numbers, and the shapes' part."""
         counts = np.bincount(document, minlength=n)
