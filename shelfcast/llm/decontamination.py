@@ -38,6 +38,7 @@ _TENTHS = round(10 * IDENTITY)
 BLOCK_BYTES = 8 << 20
 
 _FILTER_BITS = 22
+_PAIRS = 1 << 20  # pairs of equal seeds that are looked at together
 
 
 class SeedIndex:
@@ -68,17 +69,24 @@ class SeedIndex:
 
     def hits(self, words: np.ndarray, document: np.ndarray) -> np.ndarray:
         """Distinct (document, item, shift): a document's words lie ``shift`` after the item's, as rows."""
-        found = []
+        items, span = max(len(self.first) - 1, 1), len(words) + len(self.words) + 1
+        found = [np.zeros(0, np.int64)]  # one number for the three: below 2^60 for slices and blocks of bounded bytes
         for key, place in seeds(words, document):
             likely = self.filter[key >> np.uint64(64 - _FILTER_BITS)]
             key, place = key[likely], place[likely]
             low, high = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
-            n = high - low
-            each = np.repeat(np.arange(len(key)), n)
-            within = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            at = self.places[low[each] + within]
-            found.append(np.stack([document[place[each]], self.items[at], place[each] - at], 1))
-        return np.unique(np.concatenate(found), axis=0)
+            ends = np.append(0, np.cumsum(high - low))
+            first = 0
+            while first < len(key):  # pairs of places a bounded number at a time: repeated words have many
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + _PAIRS, "right")) - 1)
+                n = (high - low)[first:last]
+                each = np.repeat(np.arange(first, last), n)
+                at = self.places[low[each] + np.arange(len(each)) - np.repeat(ends[first:last] - ends[first], n)]
+                pair = document[place[each]] * items + self.items[at]
+                found.append(np.unique(pair * span + place[each] - at + len(self.words)))
+                first = last
+        pair, shift = np.divmod(np.unique(np.concatenate(found)), span)
+        return np.stack([pair // items, pair % items, shift - len(self.words)], 1)
 
 
 def seeds(words: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -172,6 +172,29 @@ def test_clean_prose_of_few_words_is_not_reported(spark, documents):
     assert contaminated_passages(docs, benchmark).count() == 0
 
 
+def test_hits_of_repeated_words_are_all_found_in_bounded_pieces(monkeypatch):
+    from shelfcast.llm import decontamination
+    from shelfcast.llm.decontamination import SeedIndex, overlaps, seeds
+    from shelfcast.llm.word_arrays import mix
+
+    rng = random.Random(12)
+    texts = ["a " * 30, "b c " * 20, " ".join(rng.choices("abc", k=40)), "one two"]
+    index = SeedIndex(texts)
+    letters = {c: int(index.words[at]) for c, at in (("a", 0), ("b", 30), ("c", 31))}
+    words = np.array([letters[rng.choice("aabc")] for _ in range(90)] + [letters["a"]] * 60, np.uint64)
+    document = np.repeat([0, 2, 3], 50)
+    expected = set()
+    for (key, place), (other, there) in zip(seeds(index.words, index.items), seeds(words, document), strict=True):
+        for k, p in zip(key.tolist(), place.tolist(), strict=True):
+            expected |= {(int(document[q]), int(index.items[p]), q - p) for q in there[other == k].tolist()}
+    for pairs in (1, 50, 1 << 20):
+        monkeypatch.setattr(decontamination, "_PAIRS", pairs)
+        assert [tuple(r) for r in index.hits(words, document).tolist()] == sorted(expected)
+    many = SeedIndex(["a " * 300])
+    found = overlaps(many, np.full(3000, many.words[0]), np.zeros(3000, np.int64), 1)
+    assert found == [(0, 0, 0, 300, 300)]
+
+
 def test_no_pattern_of_the_definition_lacks_a_seed():
     """Search over all strings of equal and other words without a hit: none has 10 equal ones and a share of 0.7."""
     from shelfcast.llm.decontamination import MASKS, MATCHED
