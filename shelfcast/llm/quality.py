@@ -1,22 +1,24 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer network.
 
-Every token has a sparse ternary *index vector*, made from its hash. The *context vector* of a token is the
-sum of the index vectors of its neighbours, over all documents, labelled or not. Tokens are the words and,
-in a second stream, their shapes: upper case, digits, symbols, repetition. A document is the mean of the
-normalised context vectors of its known words and of its shapes; a network of two layers, trained in numpy on a
+Every token has a sparse ternary *index vector*, made from its hash. A *context vector* is the sum of the index
+vectors of the neighbours of a token, over all documents, labelled or not. Tokens are the words and,
+in a second stream, their shapes: upper case, digits, symbols, repetition. Context vectors of words are kept in a
+fixed number of buckets (feature hashing): every word, however rare, has the vector of the bucket that its hash names, and the
+words of one bucket share it. A document is the mean of the normalised vectors of its words and of their shapes, with the
+mean rarity of its buckets and its length; a network of two layers, trained in numpy on a
 bounded sample of labelled documents, gives a logit, and a temperature fitted on rows of their own makes its
 probability calibrated.
 
-Tasks sum contexts in tables of bounded size, some thousand words at a time, and send them in compressed pieces of a range
-of word hashes each; the pieces of a range are added up in one place, as they come. The vectors of the most frequent words,
-up to ``FREQUENT``, go to every task; the uses of all other words are joined to theirs by a shuffle and summed by the
-hash of the text. Sums are of whole numbers, so the two ways agree exactly. Documents are named by 64-bit hashes of
-their texts there: among 10^8 texts, two share one with a chance of 3 in 10,000.
+The number of buckets is part of the model, as the number of dimensions is; it doesn't depend on the input, and neither does
+what a task holds or what the model weighs. Tasks add contexts up in place, some thousand words at a time, and send them once
+in compressed pieces of a range of buckets each; the pieces of a range are added up in one place, as they come. Sums
+are of whole numbers, so they don't depend on order or layout.
 
-Scoring reads every text as a whole, with no Python object per word; no text is shuffled for it.
+Learning and scoring read every text as a whole, with no Python object per word; no text is shuffled.
 
 Defined results: NULL and empty texts are pooled to zeros and scored like any other; labels that are NULL, or of
-documents that aren't there, are not learned from, of several labels the highest counts; repeated rows get
+documents that aren't there, are not learned from, of several labels the highest counts, of several texts under one
+labelled id the one with the smallest hash; repeated rows get
 equal scores; without any usable label all scores are 0.5; an empty table gives an empty result; only doc_id and
 text of the scored documents are read, other columns pass where documents are filtered.
 """
@@ -33,17 +35,12 @@ from pyspark.sql import types as T
 
 from shelfcast.llm.holdout import held_out
 from shelfcast.llm.word_arrays import WordHasher, mix, text_slices
-from shelfcast.sizing import fits_broadcast
 from shelfcast.workspace import scratch_path, write_and_reopen
 
 #: Labelled documents that are learned from, at most (about), and the share of them that sets the temperature.
 SAMPLE_ROWS, CALIBRATION = 6_000, 0.2
-#: Uses in all documents that a word with a context vector needs.
-LEAST_USES = 3
-#: Words whose vectors go to every task, at most (56 bytes each), and words of a task's dictionary before it is emptied.
-FREQUENT, DICTIONARY = 1 << 19, 1 << 18
-#: Words with enough uses whose hashes tasks get, so that they leave out all others; if there are more, none is left out early.
-LISTED = 1 << 22
+#: Buckets of word vectors, as a power of two; a task's sums take 200 bytes for each, the model 49.
+BUCKET_BITS = 19
 #: Dimensions of the vectors, non-zero entries of an index vector, neighbours on each side.
 DIMENSIONS, ENTRIES, REACH = 48, 4, 2
 #: Units of the hidden layer; passes over the sample, rows of a step, step size, weight decay.
@@ -52,12 +49,12 @@ HIDDEN, PASSES, STEP_ROWS, RATE, DECAY = 24, 40, 64, 0.004, 1e-4
 THRESHOLD = 0.3
 
 _SHAPES = 64
-_PIECE = 1 << 14  # rows that a dictionary takes or gives at a time
 _CHUNK = 1 << 17  # words of a text or of several whose contexts are summed at a time
-_RANGE = 1 << 14  # distinct words in a range of hashes, about
-_RANGES = 8  # of hashes for each shuffle partition where words are counted
+_RANGE = 1 << 14  # buckets whose sums are added up together
+_HELD = 1 << 25  # uses that a task adds up before it sends them: their sums fit 32 bits
 _PARTS = 8  # tasks that pool the sample
 _STEPS = 127  # of a whole number's range in a component of a unit vector
+_RARITY = 3  # steps of rarity for each halving of a bucket's uses
 
 
 def index_vectors(tokens: np.ndarray) -> np.ndarray:
@@ -99,11 +96,9 @@ def _tokens(batches: Iterator[pa.RecordBatch]):
             yield batch, first, end - first, document, words, word_shapes(data, starts, ends, words, document)
 
 
-def _places(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Place of each word in the sorted vocabulary, or its length for unknown ones."""
-    at = np.searchsorted(vocabulary, words)
-    at[at == len(vocabulary)] = 0
-    return np.where(vocabulary[at] == words, at, len(vocabulary)) if len(vocabulary) else at
+def buckets(words: np.ndarray) -> np.ndarray:
+    """The bucket of each word."""
+    return words >> np.uint64(64 - BUCKET_BITS)
 
 
 def summed(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,7 +112,7 @@ def summed(keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarra
 
 
 def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray, own: slice = slice(None)) -> list[tuple]:
-    """(keys, uses, sums of the index vectors of the neighbours' words and shapes), of the ``own`` words and of their shapes."""
+    """(keys, uses, sums of the index vectors of the neighbours' words and shapes), of the ``own`` words' buckets and of their shapes."""
     distinct, at = np.unique(words, return_inverse=True)
     near = index_vectors(distinct)[at] + index_vectors(mix(np.arange(_SHAPES, dtype=np.uint64)))[shapes]
     total = np.zeros_like(near)  # 2 * REACH neighbours with 2 * ENTRIES at most: fits a byte
@@ -127,7 +122,7 @@ def context_sums(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray, own:
         total[:-step] += near[step:] * same
     words, shapes, total = words[own], shapes[own].astype(np.uint64), total[own]
     ones = np.ones(len(words), np.int64)
-    return [summed(words, ones, total), summed(shapes, ones, total)]
+    return [summed(buckets(words), ones, total), summed(shapes, ones, total)]
 
 
 def _context_chunks(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray) -> Iterator[list[tuple]]:
@@ -138,77 +133,10 @@ def _context_chunks(words: np.ndarray, owner: np.ndarray, shapes: np.ndarray) ->
         yield context_sums(words[low:high], owner[low:high], shapes[low:high], slice(at - low, end - low))
 
 
-def _packed(sums: np.ndarray) -> pa.Array:
-    """Rows of whole numbers as bytes: one byte for each number where a row's numbers are small, else eight."""
-    small = np.abs(sums).max(1, initial=0) < 128
-    if small.all():
-        offsets = np.arange(len(sums) + 1, dtype=np.int32) * DIMENSIONS
-        data = np.ascontiguousarray(sums.astype(np.int8))
-        return pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    narrow, wide = sums.astype(np.int8), sums.astype(np.int64)
-    return pa.array([(narrow if t else wide)[i].tobytes() for i, t in enumerate(small.tolist())], pa.binary())
-
-
-def _unpacked(column: pa.Array) -> np.ndarray:
-    rows = column.to_pylist()
-    out = np.zeros((len(rows), DIMENSIONS), np.int64)
-    small = np.array([len(r) == DIMENSIONS for r in rows], bool)
-    for mask, kind in ((small, np.int8), (~small, np.int64)):
-        data = b"".join(r for r, t in zip(rows, mask.tolist(), strict=True) if t)
-        out[mask] = np.frombuffer(data, kind).reshape(-1, DIMENSIONS)
-    return out
-
-
-_SUMS = "shape boolean, word long, n long, sums binary"
-
-
-def _batch(shape: bool, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(keys), shape)), pa.array(keys.view(np.int64)), pa.array(n), _packed(sums)],
-        ["shape", "word", "n", "sums"],
-    )
-
-
 def _merged(parts: list[tuple]) -> tuple:
     return summed(*(np.concatenate(c) for c in zip(*parts, strict=True)))
 
 
-class ContextTable:
-    """Uses and context sums of a bounded number of words, added up in place."""
-
-    def __init__(self, capacity: int):
-        self.n = np.zeros(capacity, np.int64)
-        self.sums = np.zeros((capacity, DIMENSIONS), np.int32)
-        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted keys and their rows
-
-    def add(self, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> bool:
-        """Add distinct sorted keys; False, and nothing is added, if the table has no room for them."""
-        at = _places(self.keys, keys)
-        known = at < len(self.keys)
-        size = len(self.keys) + int((~known).sum())
-        most = int(self.n[: len(self.keys)].max(initial=0)) + int(n.max(initial=0))
-        if size > len(self.n) or most * 4 * REACH * ENTRIES >= 1 << 31:  # rows, or what 32 bits may hold
-            return False
-        new = np.arange(len(self.keys), size)
-        self.n[new], self.sums[new] = n[~known], sums[~known]
-        rows = self.rows[at[known]]
-        self.n[rows] += n[known]
-        self.sums[rows] += sums[known]
-        place = np.searchsorted(self.keys, keys[~known])
-        self.keys, self.rows = np.insert(self.keys, place, keys[~known]), np.insert(self.rows, place, new)
-        return True
-
-    def emptied(self, rare_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What leaves the table, by key: all words, or the half and more with the fewest uses, which are not likely to return."""
-        n = self.n[self.rows]
-        stay = n > np.median(n) if rare_only and len(n) else np.zeros(len(n), bool)
-        out = self.keys[~stay], n[~stay], self.sums[self.rows[~stay]]
-        rows, self.keys = self.rows[stay], self.keys[stay]
-        self.rows = np.arange(len(rows))
-        self.n[: len(rows)], self.sums[: len(rows)] = self.n[rows], self.sums[rows]
-        return out
-
-
 def _planes(numbers: np.ndarray) -> bytes:
     """The numbers' first bytes, then their second ones, and so on."""
     return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
@@ -241,56 +169,54 @@ def uncompressed(piece: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _PIECES = "shape boolean, part long, piece binary"
 
 
-def _pieces(shape: bool, parts: int, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Compressed pieces of sorted keys, one or two of each range of hashes: sums that need more than a byte are apart."""
-    small = np.abs(sums).max(1, initial=0) < 128
-    for rows in (np.flatnonzero(small), np.flatnonzero(~small)):
-        part = (keys[rows] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-        pieces = [compressed(keys[r], n[r], sums[r]) for r in np.split(rows, first[1:])] if len(first) else []
+def _pieces(shape: bool, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Compressed pieces of sorted keys, one or two of each range: sums that need more than a byte are apart."""
+    for part in np.unique(keys // np.uint64(_RANGE)).tolist():
+        low, high = np.searchsorted(keys, np.array([part, part + 1], np.uint64) * np.uint64(_RANGE))
+        small = np.abs(sums[low:high]).max(1, initial=0) < 128
+        rows = [low + np.flatnonzero(mask) for mask in (small, ~small) if mask.any()]
+        pieces = [compressed(keys[r], n[r], sums[r]) for r in rows]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(first), shape)), pa.array(part[first].astype(np.int64)), pa.array(pieces, pa.binary())],
+            [pa.array([shape] * len(pieces)), pa.array([part] * len(pieces), pa.int64()), pa.array(pieces, pa.binary())],
             ["shape", "part", "piece"],
         )
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], listed: np.ndarray | None, parts: int):
-    table, shapes_held = ContextTable(DICTIONARY), []
+class ContextTable:
+    """Uses and context sums of all buckets, added up in place."""
+
+    def __init__(self):
+        self.n = np.zeros(1 << BUCKET_BITS, np.int64)
+        self.sums = np.zeros((1 << BUCKET_BITS, DIMENSIONS), np.int32)
+        self.uses = 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray, sums: np.ndarray) -> None:
+        """Add the sums of distinct buckets."""
+        at = keys.astype(np.int64)
+        self.n[at] += n
+        self.sums[at] += sums.astype(np.int32)
+        self.uses += int(n.sum())
+
+    def emptied(self) -> Iterator[pa.RecordBatch]:
+        """Pieces of what the table holds; then it holds nothing."""
+        for low in range(0, len(self.n), _RANGE):
+            at = low + np.flatnonzero(self.n[low : low + _RANGE])
+            yield from _pieces(False, at.astype(np.uint64), self.n[at], self.sums[at])
+            self.n[at], self.sums[at] = 0, 0
+        self.uses = 0
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table, shapes_held = ContextTable(), []
     for _, _, _, document, words, shapes in _tokens(batches):
-        for (keys, n, sums), of_shapes in _context_chunks(words, document, shapes):
-            if listed is not None:
-                known = _places(listed, keys) < len(listed)
-                keys, n, sums = keys[known], n[known], sums[known]
+        for of_words, of_shapes in _context_chunks(words, document, shapes):
             shapes_held = [_merged([*shapes_held, of_shapes])]
-            for at in range(0, len(keys), _PIECE):
-                part = keys[at : at + _PIECE], n[at : at + _PIECE], sums[at : at + _PIECE]
-                for rare_only in (True, False):
-                    if table.add(*part):
-                        break
-                    yield from _pieces(False, parts, *table.emptied(rare_only))
-                else:
-                    if not table.add(*part):  # so many uses in one chunk that a whole table can't take them
-                        yield from _pieces(False, parts, *part)
-    yield from _pieces(False, parts, *table.emptied())
+            if table.uses + _CHUNK > _HELD:
+                yield from table.emptied()
+            table.add(*of_words)
+    yield from table.emptied()
     if shapes_held:
-        yield from _pieces(True, 1, *shapes_held[0])
-
-
-def _uses(batches: Iterator[pa.RecordBatch], parts: int):
-    """Compressed pieces of words and their uses, without sums."""
-    held, rows = [], 0
-    for _, _, _, _, words, _ in _tokens(batches):
-        keys, n = np.unique(words, return_counts=True)
-        held.append((keys, n, np.zeros((len(keys), 0), np.int8)))
-        rows += len(keys)
-        if rows > 4 * DICTIONARY:
-            held = [_merged(held)]
-            rows = len(held[0][0])
-            if rows > 2 * DICTIONARY:
-                yield from _pieces(False, parts, *held[0])
-                held, rows = [], 0
-    if held:
-        yield from _pieces(False, parts, *_merged(held))
+        yield from _pieces(True, *shapes_held[0])
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -305,53 +231,21 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             held.append(uncompressed(piece))
             rows += len(held[-1][0])
             if rows > 4 * _RANGE and len(held) > 1:
-                held, rows = [_merged(held)], 0
+                held = [_merged(held)]
+                rows = len(held[0][0])
     if held:
         yield last[0], *_merged(held)
 
 
-def _by_range(pieces: DataFrame) -> DataFrame:
-    return pieces.repartition("shape", "part").sortWithinPartitions("shape", "part")
-
-
-def listed_words(docs: DataFrame) -> tuple[np.ndarray | None, int]:
-    """Sorted hashes of the words with ``LEAST_USES`` uses, or None if there are more than ``LISTED``; how many words have sums."""
-
-    def known(batches):
-        for _, keys, n, _ in _ranges(batches):
-            found = keys[n >= LEAST_USES].view(np.int64)
-            yield pa.RecordBatch.from_arrays(  # and one row with the number of all words
-                [pa.array([*found.tolist(), None], pa.int64()), pa.array([*([0] * len(found)), len(keys)], pa.int64())],
-                ["word", "words"],
-            )
-
-    spark = docs.sparkSession
-    parts = _RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = docs.select("text").mapInArrow(lambda batches: _uses(batches, parts), _PIECES)
-    found = _by_range(pieces).mapInArrow(known, "word long, words long")
-    found = write_and_reopen(found, scratch_path(spark, "quality-words"))
-    count, words = found.agg(F.count("word"), F.coalesce(F.sum("words"), F.lit(0))).first()
-    if count > LISTED:
-        return None, words
-    listed = found.filter("word IS NOT NULL").select("word").toArrow().combine_chunks()["word"]
-    return np.sort(listed.to_numpy().view(np.uint64)), count
-
-
-def _totals(batches: Iterator[pa.RecordBatch]):
-    """Sums of the ranges; words of fewer than ``LEAST_USES`` uses go."""
-    for shape, keys, n, sums in _ranges(batches):
-        kept = np.flatnonzero(shape | (n >= LEAST_USES))
-        for at in range(0, len(kept), _PIECE):
-            r = kept[at : at + _PIECE]
-            yield _batch(shape, keys[r], n[r], sums[r])
+def corpus_contexts(docs: DataFrame) -> DataFrame:
+    """shape, part and piece: uses and context sums of all shapes and of all buckets with a use, in compressed pieces."""
 
+    def totals(batches):
+        for shape, keys, n, sums in _ranges(batches):
+            yield from _pieces(shape, keys, n, sums)
 
-def corpus_contexts(docs: DataFrame) -> DataFrame:
-    """shape, word, n and sums: uses and context vectors of all shapes and of all words with ``LEAST_USES`` uses."""
-    listed, count = listed_words(docs)
-    parts = max(1, -(-count // _RANGE))
-    pieces = docs.select("text").mapInArrow(lambda batches: _contexts(batches, listed, parts), _PIECES)
-    return _by_range(pieces).mapInArrow(_totals, _SUMS)
+    pieces = docs.select("text").mapInArrow(_contexts, _PIECES)
+    return pieces.repartition("shape", "part").sortWithinPartitions("shape", "part").mapInArrow(totals, _PIECES)
 
 
 def _unit(n: np.ndarray, sums: np.ndarray, usual: np.ndarray) -> np.ndarray:
@@ -360,91 +254,60 @@ def _unit(n: np.ndarray, sums: np.ndarray, usual: np.ndarray) -> np.ndarray:
     return np.rint(_STEPS * own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-6)).astype(np.int8)
 
 
-def unit_vectors(words: DataFrame, usual: np.ndarray) -> DataFrame:
-    """word and sums, the direction of its contexts in ``DIMENSIONS`` bytes."""
-
-    def run(batches):
-        for batch in batches:
-            unit = _unit(batch.column("n").to_numpy(), _unpacked(batch.column("sums")), usual)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), _packed(unit.astype(np.int64))], ["word", "sums"])
-
-    return words.mapInArrow(run, "word long, sums binary")
+def _rarity(n: np.ndarray, total: int) -> np.ndarray:
+    """Halvings from all uses to those of a bucket, in steps of ``_RARITY`` to one."""
+    return np.clip(np.rint(_RARITY * np.log2(max(total, 1) / np.maximum(n, 1))), 0, 127).astype(np.int8)
 
 
 class QualityModel:
-    """Vocabulary, vectors of words and shapes, network and temperature."""
+    """Vectors of buckets and shapes, network and temperature."""
 
     def __init__(self, contexts: DataFrame):
-        words = contexts.filter("NOT shape")
-        found = contexts.filter("shape").toArrow().combine_chunks()
-        at, n = found["word"].to_numpy(), found["n"].to_numpy()
-        sums = _unpacked(found["sums"])
-        usual = sums.sum(0) / max(int(n.sum()), 1)  # every use has one shape
-        self.usual = usual
+        found = [uncompressed(r.piece) for r in contexts.filter("shape").collect()]  # one range: two pieces at most
+        at, n, sums = _merged(found) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, DIMENSIONS)))
+        total = int(n.sum())
+        usual = sums.sum(0) / max(total, 1)  # every use has one shape
         self.shapes = np.zeros((_SHAPES, DIMENSIONS), np.float32)
-        self.shapes[at] = _unit(n, sums, usual) / _STEPS
-        rank = F.floor(F.log2("n") * 16)
-        counts = sorted(words.groupBy(rank.alias("rank")).count().collect(), reverse=True)
-        total, least = 0, None
-        for rank_, count in counts:
-            if total + count > FREQUENT:
-                break
-            total, least = total + count, rank_
-        frequent = words.filter(rank >= least) if least is not None else words.limit(0)
-        found = unit_vectors(frequent, usual).toArrow()
-        keys = found["word"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        vocabulary = keys[order]
-        vectors = np.zeros((len(keys) + 1, DIMENSIONS), np.int8)
-        at = 0
-        for chunk in found["sums"].chunks:
-            data = b"".join(chunk.to_pylist())
-            vectors[at : at + len(chunk)] = np.frombuffer(data, np.int8).reshape(-1, DIMENSIONS)
-            at += len(chunk)
-        table = vocabulary, np.ascontiguousarray(vectors[np.append(order, len(keys))].T)
-        self.table = contexts.sparkSession.sparkContext.broadcast(table)  # bounded by ``FREQUENT``
-        #: Words with vectors that tasks don't have, or None.
-        self.rest = None
-        if total < sum(c for _, c in counts):
-            self.rest = words.filter(rank < least) if least is not None else words
+        self.shapes[at.astype(np.int64)] = _unit(n, sums, usual) / _STEPS
+
+        def vectors(batches):
+            for batch in batches:
+                for piece in batch.column("piece").to_pylist():
+                    keys, n, sums = uncompressed(piece)
+                    rows = np.column_stack([_unit(n, sums, usual), _rarity(n, total)])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([keys.tobytes()], pa.binary()), pa.array([rows.tobytes()], pa.binary())], ["keys", "rows"]
+                    )
+
+        # by dimension, then the rarity; bounded by the number of buckets
+        table = np.zeros((DIMENSIONS + 1, 1 << BUCKET_BITS), np.int8)
+        table[-1] = _rarity(np.zeros(1), total)
+        for row in contexts.filter("NOT shape").mapInArrow(vectors, "keys binary, rows binary").toLocalIterator():
+            keys = np.frombuffer(row["keys"], np.uint64).astype(np.int64)
+            table[:, keys] = np.frombuffer(row["rows"], np.int8).reshape(-1, DIMENSIONS + 1).T
+        self.table = contexts.sparkSession.sparkContext.broadcast(table)
         self.layers: dict[str, np.ndarray] = {}
         self.center = self.spread = np.zeros(0)
         self.temperature = 1.0
 
-    def __getstate__(self):
-        return {**self.__dict__, "rest": None}
-
-    @property
-    def vocabulary(self) -> np.ndarray:
-        """Sorted hashes of the words whose vectors tasks have."""
-        return self.table.value[0]
-
     @property
     def words(self) -> np.ndarray:
-        """Their vectors, by dimension; the last one is that of all other words."""
-        return self.table.value[1]
+        """The buckets' vectors, by dimension, and their rarity."""
+        return self.table.value
 
-    def sums(self, document: np.ndarray, words: np.ndarray, shapes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(sums of the frequent words' vectors, number of other words, length) as whole numbers, and the shapes' part."""
+    def features(self, document: np.ndarray, words: np.ndarray, shapes: np.ndarray, n: int) -> np.ndarray:
+        """Means of the word vectors, the mean rarity, means of the shape vectors, logarithm of the length."""
         counts = np.bincount(document, minlength=n)
-        out = np.zeros((n, DIMENSIONS + 2), np.int64)
         some = counts > 0
+        sums = np.zeros((n, DIMENSIONS + 1), np.int64)
         if len(words):
-            first = (np.cumsum(counts) - counts)[some]
-            at = _places(self.vocabulary, words)
-            for i in range(DIMENSIONS):  # one dimension at a time keeps memory small
-                out[some, i] = np.add.reduceat(self.words[i][at], first, dtype=np.int64)
-            out[some, -2] = np.add.reduceat(at == len(self.vocabulary), first, dtype=np.int64)
-        out[:, -1] = counts
-        shares = np.bincount(document * _SHAPES + shapes, minlength=n * _SHAPES).reshape(n, _SHAPES)
-        return out, (shares / np.maximum(counts, 1)[:, None] @ self.shapes).astype(np.float32)
-
-    def features(self, sums: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        """Means of the word vectors, the share of unknown words, means of the shape vectors, logarithm of the length."""
-        counts = sums[:, -1:]
-        scale = np.append(np.full(DIMENSIONS, _STEPS), 1)
-        mean = sums[:, :-1] / scale / np.maximum(counts, 1)
-        return np.concatenate([mean, shapes, np.log1p(counts)], 1).astype(np.float32)
+            first, at = (np.cumsum(counts) - counts)[some], buckets(words).astype(np.int64)
+            for i, values in enumerate(self.words):  # one dimension at a time keeps memory small
+                sums[some, i] = np.add.reduceat(values[at], first, dtype=np.int64)
+        least = np.maximum(counts, 1)[:, None]
+        scale = np.append(np.full(DIMENSIONS, _STEPS), 16 * _RARITY)
+        shares = np.bincount(document * _SHAPES + shapes, minlength=n * _SHAPES).reshape(n, _SHAPES) / least
+        return np.concatenate([sums / scale / least, shares @ self.shapes, np.log1p(counts)[:, None]], 1).astype(np.float32)
 
     def logits(self, features: np.ndarray) -> np.ndarray:
         x = (features - self.center) / self.spread
@@ -488,102 +351,19 @@ class QualityModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and quality of about ``SAMPLE_ROWS`` labelled documents outside the held-out fold.
+    """doc_id, text, quality and text_hash of about ``SAMPLE_ROWS`` labelled documents outside the held-out fold, one for each id.
 
-    The bounded list of chosen ids is broadcast, so that no text is shuffled.
+    The bounded list of chosen ids is broadcast, so that no text is shuffled but those of the sample.
     """
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = usable.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     total = marked.count()
-    chosen = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (1 << 20) * SAMPLE_ROWS / max(total, 1))
-    chosen = chosen.limit(2 * SAMPLE_ROWS)  # far above what the filter leaves: a bound for the broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-
-
-def _rest_uses(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """text_hash, known and sums: of the uses of words that tasks have no vectors of, summed for each distinct text."""
-
-    def uses(batches):
-        for batch, first, n, document, words, _ in _tokens(batches):
-            other = _places(model.vocabulary, words) == len(model.vocabulary)
-            pairs = np.stack([document[other].astype(np.uint64), words[other]], 1)
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            new = np.append(True, (pairs[1:] != pairs[:-1]).any(1)) if len(pairs) else np.zeros(0, bool)
-            at = np.flatnonzero(new)
-            times = np.diff(np.append(at, len(pairs)))
-            hashes = batch.column("text_hash").slice(first, n).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes[pairs[at, 0].astype(np.int64)]),
-                    pa.array(pairs[at, 1].copy().view(np.int64)),
-                    pa.array(times.astype(np.int64)),
-                ],
-                ["text_hash", "word", "times"],
-            )
-
-    def totals(batches):
-        open_, before = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, words = batch.column("text_hash").to_numpy(), batch.column("word").to_numpy()
-            times = batch.column("times").to_numpy()
-            new = (keys != np.append(keys[:1], keys[:-1])) | (words != np.append(words[:1], words[:-1]))
-            new[0] = before != (keys[0], words[0])  # copies of a text repeat its rows
-            before = (keys[-1], words[-1])
-            own = (keys[new], times[new], _unpacked(batch.column("sums"))[new] * times[new, None])
-            k, m, v = _merged([open_, own] if open_ is not None else [own])
-            last = k == keys[-1]
-            open_ = (k[last], m[last], v[last])
-            if not last.all():
-                yield _text_batch(k[~last], m[~last], v[~last])
-        if open_ is not None:
-            yield _text_batch(*open_)
-
-    def _text_batch(keys, known, sums):
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(known), _packed(sums)], ["text_hash", "known", "sums"])
-
-    used = _with_hash(docs).mapInArrow(uses, "text_hash long, word long, times long")
-    joined = used.join(unit_vectors(model.rest, model.usual), "word")
-    ordered = joined.repartition("text_hash").sortWithinPartitions("text_hash", "word")
-    return ordered.mapInArrow(totals, "text_hash long, known long, sums binary")
-
-
-def _with_hash(docs: DataFrame, *columns: str) -> DataFrame:
-    return docs.select(*columns, "text", F.xxhash64("text").alias("text_hash"))
-
-
-def _pooled(docs: DataFrame, model: QualityModel, columns: list[str]) -> DataFrame:
-    """The columns, text_hash and features (bytes of float32) of every document."""
-    own = _with_hash(docs, *columns)
-    kept = [*columns, "text_hash"]
-    fields = [own.schema[c] for c in kept]
-    partial = T.StructType([*fields, T.StructField("part", T.BinaryType()), T.StructField("shapes", T.BinaryType())])
-
-    def part(batches):
-        for batch, first, n, document, words, shapes in _tokens(batches):
-            sums, of_shapes = model.sums(document, words, shapes, n)
-            parts = [pa.array([r.tobytes() for r in a], pa.binary()) for a in (sums, of_shapes)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, n) for c in kept), *parts], partial.names)
-
-    def whole(batches):
-        for batch in batches:
-            sums = np.frombuffer(b"".join(batch.column("part").to_pylist()), np.int64).reshape(-1, DIMENSIONS + 2).copy()
-            of_shapes = np.frombuffer(b"".join(batch.column("shapes").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
-            if "sums" in batch.schema.names:
-                known = batch.column("known")
-                some = np.flatnonzero(known.is_valid().to_numpy(zero_copy_only=False))
-                sums[some, :DIMENSIONS] += _unpacked(batch.column("sums").take(pa.array(some)))
-                sums[some, DIMENSIONS] -= known.take(pa.array(some)).to_numpy()
-            rows = model.features(sums, of_shapes)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array([r.tobytes() for r in rows], pa.binary())], [*kept, "features"]
-            )
-
-    pooled = own.mapInArrow(part, partial)
-    if model.rest is not None:
-        pooled = pooled.join(_rest_uses(docs, model), "text_hash", "left")
-    return pooled.mapInArrow(whole, T.StructType([*fields, T.StructField("features", T.BinaryType())]))
+    by_hash = F.xxhash64("doc_id")
+    chosen = marked.filter(F.pmod(by_hash, F.lit(1 << 20)) < (1 << 20) * SAMPLE_ROWS / max(total, 1))
+    chosen = chosen.orderBy(by_hash, "doc_id").limit(2 * SAMPLE_ROWS)  # far above what the filter leaves: a bound for the broadcast
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(chosen), "doc_id")
+    first = F.min(F.struct("text_hash", "text", "quality")).alias("first")
+    return found.groupBy("doc_id").agg(first).select("doc_id", "first.text", "first.quality", "first.text_hash")
 
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
@@ -595,7 +375,17 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None
     if sample.isEmpty():
         return None
     model = QualityModel(write_and_reopen(corpus_contexts(docs), scratch_path(spark, "quality-contexts")))
-    found = _pooled(sample, model, ["doc_id", "quality"]).toPandas()
+    kept = ["doc_id", "quality", "text_hash"]
+    schema = T.StructType([*(sample.schema[c] for c in kept), T.StructField("features", T.BinaryType())])
+
+    def run(batches):
+        for batch, first, n, document, words, shapes in _tokens(batches):
+            rows = [r.tobytes() for r in model.features(document, words, shapes, n)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).slice(first, n) for c in kept), pa.array(rows, pa.binary())], schema.names
+            )
+
+    found = sample.mapInArrow(run, schema).toPandas()
     found["doc_id"] = found["doc_id"].astype(str)
     found = found.sort_values(["doc_id", "text_hash"])
     features = np.stack([np.frombuffer(f, np.float32) for f in found["features"]])
@@ -606,33 +396,16 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None):
-    """(batch, first row, rows, scores) of slices, where tasks have all vectors."""
+    """(batch, first row, rows, scores) of slices."""
     for batch, first, n, document, words, shapes in _tokens(batches):
         if model is None:
             yield batch, first, n, np.full(n, 0.5)
         else:
-            yield batch, first, n, model.scores(model.features(*model.sums(document, words, shapes, n))).astype(np.float64)
-
-
-def _scored_by_rest(docs: DataFrame, model: QualityModel, column: str) -> DataFrame:
-    """The column and score of every document, where some vectors are joined."""
-    pooled = _pooled(docs, model, [column] if column != "text_hash" else [])
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                rows = np.stack([np.frombuffer(f, np.float32) for f in batch.column("features").to_pylist()])
-                scores = model.scores(rows).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([batch.column(column), pa.array(scores)], [column, "score"])
-
-    schema = T.StructType([pooled.schema[column], T.StructField("score", T.DoubleType())])
-    return pooled.mapInArrow(run, schema)
+            yield batch, first, n, model.scores(model.features(document, words, shapes, n)).astype(np.float64)
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """doc_id and score of every document."""
-    if model is not None and model.rest is not None:
-        return _scored_by_rest(docs, model, "doc_id")
+    """doc_id and score of every document; no shuffle."""
 
     def run(batches):
         for batch, first, n, scores in _scored(batches, model):
@@ -647,14 +420,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score at least the threshold, with all their columns; no shuffle where tasks have all vectors."""
-    if model is not None and model.rest is not None:
-        low = _scored_by_rest(docs, model, "text_hash").filter(F.col("score") < threshold)
-        low = write_and_reopen(
-            low.select(F.col("text_hash").alias("_low")).distinct(), scratch_path(docs.sparkSession, "quality-low")
-        )
-        side = F.broadcast(low) if fits_broadcast(low) else low
-        return docs.join(side, F.xxhash64(docs["text"]) == F.col("_low"), "left_anti")
+    """The documents that score at least the threshold, with all their columns; no shuffle."""
 
     def run(batches):
         for batch, first, n, scores in _scored(batches, model):

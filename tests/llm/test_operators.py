@@ -438,26 +438,34 @@ def test_quality_is_learned_and_calibrated(spark, documents):
     assert score_quality(documents([]), model).count() == 0
 
 
-def test_word_vectors_come_from_all_documents_and_rare_words_are_joined(spark, documents, monkeypatch):
+def test_word_vectors_come_from_all_documents(spark, documents):
     from shelfcast.llm import quality
     from shelfcast.llm.word_arrays import WordHasher
 
     rows = quality_rows(random.Random(9), 120)
     unlabelled = [(1000 + i, f"unseen{i % 7} words next to the calm sea") for i in range(70)]
-    docs = documents([*rows, *unlabelled, *rows[:3], (2000, None)])
+    docs = documents([*rows, *unlabelled, *rows[:3], (2000, None), (1000, "unseen8 has one use")])
     labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i, _ in rows], "doc_id long, quality int")
     model = quality.fit_quality_model(docs, labels)
-    _, _, _, unseen = WordHasher().words(np.frombuffer(b"unseen3", np.uint8), np.array([0, 7]))
-    assert unseen[0] in model.vocabulary and model.rest is None
+    for word in (b"unseen3", b"unseen8"):
+        _, _, _, unseen = WordHasher().words(np.frombuffer(word, np.uint8), np.array([0, 7]))
+        assert model.words[:-1, quality.buckets(unseen)].any()
     scores = sorted((r.doc_id, r.score) for r in quality.score_quality(docs, model).collect())
     kept = sorted(r.doc_id for r in quality.keep_quality(docs, model).collect())
-    monkeypatch.setattr(quality, "FREQUENT", 4)
-    monkeypatch.setattr(quality, "DICTIONARY", 10)
-    monkeypatch.setattr(quality, "LISTED", 5)
-    split = quality.fit_quality_model(docs.repartition(5), labels)
-    assert split.rest is not None and len(split.vocabulary) <= 4
-    assert sorted((r.doc_id, r.score) for r in quality.score_quality(docs, split).collect()) == scores
-    assert sorted(r.doc_id for r in quality.keep_quality(docs, split).collect()) == kept
+    again = quality.fit_quality_model(docs.repartition(5), labels)
+    found = sorted((r.doc_id, r.score) for r in quality.score_quality(docs, again).collect())
+    assert [i for i, _ in found] == [i for i, _ in scores]
+    assert [s for _, s in found] == pytest.approx([s for _, s in scores])
+    assert sorted(r.doc_id for r in quality.keep_quality(docs, again).collect()) == kept
+
+
+def test_many_texts_under_one_labelled_id_are_one_row_of_the_sample(spark, documents):
+    from shelfcast.llm.quality import labelled_sample
+
+    docs = documents([*((2, f"text {i}") for i in range(50)), (2, None), (3, "other"), (3, "other")])
+    labels = spark.createDataFrame([(2, 0), (2, 1), (3, 0)], "doc_id long, quality int")
+    found = labelled_sample(docs, labels).collect()
+    assert sorted((r.doc_id, r.quality) for r in found) == [(2, 1), (3, 0)]
 
 
 # -- language ---------------------------------------------------------------------------------------------

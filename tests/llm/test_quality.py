@@ -30,8 +30,8 @@ def plain_shapes(tokens):
 
 
 def plain_contexts(texts):
-    """(word or shape) -> [uses, sum of the index vectors around it]."""
-    from shelfcast.llm.quality import DIMENSIONS, REACH, index_vectors
+    """(is a shape, bucket of a word or shape) -> [uses, sum of the index vectors around it]."""
+    from shelfcast.llm.quality import BUCKET_BITS, DIMENSIONS, REACH, index_vectors
     from shelfcast.llm.word_arrays import mix
 
     def index(token):
@@ -42,7 +42,8 @@ def plain_contexts(texts):
         tokens = words(text)
         names, shapes = [name_of(w) for w in tokens], plain_shapes(tokens)
         vectors = [index(n) + index(mix(np.array([s], np.uint64))[0]) for n, s in zip(names, shapes, strict=True)]
-        for i, keys in enumerate(zip(names, shapes, strict=True)):
+        places = [n >> (64 - BUCKET_BITS) for n in names]
+        for i, keys in enumerate(zip(places, shapes, strict=True)):
             around = sum((vectors[j] for j in range(max(0, i - REACH), min(len(names), i + REACH + 1)) if j != i), np.zeros(DIMENSIONS, int))
             for kind, key in enumerate(keys):
                 out[bool(kind), key][0] += 1
@@ -55,26 +56,29 @@ def some_texts(rng, n=25):
     return [None, "", " \n"] + [" ".join(rng.choices(pool, k=rng.randrange(1, 40))) for _ in range(n)]
 
 
-@pytest.mark.parametrize(("capacity", "piece"), [(1 << 18, 1 << 14), (25, 7)])
-def test_contexts_equal_plain_sums(documents, monkeypatch, capacity, piece):
+@pytest.mark.parametrize(("bits", "held", "chunk", "span"), [(19, 1 << 25, 1 << 17, 1 << 14), (4, 60, 20, 3)])
+def test_contexts_equal_plain_sums(documents, monkeypatch, bits, held, chunk, span):
     from shelfcast.llm import quality
 
-    monkeypatch.setattr(quality, "DICTIONARY", capacity)
-    monkeypatch.setattr(quality, "_PIECE", piece)
+    for name, value in (("BUCKET_BITS", bits), ("_HELD", held), ("_CHUNK", chunk), ("_RANGE", span)):
+        monkeypatch.setattr(quality, name, value)
     rng = random.Random(1)
     texts = some_texts(rng)
     expected = plain_contexts(texts)
-    found = quality.corpus_contexts(documents(list(enumerate(texts))).repartition(3)).collect()
-    got = {(r.shape, r.word % (1 << 64)): (r.n, quality._unpacked(pa.array([bytes(r.sums)]))[0].tolist()) for r in found}
-    assert len(got) == len(found)
-    assert got == {
-        (shape, key): (n, v.tolist()) for (shape, key), (n, v) in expected.items() if shape or n >= quality.LEAST_USES
-    }
+    got, rows = {}, 0
+    for r in quality.corpus_contexts(documents(list(enumerate(texts))).repartition(3)).collect():
+        for key, n, sums in zip(*(a.tolist() for a in quality.uncompressed(bytes(r.piece))), strict=True):
+            got[r.shape, key] = n, sums
+            rows += 1
+    assert len(got) == rows
+    assert got == {k: (n, v.tolist()) for k, (n, v) in expected.items()}
 
 
-def test_pooled_features_and_scores_equal_plain_ones(spark, documents):
+@pytest.mark.parametrize("bits", [19, 4])
+def test_pooled_features_and_scores_equal_plain_ones(spark, documents, monkeypatch, bits):
     from shelfcast.llm import quality
 
+    monkeypatch.setattr(quality, "BUCKET_BITS", bits)
     rng = random.Random(2)
     texts = some_texts(rng, 90)
     docs = documents(list(enumerate(texts)))
@@ -88,15 +92,16 @@ def test_pooled_features_and_scores_equal_plain_ones(spark, documents):
         own = v - n * usual
         return np.rint(127 * own / max(np.linalg.norm(own), 1e-6)) / 127
 
-    vectors = {k: unit(n, v) for k, (n, v) in contexts.items() if k[0] or n >= quality.LEAST_USES}
+    vectors = {k: unit(n, v) for k, (n, v) in contexts.items()}
     scores = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
     for i, text in enumerate(texts):
         tokens = words(text)
         n = max(len(tokens), 1)
-        known = [vectors.get((False, name_of(w))) for w in tokens]
-        mean = sum((v for v in known if v is not None), np.zeros(48)) / n
+        places = [(False, name_of(w) >> (64 - quality.BUCKET_BITS)) for w in tokens]
+        mean = sum((vectors[p] for p in places), np.zeros(48)) / n
+        rare = sum(np.rint(3 * np.log2(uses / contexts[p][0])) for p in places) / 48 / n
         shape = sum((vectors[True, s] for s in plain_shapes(tokens)), np.zeros(48)) / n
-        x = np.concatenate([mean, [sum(v is None for v in known) / n], shape, [np.log1p(len(tokens))]])
+        x = np.concatenate([mean, [rare], shape, [np.log1p(len(tokens))]])
         hidden = np.tanh((x - model.center) / model.spread @ model.layers["w"] + model.layers["b"])
         logit = hidden @ model.layers["v"] + model.layers["c"]
         assert scores[i] == pytest.approx(1 / (1 + np.exp(-logit / model.temperature)), abs=1e-4)
