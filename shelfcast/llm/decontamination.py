@@ -7,10 +7,12 @@ hit both texts are compared word by word, so that a passage is found although so
 The benchmark is the small side: its hashes go to every task, in blocks of bounded size if it is large (each
 block is one more pass over the documents). The documents are read in place: no shuffle, no text moves.
 
-Words are runs of letters and digits after lower-casing, so case, punctuation and spacing don't matter.
+Words are runs of letters and digits after lower-casing, so case, punctuation and spacing don't matter. In scripts that
+are written without blanks every character is a word. Benchmark texts of fewer than ``MATCHED`` words are found where all
+their words follow each other, by the hash of the whole sequence.
 
-Defined results: NULL and empty texts hold nothing; a benchmark text of fewer than ``MATCHED`` words can't be
-found; a NULL doc_id or item_id is reported as NULL; of several places of one item in a document the best is
+Defined results: NULL and empty texts hold nothing; a benchmark text of fewer than ``SHORTEST`` words can't be
+found, since it can't be told from chance; a NULL doc_id or item_id is reported as NULL; of several places of one item in a document the best is
 reported, of equal ones the first; repeated rows are reported each; an empty table on either side finds nothing;
 other columns are ignored, or kept where documents are filtered, whatever their names.
 """
@@ -34,6 +36,10 @@ MASKS = ("111011", "1100001011", "11010011", "101000111", "11000100101", "11111"
 #: Equal words that an overlap needs, and their share in it, in whole tenths.
 MATCHED, IDENTITY = 10, 0.7
 _TENTHS = round(10 * IDENTITY)
+#: Words of the shortest benchmark texts that are searched for; below ``MATCHED`` only whole.
+SHORTEST = 5
+#: Characters of scripts without blanks between words.
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 #: Benchmark text that is searched for in one pass, in bytes.
 BLOCK_BYTES = 8 << 20
 
@@ -41,12 +47,21 @@ _FILTER_BITS = 22
 _PAIRS = 1 << 20  # pairs of equal seeds that are looked at together
 
 
+def folded(texts: pa.Array) -> pa.Array:
+    """The texts in lower case, with blanks around the characters of ``UNSPACED``."""
+    lowered = pc.utf8_lower(texts.cast(pa.large_string()))
+    data = lowered.buffers()[2]
+    if data is not None and (np.frombuffer(data, np.uint8) >= 0xE0).any():  # the first byte of any such character
+        lowered = pc.replace_substring_regex(lowered, UNSPACED, r" \1 ")
+    return lowered
+
+
 class SeedIndex:
     """The hashes of a block of benchmark texts: sorted seeds with their places, and a small filter over them."""
 
     def __init__(self, texts: list[str | None]):
         hasher = WordHasher(letters_only=True)
-        column = pc.utf8_lower(pa.array(texts, pa.large_string()))
+        column = folded(pa.array(texts, pa.large_string()))
         words, items, first = [], [], 0
         for first, end, data, offsets in text_slices(column):
             _, _, document, hashes = hasher.words(data, offsets)
@@ -66,6 +81,12 @@ class SeedIndex:
         self.keys, self.places, self.items = key[order], place[order], item
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by length: sorted hashes and items
+        for length in np.unique(counts[(counts >= SHORTEST) & (counts < MATCHED)]).tolist():
+            key, place = windows(self.words, item, "1" * length, length)
+            whole = counts[item[place]] == length
+            order = np.argsort(key[whole], kind="stable")
+            self.short[length] = key[whole][order], item[place][whole][order]
 
     def hits(self, words: np.ndarray, document: np.ndarray) -> np.ndarray:
         """Distinct (document, item, shift): a document's words lie ``shift`` after the item's, as rows."""
@@ -89,19 +110,38 @@ class SeedIndex:
         return np.stack([pair // items, pair % items, shift - len(self.words)], 1)
 
 
+    def short_overlaps(self, words: np.ndarray, document: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        """(document, item, first word there, words, equal words) of short items: the first place in each document."""
+        for length, (keys, items) in self.short.items():
+            key, place = windows(words, document, "1" * length, length)
+            low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            found = np.flatnonzero(high > low)
+            within = document[place[found]]
+            order = np.lexsort((place[found], low[found], within))
+            found, within = found[order], within[order]
+            new = np.ones(len(found), bool)
+            new[1:] = (low[found[1:]] != low[found[:-1]]) | (within[1:] != within[:-1])
+            for i, d in zip(found[new].tolist(), within[new].tolist(), strict=True):
+                yield from ((d, item, int(place[i] - first[d]), length, length) for item in items[low[i] : high[i]].tolist())
+
+
+def windows(words: np.ndarray, owner: np.ndarray, mask: str, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the words that the mask keeps, first position) of every window that lies in one text."""
+    n = len(words) - len(mask) + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    total = np.full(n, number, np.uint64)
+    for at, kept in enumerate(mask):
+        if kept == "1":
+            total = total * np.uint64(0x9FB21C651E98DF25) + words[at : at + n]
+    place = np.flatnonzero(owner[:n] == owner[len(mask) - 1 :])
+    return mix(total[place]), place
+
+
 def seeds(words: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(hash, first position) of every window that lies in one text, mask by mask."""
+    """(hash, first position) of the windows, mask by mask."""
     for number, mask in enumerate(MASKS):
-        n = len(words) - len(mask) + 1
-        if n <= 0:
-            yield np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            continue
-        total = np.full(n, number + 1, np.uint64)
-        for at, kept in enumerate(mask):
-            if kept == "1":
-                total = total * np.uint64(0x9FB21C651E98DF25) + words[at : at + n]
-        place = np.flatnonzero(owner[:n] == owner[len(mask) - 1 :])
-        yield mix(total[place]), place
+        yield windows(words, owner, mask, number + 1)
 
 
 def best_overlap(equal: np.ndarray) -> tuple[int, int, int]:
@@ -136,7 +176,7 @@ def overlaps(index: SeedIndex, words: np.ndarray, document: np.ndarray, n_docume
             row = (d, item, int(low + start + shift - first[d]), end - start, same)
             if (d, item) not in best or (same, -row[2]) > (best[d, item][4], -best[d, item][2]):
                 best[d, item] = row
-    return sorted(best.values())
+    return sorted([*best.values(), *index.short_overlaps(words, document, first)])
 
 
 def benchmark_blocks(benchmark: DataFrame) -> Iterator[tuple[pa.Array, list]]:
@@ -153,8 +193,7 @@ def _found(batches, index: SeedIndex):
     """(batch, first row, rows, overlaps) of slices."""
     hasher = WordHasher(letters_only=True)
     for batch in batches:
-        lowered = pc.utf8_lower(batch.column("text").cast(pa.large_string()))
-        for first, end, data, offsets in text_slices(lowered):
+        for first, end, data, offsets in text_slices(folded(batch.column("text"))):
             _, _, document, words = hasher.words(data, offsets)
             yield batch, first, end - first, overlaps(index, words, document, end - first)
 

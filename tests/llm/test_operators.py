@@ -127,6 +127,25 @@ def test_passages_are_found_with_replaced_words_and_clean_documents_are_not(spar
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i is not None and 100 <= i <= 201}
 
 
+def test_short_items_and_scripts_without_blanks_are_found(spark, documents):
+    from shelfcast.llm.decontamination import contaminated_passages
+
+    rng = random.Random(4)
+    long, near = "東京は日本の首都で人口が最も多い都市である", "東京は日本の首都で人口が最も多い町である"
+    items = [(n, prose(rng, n, 10**6)) for n in range(1, 12)] + [(20, long), (21, "パンが好きです"), (22, None), (5, "five words and no more")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = dict(items[:11])
+    rows = [(n, f"{prose(rng, 20)} {text.upper()}, {prose(rng, 20)} {text}") for n, text in texts.items()]
+    rows += [(30, f"abc{near}。"), (31, "わたしはパンが好きです"), (32, "パンは好きでした"), (33, f"five words {prose(rng, 9)}")]
+    rows += [(40, " ".join(texts[7].split(" ")[:6])), (41, texts[9].replace(" ", " other ", 1)), (42, None), (43, "")]
+    rows.append((44, f"{prose(rng, 3)} {texts[8]}"))
+    found = {(r.doc_id, r.item_id): (r.first_word, r.n_words, r.n_equal) for r in contaminated_passages(documents(rows), benchmark).collect()}
+    expected = {(n, n): (20, n, n) for n in range(5, 12)}
+    assert {k: v for k, v in found.items() if k[0] < 20} == expected
+    assert {k for k in found if k[0] >= 20} == {(30, 20), (31, 21), (44, 8)}
+    assert found[44, 8] == (3, 8, 8)
+
+
 def brute_overlap(item, text):
     """Most equal words of a stretch with a share of 0.7, over all shifts, starts and ends."""
     best = 0
