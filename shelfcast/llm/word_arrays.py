@@ -48,7 +48,7 @@ def word_bytes(letters_only: bool = False) -> np.ndarray:
     return table
 
 
-def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of slices; NULL is empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     if len(texts) == 0:
@@ -58,7 +58,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        end = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         end = min(max(end, first + 1), len(texts))
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
