@@ -1,9 +1,9 @@
 """Regularised second-order boosting over DataFrames, with learned directions for missing values.
 
-Rows are binned once and written: an array of bin numbers (-1 is missing), the label, the margin so far. A pass
-over them sends each row down the tree as far as it has grown and sums gradients and hessians by (node, feature,
-bin) with ``groupBy``; partial sums are combined before the shuffle, and what arrives at the driver is bounded by
-nodes, features and bins. From these histograms the driver takes the best split of each node, with L1 and L2
+Rows are binned once, dealt out evenly and written: an array of bin numbers (-1 is missing), the label, the margin so
+far. A pass over them sends each row down the tree as far as it has grown and sums gradients and hessians by (node,
+feature, bin) in arrays, whose sums over the tasks are taken node by node. What a task sends and what arrives at the
+driver is bounded by nodes, features and bins. From these histograms the driver takes the best split of each node, with L1 and L2
 penalties, a least hessian for children, and both directions for the missing values.
 
 Trees grow best first: each pass splits the leaves with the highest gains, ``splits_per_pass`` of them, until
@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,7 +48,7 @@ _HISTORY = T.StructType(
     ]
 )
 
-_WATCHED = -2  # the bin of a watched row
+_PART_ROWS = 1 << 20  # training rows to a task
 
 
 @dataclass(frozen=True)
@@ -202,19 +203,16 @@ class _Tree:
             self.stats.append((gradient, hessian))
             self.depth.append(self.depth[node] + 1)
 
-    def walk(self) -> list[dict]:
-        """Nodes as the row expression reads them."""
-        return [
-            {
-                "f": self.split[node].feature if node in self.split else -1,
-                "c": self.split[node].cut if node in self.split else 0,
-                "m": self.split[node].missing_left if node in self.split else False,
-                "l": self.left.get(node, -1),
-                "w": self._weight(g, h),
-                "i": int(node in self.waiting),
-            }
-            for node, (g, h) in enumerate(self.stats)
-        ]
+    def walk(self) -> dict[str, np.ndarray]:
+        """What tasks need to send rows down: feature (-1: none), cut, missing values left, left child, weight."""
+        splits = [self.split.get(node) for node in range(len(self.stats))]
+        return {
+            "f": np.array([s.feature if s else -1 for s in splits]),
+            "c": np.array([s.cut if s else 0 for s in splits]),
+            "m": np.array([bool(s and s.missing_left) for s in splits]),
+            "l": np.array([self.left.get(node, -1) for node in range(len(splits))]),
+            "w": np.array([self._weight(g, h) for g, h in self.stats]),
+        }
 
     def _weight(self, g: float, h: float) -> float:
         return float(-_shrunk(g, self.params.alpha) / (h + self.params.reg_lambda) * self.params.step_size)
@@ -237,71 +235,104 @@ class _Tree:
         return out
 
 
-def _constants(nodes: Sequence[dict], key: str, kind: str) -> str:
-    """SQL for a field of all nodes as an array. It folds to one constant, so every pass runs the same compiled code."""
-    return f"CAST(split('{','.join(repr(n[key]) for n in nodes)}', ',') AS ARRAY<{kind}>)"
+def _walked(bins: np.ndarray, tree: dict[str, np.ndarray]) -> np.ndarray:
+    """The node that each row of ``bins`` comes to."""
+    node = np.zeros(len(bins), np.int64)
+    rows = np.arange(len(bins) if tree["f"][0] >= 0 else 0)
+    while len(rows):
+        at = node[rows]
+        value = bins[rows, tree["f"][at]]
+        at = tree["l"][at] + np.where(value < 0, ~tree["m"][at], value > tree["c"][at])
+        node[rows] = at
+        rows = rows[tree["f"][at] >= 0]
+    return node
 
 
-def _walked(nodes: Sequence[dict]) -> str:
-    """SQL for the node that a row's ``bins`` lead to."""
-    feature, cut, left = (_constants(nodes, key, "INT") for key in ("f", "c", "l"))
-    value = f"get(bins, get({feature}, node))"
-    goes_left = f"if({value} < 0, get({_constants(nodes, 'm', 'BOOLEAN')}, node), {value} <= get({cut}, node))"
-    step = f"if(get({feature}, node) < 0, node, get({left}, node) + if({goes_left}, 0, 1))"
-    depth = _depth(nodes)
-    return f"aggregate(sequence(1, {depth}), 0, (node, step) -> {step})" if depth else "0"
+def _bins_of(batch: pa.RecordBatch) -> np.ndarray:
+    """The bin numbers of a batch, a line for each row."""
+    return batch.column("bins").flatten().to_numpy().reshape(batch.num_rows, -1)
 
 
-def _with_margin(rows: DataFrame, trees: Sequence[Sequence[dict]]) -> DataFrame:
-    """Rows with the margin after further trees, added one after the other as whole rounds are."""
-    margin = "margin"
-    for tree in trees:
-        margin = f"({margin} + get({_constants(tree, 'w', 'DOUBLE')}, {_walked(tree)}))"
-    return rows.selectExpr("bins", "label", "watched", f"{margin} AS margin")
+def _with_margin(rows: DataFrame, tree: dict[str, np.ndarray]) -> DataFrame:
+    """Rows with the margin after one more tree."""
 
+    def run(batches):
+        for batch in batches:
+            margin = batch.column("margin").to_numpy() + tree["w"][_walked(_bins_of(batch), tree)]
+            yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margin))
 
-def _depth(tree: Sequence[dict]) -> int:
-    deep = {0: 0}
-    for i, node in enumerate(tree):
-        if node["f"] >= 0:
-            deep[node["l"]] = deep[node["l"] + 1] = deep[i] + 1
-    return max(deep.values())
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _exact_sums(cell: np.ndarray, values: np.ndarray, cells: int) -> np.ndarray:
+    """Sums of whole numbers below 2**62 per cell. The halves of a batch's numbers add up exactly as doubles."""
+    high = np.bincount(cell, values >> 31, cells).astype(np.int64)
+    return (high << 31) + np.bincount(cell, values & ((1 << 31) - 1), cells).astype(np.int64)
 
 
 def _pass(rows: DataFrame, tree: _Tree, shape: tuple[int, int]):
-    """Histograms of the waiting nodes, and the squared error of the watched rows (for a new tree only)."""
-    nodes = tree.walk()
-    wanted = f"get({_constants(nodes, 'i', 'INT')}, node) = 1"
-    at = rows.selectExpr("*", f"{_walked(nodes)} AS node", "margin - label AS gradient")
-    if len(nodes) == 1:  # a new tree: the watched rows add one entry each, for the error
-        at = at.selectExpr(
-            "node",
-            f"if(watched, 0L, CAST(rint(gradient / {tree.unit!r}D) AS LONG)) AS g",
-            "if(watched, gradient * gradient, 0D) AS error",
-            f"posexplode(if(watched, array(CAST({_WATCHED} AS SHORT)), bins)) AS (feature, bin)",
-        )
-    else:
-        at = at.filter(f"NOT watched AND {wanted}").selectExpr(
-            "node",
-            f"CAST(rint(gradient / {tree.unit!r}D) AS LONG) AS g",
-            "0D AS error",
-            "posexplode(bins) AS (feature, bin)",
-        )
-    found = at.groupBy("node", "feature", "bin").agg(
-        F.sum("g").alias("g"), F.count("*").alias("h"), F.sum("error").alias("error")
-    )
-    found = found.toArrow()
-    node, feature, bin_, g, h, error = (found.column(i).to_numpy() for i in range(6))
-    trained = bin_ != _WATCHED
-    histograms = {}
-    for n in tree.waiting:
-        here = trained & (node == n)
-        gradients, hessians = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
-        gradients[feature[here], bin_[here] + 1] = g[here]
-        hessians[feature[here], bin_[here] + 1] = h[here]
-        histograms[n] = gradients, hessians
-    watched = float(h[~trained].sum())
-    return histograms, float(error[~trained].sum()) / watched if watched else None
+    """Histograms of the waiting nodes, and the squared error of the watched rows (for a new tree only).
+
+    Each task adds its rows up in arrays of (feature, bin) for each waiting node; what the tasks have of a node meets in
+    one partition.
+    """
+    nodes, waiting, unit = tree.walk(), np.array(tree.waiting), tree.unit
+    new = len(nodes["f"]) == 1
+    if not new:
+        rows = rows.filter("NOT watched")
+    slots = np.full(len(nodes["f"]), -1)
+    slots[waiting] = np.arange(len(waiting))
+    features, width = shape
+
+    def run(batches):
+        sums = np.zeros((features, len(waiting) * width), np.int64)
+        counts = np.zeros_like(sums)
+        error, watched = 0.0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bins = _bins_of(batch)
+            gradient = batch.column("margin").to_numpy() - batch.column("label").to_numpy()
+            seen = batch.column("watched").to_numpy(zero_copy_only=False)
+            error, watched = error + float(np.square(gradient[seen]).sum()), watched + int(seen.sum())
+            slot = slots[_walked(bins, nodes)]
+            used = np.flatnonzero(~seen & (slot >= 0))
+            slot, g = slot[used] * width + 1, np.rint(gradient[used] / unit).astype(np.int64)
+            for f in range(features):
+                cell = slot + bins[used, f]
+                sums[f] += _exact_sums(cell, g, sums.shape[1])
+                counts[f] += np.bincount(cell, minlength=sums.shape[1])
+        if counts.any() or watched:
+            first = waiting == waiting[0]
+            yield partials(waiting, by_node(sums), by_node(counts), first * watched, first * error)
+
+    def by_node(cells):
+        return [c.tobytes() for c in cells.reshape(features, len(waiting), width).transpose(1, 0, 2)]
+
+    def partials(node, g, h, watched, error):
+        columns = [pa.array(node), pa.array(g, pa.binary()), pa.array(h, pa.binary()), pa.array(watched), pa.array(error)]
+        return pa.RecordBatch.from_arrays(columns, ["node", "g", "h", "watched", "error"])
+
+    def add(batches):
+        added: dict[int, list] = {}
+        for batch in batches:
+            for node, g, h, watched, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total = added.setdefault(node, [np.zeros(shape, np.int64), np.zeros(shape, np.int64), 0, 0.0])
+                total[0] += np.frombuffer(g, np.int64).reshape(shape)
+                total[1] += np.frombuffer(h, np.int64).reshape(shape)
+                total[2] += watched
+                total[3] += error
+        if added:
+            g, h, watched, error = zip(*added.values(), strict=True)
+            yield partials(list(added), [x.tobytes() for x in g], [x.tobytes() for x in h], watched, error)
+
+    schema = "node long, g binary, h binary, watched long, error double"
+    found = rows.mapInArrow(run, schema).repartition("node").mapInArrow(add, schema).toArrow().to_pylist()
+    histograms = {n: (np.zeros(shape, np.int64), np.zeros(shape, np.int64)) for n in tree.waiting}
+    for r in found:
+        histograms[r["node"]] = tuple(np.frombuffer(r[c], np.int64).reshape(shape) for c in ("g", "h"))
+    watched = sum(r["watched"] for r in found)
+    return histograms, sum(r["error"] for r in found) / watched if watched else None
 
 
 def fit_boosted(
@@ -338,7 +369,9 @@ def fit_boosted(
         if base is None:  # the mean, from an exact sum
             base = int(train.agg(F.sum(F.rint(label / F.lit(unit)).cast("long"))).first()[0]) * unit / n
         keep = [label.alias("label"), (F.col(SPLIT) == watch).alias("watched"), F.lit(float(base)).alias("margin")]
-        _binned(used, features, cuts, keep).select("bins", "label", "watched", "margin").write.mode("overwrite").parquet(f"{state}/margins-0")
+        binned = _binned(used, features, cuts, keep).select("bins", "label", "watched", "margin")
+        parts = max(spark.sparkContext.defaultParallelism, n // _PART_ROWS)  # every pass has that many tasks
+        binned.repartition(parts).write.mode("overwrite").parquet(f"{state}/margins-0")
         _record(spark, state, 0, base, unit, [], cuts, params, [])
         errors, trees = [], []
     else:
@@ -354,30 +387,34 @@ def fit_boosted(
     while len(trees) < params.max_iter and not stopped():
         start = len(trees)
         schema = T.StructType.fromDDL("bins array<short>, label double, watched boolean, margin double")
-        rows = spark.read.schema(schema).parquet(f"{state}/margins-{start}").persist(StorageLevel.MEMORY_AND_DISK)
-        block: list[list[dict]] = []
+        current = spark.read.schema(schema).parquet(f"{state}/margins-{start}").persist(StorageLevel.MEMORY_AND_DISK)
+        last = None  # the tree whose weights the margins do not have yet
         try:
-            while len(block) < params.block_rounds and len(trees) < params.max_iter:
-                current, tree = _with_margin(rows, block).persist(StorageLevel.MEMORY_AND_DISK), _Tree(params, unit)
+            while len(trees) - start < params.block_rounds and len(trees) < params.max_iter:
+                before, tree = current, _Tree(params, unit)
+                if last is not None:
+                    current = _with_margin(before, last).persist(StorageLevel.MEMORY_AND_DISK)
                 try:  # the passes of a round share its margins
                     histograms, error = _pass(current, tree, shape)
-                    if error is not None and len(errors) < len(trees):
-                        errors.append(error)  # of the rounds before this one
-                        if stopped():
-                            break
-                    tree.learn(histograms)
-                    while tree.waiting:
-                        tree.learn(_pass(current, tree, shape)[0])
                 finally:
-                    current.unpersist()
-                block.append(tree.walk())
+                    if before is not current:
+                        before.unpersist()
+                if error is not None and len(errors) < len(trees):
+                    errors.append(error)  # of the rounds before this one
+                    if stopped():
+                        last = None
+                        break
+                tree.learn(histograms)
+                while tree.waiting:
+                    tree.learn(_pass(current, tree, shape)[0])
+                last = tree.walk()
                 trees.append(tree.nodes(features, cuts))
-            if block:
-                after = _with_margin(rows, block)
+            if len(trees) > start:
+                after = current if last is None else _with_margin(current, last)
                 after.write.mode("overwrite").parquet(f"{state}/margins-{len(trees)}")
         finally:
-            rows.unpersist()
-        if block:
+            current.unpersist()
+        if len(trees) > start:
             _record(spark, state, len(trees), base, unit, errors, cuts, params, trees[start:])
     errors = _final_errors(spark, state, errors, len(trees))
     keep = int(np.argmin(errors)) + 1 if errors else len(trees)

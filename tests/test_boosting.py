@@ -195,3 +195,17 @@ def test_a_thousand_rounds_are_one_expression(spark):
     df = table(spark, [("test", 0.0, None, 1.0, 1.0), ("test", 0.0, 1.0, 1.0, 1.0)])
     assert predicted(model, df).tolist() == [1000.5, 2000.5]
     assert predicted(TreeModel(3.0, []), df).tolist() == [3.0, 3.0]
+
+
+def test_every_pass_is_dealt_to_all_cores(spark, path):
+    rows = table(spark, sample(seed=8)).coalesce(1)
+    fit_boosted(rows, replace(SMALL, max_iter=1), features=FEATURES, state=path)
+    files = spark.read.parquet(f"{path}/margins-0").inputFiles()
+    assert len(files) >= spark.sparkContext.defaultParallelism
+
+
+def test_sums_of_large_numbers_are_exact():
+    rng = np.random.default_rng(9)
+    values, cell = rng.integers(-(1 << 50), 1 << 50, 5000), rng.integers(0, 7, 5000)
+    expected = [sum(int(v) for v in values[cell == c]) for c in range(7)]
+    assert boosting._exact_sums(cell, values, 7).tolist() == expected
