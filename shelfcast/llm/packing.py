@@ -215,7 +215,7 @@ class WordIds:
 
     def of_texts(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, end row, ids, offsets) of slices; a long text is worked on in parts that end at white space."""
-        for first, end, data, offsets in text_slices(texts):
+        for first, end, data, offsets in text_slices(texts, SLICE_BYTES):
             if len(data) <= 2 * SLICE_BYTES:
                 yield first, end, *self.of_slice(data, offsets)
                 continue
