@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +68,8 @@ def fit(
     on the ``watch`` rows (``test`` in the two-way mode).
 
     The learner cannot go on with a fitted model, so rounds are doubled until the best one has
-    ``patience`` rounds behind it: at most twice the work of the last fit, and one more fit of the
-    best number of rounds, which repeats the first rounds exactly. Without watched rows all
-    ``max_iter`` rounds are kept.
+    ``patience`` rounds behind it: at most twice the work of the last fit, whose first rounds up to
+    the best one are the model. Without watched rows all ``max_iter`` rounds are kept.
 
     The vectors are kept in executor memory, spilling to disk, for the passes of the boosting rounds;
     a lost executor's part is rebuilt from ``df``, which should be a written table. The learner cuts
@@ -117,13 +116,26 @@ def fit(
                 rounds = min(params.max_iter, 2 * rounds)
                 continue
             if best < rounds:
-                trees = learner.copy({learner.maxIter: best}).fit(train)
+                trees = _first_rounds(learner.copy({learner.maxIter: best}), trees, best)
             break
     finally:
         vectors.unpersist()
     return PipelineModel(stages=[*prepared.stages, trees])
 
 
+def _first_rounds(learner: GBTRegressor, model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first rounds: what a fit of so many rounds gives, as rounds don't depend on later ones."""
+    gateway, java = SparkSession.getActiveSession().sparkContext._gateway, model._java_obj
+    ml = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(ml.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:rounds], model.treeWeights[:rounds], strict=True)):
+        trees[i], weights[i] = tree, float(weight)
+    kept = GBTRegressionModel(ml.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures()))
+    kept._resetUid(java.uid())
+    return learner._copyValues(kept)
+
+
 def load_model(path: str) -> PipelineModel | TreeModel:
     """A saved model, of ``fit`` or of ``fit_boosted``; it scores silver rows without further preparation."""
     spark = SparkSession.getActiveSession()

@@ -137,3 +137,19 @@ def test_runs_are_kept_and_the_best_is_found(spark, database):
     log.record({}, {"r2": float("nan"), "mae": float("nan")})
     assert log.best().first()["run_id"] == best
     assert log.best("mae").first()["metrics"]["mae"] == 0.5
+
+
+def test_the_best_rounds_are_those_of_a_fit_of_so_many(spark, silver, monkeypatch, path):
+    from pyspark.ml.regression import GBTRegressor
+
+    rows, fitted = split_rows(silver), []
+    original = GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, df: fitted.append(self.getMaxIter()) or original(self, df))
+    model = fit(rows, GBTParams(max_iter=6, patience=2, max_depth=2, step_size=1.0)).stages[-1]
+    best = model.getNumTrees
+    assert best < fitted[-1] and fitted == sorted(set(fitted))  # no fit is repeated for the best number of rounds
+    again = fit(rows.filter("split = 'train'"), GBTParams(max_iter=best, patience=2, max_depth=2, step_size=1.0)).stages[-1]
+    assert model.toDebugString.split("\n", 1)[1] == again.toDebugString.split("\n", 1)[1]
+    assert (model.treeWeights, model.getMaxIter(), model.numFeatures) == (again.treeWeights, best, again.numFeatures)
+    model.write().save(path)
+    assert type(model).load(path).treeWeights == model.treeWeights
