@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.holdout import held_out
-from shelfcast.llm.word_arrays import WordHasher, mix, text_slices
-from shelfcast.workspace import scratch_path, write_and_reopen
+from shelfcast.llm.word_arrays import WordHasher, giving_back, mix, text_slices
+from shelfcast.workspace import arrow_rows, scratch_path, write_and_reopen
 
 #: Labelled documents that are learned from, at most (about), and the share of them that sets the temperature.
 SAMPLE_ROWS, CALIBRATION = 6_000, 0.2
@@ -49,7 +49,9 @@ HIDDEN, PASSES, STEP_ROWS, RATE, DECAY = 24, 40, 64, 0.004, 1e-4
 THRESHOLD = 0.3
 
 _SHAPES = 64
-_CHUNK = 1 << 17  # words of a text or of several whose contexts are summed at a time
+_SLICE = 1 << 19  # bytes of text whose words are made at a time
+_BATCH_ROWS = 1_000  # of a batch that Spark hands to a task
+_CHUNK = 1 << 15  # words of a text or of several whose contexts are summed at a time
 _RANGE = 1 << 14  # buckets whose sums are added up together
 _HELD = 1 << 25  # uses that a task adds up before it sends them: their sums fit 32 bits
 _PARTS = 8  # tasks that pool the sample
@@ -91,7 +93,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]):
     """(batch, first row, rows, document, word hashes, shapes) of slices."""
     hasher = WordHasher()
     for batch in batches:
-        for first, end, data, offsets in text_slices(batch.column("text")):
+        for first, end, data, offsets in text_slices(batch.column("text"), _SLICE):
             starts, ends, document, words = hasher.words(data, offsets)
             yield batch, first, end - first, document, words, word_shapes(data, starts, ends, words, document)
 
@@ -206,6 +208,7 @@ class ContextTable:
         self.uses = 0
 
 
+@giving_back
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, shapes_held = ContextTable(), []
     for _, _, _, document, words, shapes in _tokens(batches):
@@ -220,26 +223,33 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(shape, keys, uses, sums) of each range, whose pieces come one after the other."""
-    held, rows, last = [], 0, None
+    """(shape, keys, uses, sums) of each range, whose pieces come one after the other and are added up in place."""
+    uses, totals, last = np.zeros(_RANGE, np.int64), np.zeros((_RANGE, DIMENSIONS), np.int64), None
+
+    def whole():
+        at = np.flatnonzero(uses)
+        found = last[0], at.astype(np.uint64) + np.uint64(last[1] * _RANGE), uses[at], totals[at]
+        uses[at], totals[at] = 0, 0
+        return found
+
     for batch in batches:
-        for shape, part, piece in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if held and (shape, part) != last:
-                yield last[0], *_merged(held)
-                held, rows = [], 0
+        for shape, part, piece in zip(*(batch.column(i) for i in range(3)), strict=True):
+            shape, part = shape.as_py(), part.as_py()
+            if last is not None and (shape, part) != last:
+                yield whole()
             last = shape, part
-            held.append(uncompressed(piece))
-            rows += len(held[-1][0])
-            if rows > 4 * _RANGE and len(held) > 1:
-                held = [_merged(held)]
-                rows = len(held[0][0])
-    if held:
-        yield last[0], *_merged(held)
+            keys, n, sums = uncompressed(piece.as_buffer())
+            at = (keys - np.uint64(part * _RANGE)).astype(np.int64)
+            uses[at] += n
+            totals[at] += sums
+    if last is not None:
+        yield whole()
 
 
 def corpus_contexts(docs: DataFrame) -> DataFrame:
     """shape, part and piece: uses and context sums of all shapes and of all buckets with a use, in compressed pieces."""
 
+    @giving_back
     def totals(batches):
         for shape, keys, n, sums in _ranges(batches):
             yield from _pieces(shape, keys, n, sums)
@@ -368,6 +378,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
     """Vectors of all documents' words; network and temperature from a bounded sample."""
+    with arrow_rows(docs.sparkSession, _BATCH_ROWS):
+        return _fitted(docs, labels)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
     spark = docs.sparkSession
     sample = write_and_reopen(
         labelled_sample(docs, labels).repartition(_PARTS, "doc_id"), scratch_path(spark, "quality-sample")
@@ -378,6 +393,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel | None
     kept = ["doc_id", "quality", "text_hash"]
     schema = T.StructType([*(sample.schema[c] for c in kept), T.StructField("features", T.BinaryType())])
 
+    @giving_back
     def run(batches):
         for batch, first, n, document, words, shapes in _tokens(batches):
             rows = [r.tobytes() for r in model.features(document, words, shapes, n)]
@@ -407,6 +423,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel | None):
 def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     """doc_id and score of every document; no shuffle."""
 
+    @giving_back
     def run(batches):
         for batch, first, n, scores in _scored(batches, model):
             yield pa.RecordBatch.from_arrays(
@@ -422,6 +439,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
 def keep_quality(docs: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score at least the threshold, with all their columns; no shuffle."""
 
+    @giving_back
     def run(batches):
         for batch, first, n, scores in _scored(batches, model):
             yield batch.slice(first, n).filter(pa.array(scores >= threshold))

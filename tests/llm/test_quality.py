@@ -151,3 +151,49 @@ def test_contexts_of_chunks_equal_those_of_whole_texts(monkeypatch, chunk):
     parts = zip(*quality._context_chunks(words, owner, shapes), strict=True)
     for found, whole in zip((quality._merged(list(p)) for p in parts), expected, strict=True):
         assert all((a == b).all() for a, b in zip(found, whole, strict=True))
+
+
+def traced(work):
+    """The most bytes that numpy holds at a time while the work is done."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_sums_of_a_range_take_its_memory_once():
+    import pyarrow as pa
+
+    from shelfcast.llm import quality
+
+    rng = np.random.default_rng(7)
+    keys = np.arange(quality._RANGE, dtype=np.uint64) + np.uint64(quality._RANGE)
+    sums = rng.integers(-90, 91, (len(keys), quality.DIMENSIONS))
+    piece = quality.compressed(keys, np.full(len(keys), 3), sums)
+    columns = [pa.array([False] * 6), pa.array([1] * 6), pa.array([piece] * 6, pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["shape", "part", "piece"])
+    found = []
+    assert traced(lambda: found.extend(quality._ranges(iter([batch, batch])))) < 32e6  # 88 MB before
+    ((shape, got, n, total),) = found
+    assert not shape and (got == keys).all() and (n == 36).all() and (total == 12 * sums).all()
+
+
+def test_a_slice_of_text_takes_little_memory():
+    import pyarrow as pa
+
+    from shelfcast.llm import quality
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(200_000)}" for _ in range(300)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+
+    def work():
+        for _, _, _, document, words, shapes in quality._tokens(iter([batch])):
+            for _ in quality._context_chunks(words, document, shapes):
+                pass
+
+    assert traced(work) < 90e6  # 191 MB before
