@@ -712,3 +712,69 @@ def test_join_reads_texts_in_small_batches(spark, documents, monkeypatch):
     found = ngram_join.near_duplicates(documents([(1, text), (2, text), (3, f"{text} end"), (4, "else")]))
     assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4)]
     assert seen and max(map(int, seen)) <= 1000 and spark.conf.get(name) == before
+
+
+def test_dissimilar_documents_around_one_passage_make_few_pairs(documents, monkeypatch):
+    """Their number of pairs is about 20,000; no more than a few may be sent to be compared."""
+    from shelfcast.llm import ngram_join
+
+    rng = random.Random(21)
+    passage = prose(rng, 60, 10**6)
+    rows = [(i, f"{passage} {prose(rng, 60, 10**6)}") for i in range(200)]
+    rows += [(200 + i, edited(rng, rows[i][1], 0.01)) for i in range(5)]
+    sent, before = [], ngram_join.compared
+    monkeypatch.setattr(ngram_join, "compared", lambda pairs, sets: sent.append(pairs.count()) or before(pairs, sets))
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
+    got = ngram_join.near_duplicates(documents(rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(dict(rows))
+    assert sent and max(sent) < 400
+
+
+def test_blocks_ranges_and_pieces_of_pairs_keep_all_links(documents, monkeypatch):
+    """Chains of near copies, in blocks of three members, with one pair sent at a time and a copy of the centre for each."""
+    from shelfcast.llm import ngram_join
+
+    rng = random.Random(22)
+    rows = []
+    for _ in range(3):
+        text = prose(rng, 60, 10**6)
+        for _ in range(8):
+            rows.append((len(rows), text))
+            text = edited(rng, text, 0.015)
+    rows += [(None, rows[0][1]), (3, rows[9][1]), (3, rows[3][1])]
+    for name, value in (("BLOCK_ROWS", 3), ("NEAREST", (1, 2)), ("CENTER_ROWS", 1), ("PAIRS", 20), ("ROUNDS", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    texts = {i: t for i, t in enumerate(t for _, t in rows)}
+    expected = brute_components(texts)
+    got = ngram_join.near_duplicates(documents(list(texts.items()))).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    repeated = ngram_join.near_duplicates(documents(rows)).collect()  # repeated and NULL ids: the same texts link
+    assert len({r.component_id for r in repeated}) <= len(set(expected.values())) < len(texts)
+
+
+def test_sketches_bound_the_difference_of_any_two_sets():
+    from shelfcast.llm.ngram_join import _sketches, differences, folded
+
+    rng = np.random.default_rng(23)
+    sets = [np.unique(rng.integers(0, 400, n).astype(np.uint64)) for n in (1, 5, 64, 65, 150, 300, 900)]
+    sizes = np.array([len(s) for s in sets])
+    sketch = folded(_sketches(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes).to_pylist())
+    apart, near = differences(sketch, sizes, sketch, sizes)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            shared = len(np.intersect1d(x, y))
+            assert apart[i, j] <= len(x) + len(y) - 2 * shared
+            assert near[i, j] or shared * 100 < (len(x) + len(y) - shared) * 80
+
+
+def test_index_pieces_keep_their_rows():
+    from shelfcast.llm.ngram_join import _group, _key, _packed, _unpacked
+
+    rng = np.random.default_rng(24)
+    key, salt = rng.integers(0, 1 << 44, 500).astype(np.uint64), rng.integers(0, 3, 500).astype(np.uint64)
+    group = np.sort(_group(key, salt))
+    assert (_key(_group(key, salt), salt) == key).all()
+    names = rng.integers(-(2**62), 2**62, 500)
+    for rows in (slice(None), slice(0, 1)):
+        back = _unpacked(_packed(group[rows], salt[rows].astype(np.int32), names[rows]))
+        assert all((x == y).all() for x, y in zip(back, (group[rows], salt[rows], names[rows]), strict=True))
